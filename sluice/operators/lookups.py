@@ -57,11 +57,17 @@ def hot_hashes(df: DataFrame, key_hash: Column) -> list[int]:
 
 
 def left_join_unique(
-    left: DataFrame, right: DataFrame, on: list[tuple[str, str]], *, null_safe: bool = False
+    left: DataFrame,
+    right: DataFrame,
+    on: list[tuple[str, str]],
+    *,
+    null_safe: bool = False,
+    small: bool | None = None,
 ) -> DataFrame:
     """Left join to ``right``, whose rows have unique ``on`` keys; its keys are dropped.
 
-    ``right`` is broadcast when its measured size allows. Otherwise both sides are shuffled, and
+    ``right`` is broadcast when its measured size allows (``small``, if the caller has measured
+    it). Otherwise both sides are shuffled, and
     rows of hot keys are spread: each input task of ``left`` sends them to its own salt, and the
     one matching row of ``right`` is repeated per salt. The salt comes from the partition number,
     so that a task run again sends its rows to the same place.
@@ -70,7 +76,7 @@ def left_join_unique(
     keys = [F.col(r).cast(left.schema[l].dataType).alias(n) for (l, r), n in zip(on, names)]
     right_keys = {r for _, r in on}
     right = right.select(*keys, *[c for c in right.columns if c not in right_keys])
-    if fits_broadcast(right):
+    if fits_broadcast(right) if small is None else small:
         joined = left.join(F.broadcast(right), _match(on, names, null_safe), "left")
         return joined.drop(*names)
     hashed = F.xxhash64(*[F.col(l) for l, _ in on])
@@ -124,7 +130,9 @@ class ReferenceList:
                 .select(typed.alias("__ref"))
                 .distinct()
             )
-            self._keys[name] = (keys, fits_broadcast(keys))
+            # The list with its repeats is the quicker one to measure, and is an upper bound.
+            small = fits_broadcast(self.frame.select(typed)) or fits_broadcast(keys)
+            self._keys[name] = (keys, small)
         return self._keys[name]
 
     def has_null(self) -> bool:
@@ -145,8 +153,8 @@ def flag_known(
     once then, so it should be a stored table.
     """
     data_type = df.schema[column].dataType
-    keys = reference.keys(data_type)
-    if not reference.is_small(data_type):
+    keys, small = reference.keys(data_type), reference.is_small(data_type)
+    if not small:
         used = df.select(F.col(column).alias("__used")).distinct()
         a, b = F.col("__used"), F.col("__ref")
         match = a.eqNullSafe(b) if null_safe else a == b
@@ -156,7 +164,11 @@ def flag_known(
             marked = df.join(F.broadcast(unknown), F.col(column).eqNullSafe(F.col("__used")), "left")
             return marked.withColumn(flag, F.col("__unknown").isNull()).drop("__used", "__unknown")
     marked = left_join_unique(
-        df, keys.withColumn("__matched", F.lit(True)), [(column, "__ref")], null_safe=null_safe
+        df,
+        keys.withColumn("__matched", F.lit(True)),
+        [(column, "__ref")],
+        null_safe=null_safe,
+        small=small,
     )
     return marked.withColumn(flag, F.col("__matched").isNotNull()).drop("__matched")
 

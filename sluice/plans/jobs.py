@@ -14,13 +14,16 @@ from sluice.operators.changes import (
     class_counts, deal_buckets, deal_performance, dedup, dropped_duplicates, flag_changes,
 )
 from sluice.operators.lookups import ReferenceList
+from sluice.operators.numbering import number_records
 from sluice.operators.rules import Broken, Required, classify
 from sluice.operators.upsert import delete_where, upsert
 from sluice.plans import leads
 from sluice.scratch import materialize, scratch_path
 from sluice.sinks.files import create_csv, write_csv
 from sluice.sinks.tables import append, current, publish
-from sluice.sources.delimited import physical_lines, read_delimited, store_delimited
+from sluice.sources.delimited import (
+    physical_lines, read_delimited, scan_delimited, store_delimited,
+)
 
 
 @dataclass
@@ -72,7 +75,11 @@ def validated_intake(
     Updates are counted and returned, not applied. Writes ``format_errors``, ``rejects`` and
     ``success/*`` below ``output_path`` and, with ``targets``, the three tables.
     """
-    rows = store_delimited(spark, input_path, schemas.LEAD_FILE)
+    rows = scan_delimited(spark, input_path, schemas.LEAD_FILE)
+    checks = [("customerId", parties), ("primaryContactId", parties), ("productGroupId", products), ("leadNumber", existing)]
+    if not all(ref.is_small(schemas.LEAD_FILE[column].dataType) for column, ref in checks):
+        # Large references are looked up from the rows more than once; do not parse again for that.
+        rows = materialize(rows, "scanned")
     # Stored by outcome: each later step reads only its own class, the checks run once.
     path = scratch_path(spark, "outcomes")
     judged = intake_outcomes(rows, parties, products, existing)
@@ -80,7 +87,7 @@ def validated_intake(
     schema = T.StructType(
         [f for f in judged.schema if f.name != "outcome"] + [judged.schema["outcome"]]
     )
-    stored = spark.read.schema(schema).parquet(path)
+    stored = number_records(spark.read.schema(schema).parquet(path), "FILE_RECORD_NUM")
 
     counts = {r["outcome"]: r["n"] for r in class_counts(stored, "outcome").collect()}
     outcome = F.col("outcome")
@@ -185,7 +192,6 @@ def staged_intake(
 
     target = current(spark, targets.leads, schemas.LEADS)
     staged = leads.stage_rows(rows.filter(bad.isNull()), layout, batch_id, at, by)
-    staged = materialize(staged, "staging")
     status = leads.import_status(
         staged, batch_id, leads.staged_rules(parties, products), ReferenceList(target, "LEAD_ID")
     )

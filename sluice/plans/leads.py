@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from sluice import schemas
 from sluice.functions.stamp import as_text, audit, batch, padded, rename
 from sluice.operators.lookups import ReferenceList, flag_known
-from sluice.operators.numbering import dense_number
+from sluice.operators.numbering import renumber
 from sluice.operators.rules import Required, Rule, Unknown, classify
 from sluice.operators.upsert import merge_rows
 
@@ -135,7 +135,7 @@ def error_log(status: DataFrame) -> DataFrame:
     failed = status.filter(F.col("IMPORT_STATUS_CODE") == "E").select(
         "BATCH_ID", "FILE_RECORD_NUM", "ERROR_MESSAGE"
     )
-    numbered = dense_number(failed, ["FILE_RECORD_NUM"], "__number", within=["ERROR_MESSAGE"])
+    numbered = renumber(failed, "FILE_RECORD_NUM", "__number", within=["ERROR_MESSAGE"])
     base = F.coalesce(*[F.when(F.col("ERROR_MESSAGE") == m, b) for m, b in ERROR_BASES.items()])
     return numbered.select(
         padded(base + F.col("__number")).alias("ERROR_ID"), "BATCH_ID", "FILE_RECORD_NUM", "ERROR_MESSAGE"
@@ -145,7 +145,7 @@ def error_log(status: DataFrame) -> DataFrame:
 def accepted_rows(status: DataFrame) -> DataFrame:
     """Rows in state 'I', updates included, numbered in record order for their children."""
     taken = status.filter(F.col("IMPORT_STATUS_CODE") == "I")
-    return dense_number(taken, ["FILE_RECORD_NUM"], "CHILD_NUMBER")
+    return renumber(taken, "FILE_RECORD_NUM", "CHILD_NUMBER")
 
 
 _STAMPS = ["CREATION_DATE", "LAST_UPDATE_DATE", "LAST_UPDATED_BY", "CREATED_BY"]

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from sluice.operators.numbering import number_in_file_order
+from sluice.operators.numbering import number_records, with_place
 from sluice.schemas import CORRUPT
+from sluice.scratch import materialize
 
 
 def read_delimited(
@@ -32,23 +33,27 @@ def read_delimited(
     return reader.option("inferSchema", infer).csv(path)
 
 
+def scan_delimited(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, *, header: bool = True
+) -> DataFrame:
+    """Parsed rows with the place of each in the file, for ``number_records`` once they are stored.
+
+    All columns must be parsed: a pruned CSV scan would judge lines by the columns in use.
+    """
+    return with_place(read_delimited(spark, path, schema, header=header))
+
+
 def store_delimited(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType,
     number: str = "FILE_RECORD_NUM",
+    *,
     header: bool = True,
 ) -> DataFrame:
-    """Parse once and store as Parquet, with the dense record number in file order.
-
-    All columns are parsed: a pruned CSV scan would judge malformed lines by the columns in use.
-    """
-    scanned = read_delimited(spark, path, schema, header=header).select(
-        "*",
-        F.col("_metadata.file_path").alias("__source"),
-        F.col("_metadata.file_block_start").alias("__block"),
-    )
-    return number_in_file_order(scanned, number, ["__source", "__block"])
+    """Parse once and store as Parquet, with the dense record number in file order."""
+    scanned = scan_delimited(spark, path, schema, header=header)
+    return number_records(materialize(scanned, "scanned"), number)
 
 
 def malformed(df: DataFrame) -> DataFrame:

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluice import schemas
-from sluice.functions.stamp import AUDIT_TEXT  # noqa: F401  (format of STAMP)
 from sluice.operators.lookups import ReferenceList
 from sluice.operators.numbering import dense_number
 from sluice.operators.rules import accepted, classify
 from sluice.plans import leads as L
 from sluice.scratch import materialize, scratch_path
 
+# Fixed value: the time that loads are stamped with.
 STAMP = "01-JAN-06 12.00.00.000000000 AM"
 BATCH = 4711
 # These six identify a line item.
@@ -89,7 +89,7 @@ def status(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'").select("o_orderkey"), "o_orderkey"
     )
     rules = L.staged_rules(parties(spark, sf_dir), products(spark, sf_dir))
-    return L.import_status(staged(spark, sf_dir), BATCH, rules, ids)
+    return materialize(L.import_status(staged(spark, sf_dir), BATCH, rules, ids), "status")
 
 
 L_VALID = " AND ".join(f"{c} IS NOT NULL" for c in [*L.REQUIRED, "productGroupId"])
