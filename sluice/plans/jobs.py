@@ -93,8 +93,7 @@ def validated_intake(
     outcome = F.col("outcome")
     is_malformed = outcome == "malformed"
     write_csv(
-        stored.filter(is_malformed).select(schemas.CORRUPT, "FILE_RECORD_NUM"),
-        f"{output_path}/format_errors", partitions=files,
+        _readable(stored.filter(is_malformed).drop("outcome")), f"{output_path}/format_errors", partitions=files
     )
     kept = outcome.isin("update", "insert")
     write_csv(
@@ -147,6 +146,11 @@ def validated_intake(
     return IntakeResult(counts, frames)
 
 
+def _readable(rows: DataFrame) -> DataFrame:
+    """Spark's CSV reader would fill a column of the old name itself."""
+    return rows.withColumnRenamed(schemas.CORRUPT, "malformed_line")
+
+
 def _upsert_table(spark, table, schema, source, keys, updates, inserts=None, order_by=None) -> DataFrame:
     target = current(spark, table, schema)
     return publish(upsert(target, source, keys, updates, inserts, order_by), table)
@@ -182,7 +186,7 @@ def staged_intake(
     rows = classify(store_delimited(spark, input_path, layout), rules)
     bad = F.col("reject_reason")
     write_csv(
-        rows.filter(bad == "malformed").select(schemas.CORRUPT, "FILE_RECORD_NUM"),
+        _readable(rows.filter(bad == "malformed").drop("reject_reason")),
         f"{output_path}/format_errors", partitions=files,
     )
     write_csv(
