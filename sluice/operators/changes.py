@@ -12,10 +12,15 @@ from sluice.operators.lookups import ReferenceList, flag_known
 
 
 def flag_changes(
-    df: DataFrame, key: str, existing: ReferenceList, change: str = "change"
+    df: DataFrame,
+    key: str,
+    existing: ReferenceList,
+    change: str = "change",
+    *,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``change``: 'update' when the key exists already, else 'insert'."""
-    marked = flag_known(df, key, existing, "__exists")
+    marked = flag_known(df, key, existing, "__exists", stored=stored)
     return marked.withColumn(change, F.when(F.col("__exists"), "update").otherwise("insert")).drop(
         "__exists"
     )

@@ -63,6 +63,7 @@ def left_join_unique(
     *,
     null_safe: bool = False,
     small: bool | None = None,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to ``right``, whose rows have unique ``on`` keys; its keys are dropped.
 
@@ -70,7 +71,8 @@ def left_join_unique(
     it). Otherwise both sides are shuffled, and
     rows of hot keys are spread: each input task of ``left`` sends them to its own salt, and the
     one matching row of ``right`` is repeated per salt. The salt comes from the partition number,
-    so that a task run again sends its rows to the same place.
+    so that a task run again sends its rows to the same place. Hot keys are sought in ``stored``,
+    by default ``left``; give the table that ``left`` was derived from to save the work between.
     """
     names = [f"__right_{i}" for i in range(len(on))]
     keys = [F.col(r).cast(left.schema[l].dataType).alias(n) for (l, r), n in zip(on, names)]
@@ -80,7 +82,7 @@ def left_join_unique(
         joined = left.join(F.broadcast(right), _match(on, names, null_safe), "left")
         return joined.drop(*names)
     hashed = F.xxhash64(*[F.col(l) for l, _ in on])
-    hot = hot_hashes(left, hashed)
+    hot = hot_hashes(left if stored is None else stored, hashed)
     if not hot:
         return left.join(right, _match(on, names, null_safe), "left").drop(*names)
     salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -143,19 +145,26 @@ class ReferenceList:
 
 
 def flag_known(
-    df: DataFrame, column: str, reference: ReferenceList, flag: str, *, null_safe: bool = True
+    df: DataFrame,
+    column: str,
+    reference: ReferenceList,
+    flag: str,
+    *,
+    null_safe: bool = True,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
     """Add boolean ``flag``: the value of ``column`` is in ``reference``.
 
     A large reference is not joined to the rows at once. The distinct values in use (reduced
     before the shuffle, so a hot key is one row) are looked up first; if the unknown ones are
-    few they are broadcast, and the rows of ``df`` are never shuffled. ``df`` is read more than
-    once then, so it should be a stored table.
+    few they are broadcast, and the rows of ``df`` are never shuffled. The values are read from
+    ``stored``, the table that ``df`` was derived from (by default ``df`` itself).
     """
+    stored = df if stored is None else stored
     data_type = df.schema[column].dataType
     keys, small = reference.keys(data_type), reference.is_small(data_type)
     if not small:
-        used = df.select(F.col(column).alias("__used")).distinct()
+        used = stored.select(F.col(column).alias("__used")).distinct()
         a, b = F.col("__used"), F.col("__ref")
         match = a.eqNullSafe(b) if null_safe else a == b
         unknown = materialize(used.join(keys, match, "left_anti"), "unknown-keys")
@@ -169,11 +178,19 @@ def flag_known(
         [(column, "__ref")],
         null_safe=null_safe,
         small=small,
+        stored=stored,
     )
     return marked.withColumn(flag, F.col("__matched").isNotNull()).drop("__matched")
 
 
-def flag_not_in(df: DataFrame, column: str, reference: ReferenceList, flag: str) -> DataFrame:
+def flag_not_in(
+    df: DataFrame,
+    column: str,
+    reference: ReferenceList,
+    flag: str,
+    *,
+    stored: DataFrame | None = None,
+) -> DataFrame:
     """Add boolean ``flag``: SQL's ``column NOT IN (reference)`` is true.
 
     As in SQL, a null in the reference makes it true for no row, and an empty reference for every
@@ -183,7 +200,7 @@ def flag_not_in(df: DataFrame, column: str, reference: ReferenceList, flag: str)
         return df.withColumn(flag, F.lit(True))
     if reference.has_null():
         return df.withColumn(flag, F.lit(False))
-    known = flag_known(df, column, reference, "__in", null_safe=False)
+    known = flag_known(df, column, reference, "__in", null_safe=False, stored=stored)
     return known.withColumn(flag, F.col(column).isNotNull() & ~F.col("__in")).drop("__in")
 
 

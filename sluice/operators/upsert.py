@@ -30,8 +30,12 @@ def upsert(
     matches, so such rows are inserted.
     """
     inserted = [c for c in (insert_columns or source.columns) if c in target.columns]
-    keyed = _one_per_key(source.filter(all_present(keys)), keys, order_by)
-    rows = materialize(keyed.unionByName(source.filter(any_null(keys))), "upsert-source")
+    if order_by:
+        last = dedup(source.filter(all_present(keys)), keys, order_by, keep="last")
+        source = last.unionByName(source.filter(any_null(keys)))
+    rows = materialize(source, "upsert-source")
+    if not order_by:
+        _check_unique(rows, keys)
     return _apply(
         target, rows, rows, [(k, k) for k in keys],
         {c: F.col(c) for c in update_columns}, {c: F.col(c) for c in inserted},
@@ -52,13 +56,12 @@ def merge_rows(
     ``on`` pairs target and source keys. A matched target row gets ``update_set`` (target column
     -> source column) where ``matched_when`` holds; an unmatched source row is inserted with
     ``insert_values`` where ``insert_when`` holds. Everything else stays. Two source rows that
-    update one key are an error.
+    update one key are an error. ``source`` is read several times: store it first.
     """
-    rows = materialize(source, "merge-source")
-    source_keys = [s for _, s in on]
-    updates = _one_per_key(rows.filter(matched_when).filter(all_present(source_keys)), source_keys)
+    updates = source.filter(matched_when)
+    _check_unique(updates, [s for _, s in on])
     return _apply(
-        target, updates, rows.filter(insert_when), on,
+        target, updates, source.filter(insert_when), on,
         {t: F.col(s) for t, s in update_set.items()}, {t: F.col(s) for t, s in insert_values.items()},
     )
 
@@ -68,17 +71,10 @@ def delete_where(target: DataFrame, condition: Column) -> DataFrame:
     return target.filter(~F.coalesce(condition, F.lit(False)))
 
 
-def _one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
-    if order_by:
-        return dedup(df, keys, order_by, keep="last")
-    counted = df.groupBy(*[F.col(k).alias(f"__key_{k}") for k in keys]).agg(
-        F.any_value(F.struct(*df.columns)).alias("__row"), F.count(F.lit(1)).alias("__n")
-    )
-    # In the filter, not in a column: the check must not be pruned away.
-    once = F.when(F.col("__n") == 1, True).otherwise(
-        F.raise_error(F.lit("the source holds a key more than once")).cast("boolean")
-    )
-    return counted.filter(once).select("__row.*")
+def _check_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    counts = df.filter(all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    if not counts.filter("__n > 1").isEmpty():
+        raise ValueError(f"the source holds a key more than once: {', '.join(keys)}")
 
 
 def _apply(target, updates, inserts, on, set_columns, insert_columns) -> DataFrame:

@@ -18,7 +18,7 @@ from sluice.operators.numbering import number_records
 from sluice.operators.rules import Broken, Required, classify
 from sluice.operators.upsert import delete_where, upsert
 from sluice.plans import leads
-from sluice.scratch import materialize, scratch_path
+from sluice.scratch import materialize
 from sluice.sinks.files import create_csv, write_csv
 from sluice.sinks.tables import append, current, publish
 from sluice.sources.delimited import (
@@ -51,7 +51,7 @@ def intake_outcomes(
         Broken(F.col(schemas.CORRUPT).isNotNull(), "malformed"),
         *leads.intake_rules(parties, products),
     ]
-    judged = flag_changes(classify(rows, rules), "leadNumber", existing)
+    judged = flag_changes(classify(rows, rules), "leadNumber", existing, stored=rows)
     return judged.withColumn("outcome", F.coalesce("reject_reason", "change")).drop(
         "reject_reason", "change"
     )
@@ -69,25 +69,23 @@ def validated_intake(
     at: datetime | str,
     by: str,
     files: int | None = None,
+    count_lines: bool = False,
 ) -> IntakeResult:
-    """Load a lead file: reject, split, remove repeats, fan out, upsert.
+    """Load a lead file: reject, split, remove repeats, fan out, insert.
 
     Updates are counted and returned, not applied. Writes ``format_errors``, ``rejects`` and
-    ``success/*`` below ``output_path`` and, with ``targets``, the three tables.
+    ``success/*`` below ``output_path`` and, with ``targets``, the three tables. ``count_lines``
+    reads the file once more to count its physical lines.
     """
     rows = scan_delimited(spark, input_path, schemas.LEAD_FILE)
     checks = [("customerId", parties), ("primaryContactId", parties), ("productGroupId", products), ("leadNumber", existing)]
     if not all(ref.is_small(schemas.LEAD_FILE[column].dataType) for column, ref in checks):
         # Large references are looked up from the rows more than once; do not parse again for that.
         rows = materialize(rows, "scanned")
-    # Stored by outcome: each later step reads only its own class, the checks run once.
-    path = scratch_path(spark, "outcomes")
-    judged = intake_outcomes(rows, parties, products, existing)
-    judged.write.partitionBy("outcome").parquet(path)
-    schema = T.StructType(
-        [f for f in judged.schema if f.name != "outcome"] + [judged.schema["outcome"]]
-    )
-    stored = number_records(spark.read.schema(schema).parquet(path), "FILE_RECORD_NUM")
+    # The checks run once. Sorted by outcome inside each file, so that a later step for one class
+    # skips the pages of the others; folders per class would make one more file per task and class.
+    judged = intake_outcomes(rows, parties, products, existing).sortWithinPartitions("outcome")
+    stored = number_records(materialize(judged, "outcomes"), "FILE_RECORD_NUM")
 
     counts = {r["outcome"]: r["n"] for r in class_counts(stored, "outcome").collect()}
     outcome = F.col("outcome")
@@ -111,7 +109,8 @@ def validated_intake(
     counts["inserted"] = first.count()
     counts["duplicates"] = counts.get("insert", 0) - counts["inserted"]
     counts.update(deal_buckets(inserts, "DealPerformance").first().asDict())
-    counts["physical_lines"] = physical_lines(spark, input_path)
+    if count_lines:
+        counts["physical_lines"] = physical_lines(spark, input_path)
 
     frames = {
         "outcomes": stored,
@@ -131,18 +130,10 @@ def validated_intake(
         for name in ("leads", "members", "items"):
             write_csv(frames[name], f"{output_path}/success/{name}", partitions=files)
         if targets is not None:
-            _upsert_table(
-                spark, targets.leads, schemas.LEADS, frames["leads"], ["LEAD_ID"],
-                schemas.LEAD_UPDATES, schemas.LEAD_INSERTS,
-            )
-            _upsert_table(
-                spark, targets.members, schemas.LEAD_MEMBERS, frames["members"],
-                ["MKL_LEAD_TC_MEMBER_ID"], schemas.MEMBER_UPDATES,
-            )
-            _upsert_table(
-                spark, targets.items, schemas.LEAD_ITEMS, frames["items"],
-                ["PROD_ASSOC_ID"], schemas.ITEM_UPDATES,
-            )
+            # New ids lie above all others, so an upsert could only insert: the table is not rewritten.
+            _insert(targets.leads, schemas.LEADS, frames["leads"].select(*schemas.LEAD_INSERTS), published=True)
+            _insert(targets.members, schemas.LEAD_MEMBERS, frames["members"])
+            _insert(targets.items, schemas.LEAD_ITEMS, frames["items"])
     return IntakeResult(counts, frames)
 
 
@@ -151,9 +142,16 @@ def _readable(rows: DataFrame) -> DataFrame:
     return rows.withColumnRenamed(schemas.CORRUPT, "malformed_line")
 
 
-def _upsert_table(spark, table, schema, source, keys, updates, inserts=None, order_by=None) -> DataFrame:
-    target = current(spark, table, schema)
-    return publish(upsert(target, source, keys, updates, inserts, order_by), table)
+def _insert(table: str, schema: T.StructType, rows: DataFrame, published: bool = False) -> None:
+    """Append ``rows``; columns that they lack are null. The first load publishes a table that is merged too."""
+    known = set(rows.columns)
+    whole = rows.select(
+        *[(F.col(f.name) if f.name in known else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
+    )
+    if published and not rows.sparkSession.catalog.tableExists(table):
+        publish(whole, table)
+    else:
+        append(whole, table)
 
 
 def staged_intake(
@@ -168,6 +166,7 @@ def staged_intake(
     by: str,
     batch_id: int | None = None,
     files: int | None = None,
+    count_lines: bool = False,
 ) -> IntakeResult:
     """Load a lead file through staging rows with a status code, an error log and reports.
 
@@ -206,8 +205,8 @@ def staged_intake(
         taken = leads.accepted_rows(status)
         frames["members"] = leads.member_rows(taken)
         frames["items"] = leads.item_rows(taken)
-        append(frames["members"], targets.members)
-        append(frames["items"], targets.items)
+        _insert(targets.members, schemas.LEAD_MEMBERS, frames["members"])
+        _insert(targets.items, schemas.LEAD_ITEMS, frames["items"])
         frames["errors"] = leads.error_log(status)
         create_csv(leads.error_report(frames["errors"]), f"{output_path}/errors", partitions=files)
     create_csv(leads.status_report(frames["status"]), f"{output_path}/status", partitions=files)
@@ -215,7 +214,8 @@ def staged_intake(
     counts = {f"rejected_{r[0]}": r[1] for r in class_counts(rows.filter(bad.isNotNull()), "reject_reason").collect()}
     counts.update({r[0]: r[1] for r in class_counts(frames["status"], "IMPORT_STATUS_CODE").collect()})
     counts["batch_id"] = batch_id
-    counts["physical_lines"] = physical_lines(spark, input_path)
+    if count_lines:
+        counts["physical_lines"] = physical_lines(spark, input_path)
     return IntakeResult(counts, frames)
 
 
@@ -246,9 +246,8 @@ def direct_upsert(
     text = T.StructType([T.StructField(c, T.StringType()) for c in _header(spark, input_path)])
     rows = store_delimited(spark, input_path, text)
     columns = insert_columns or [c for c in rows.columns if c in schema.fieldNames()]
-    return _upsert_table(
-        spark, table, schema, rows, keys, update_columns, columns, ["FILE_RECORD_NUM"]
-    )
+    target = current(spark, table, schema)
+    return publish(upsert(target, rows, keys, update_columns, columns, ["FILE_RECORD_NUM"]), table)
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:

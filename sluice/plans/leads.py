@@ -121,7 +121,7 @@ def import_status(
     """
     rows = staged.filter(F.col("BATCH_ID") == batch_id)
     judged = classify(rows, rules, "ERROR_MESSAGE")
-    marked = flag_known(judged, "PK1", lead_ids, "__known", null_safe=False)
+    marked = flag_known(judged, "PK1", lead_ids, "__known", null_safe=False, stored=rows)
     return marked.withColumns(
         {
             "IMPORT_STATUS_CODE": F.when(F.col("ERROR_MESSAGE").isNull(), "I").otherwise("E"),
@@ -173,7 +173,10 @@ def item_rows(taken: DataFrame) -> DataFrame:
 
 
 def merge_leads(leads: DataFrame, status: DataFrame) -> DataFrame:
-    """Lead table after the merge of the rows in state 'I': update in mode 'U', else insert."""
+    """Lead table after the merge of the rows in state 'I': update in mode 'U', else insert.
+
+    ``status`` should be a stored table.
+    """
     taken = F.col("IMPORT_STATUS_CODE") == "I"
     return merge_rows(
         leads,

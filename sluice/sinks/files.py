@@ -15,10 +15,13 @@ def write_csv(
 ) -> None:
     """CSV with header. ``partitions`` lowers the number of files; ``by`` makes one folder per value.
 
-    Each task writes its own rows, so a folder that holds most rows is still written in parallel.
+    Folders are written after a rebalance: rows of one folder come together in files of even size,
+    and a folder that holds most rows is split over tasks.
     """
     if partitions is not None:
         df = df.coalesce(partitions)
+    elif by is not None:
+        df = df.hint("rebalance", by)
     writer = df.write.mode(mode).option("header", True)
     if by is not None:
         writer = writer.partitionBy(by)

@@ -61,5 +61,7 @@ def drop_old_versions(spark: SparkSession, name: str, keep: int = 2) -> None:
 
 
 def append(df: DataFrame, name: str) -> None:
-    """Append to a plain table, columns matched by name."""
-    df.write.mode("append").format("parquet").saveAsTable(name)
+    """Append to a table, or to the version that a published name stands for; matched by name."""
+    versions = _versions(df.sparkSession, name)
+    table = f"{name}__v{versions[-1]}" if versions else name
+    df.write.mode("append").format("parquet").saveAsTable(table)

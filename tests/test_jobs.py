@@ -66,7 +66,8 @@ def test_validated_intake(spark, conf, folder, large):
     ]), targets.leads)
     path = lead_file(folder, schemas.LEAD_FILE, FILE_A)
     result = jobs.validated_intake(
-        spark, path, f"{folder}/out", parties, products, existing, targets=targets, at=AT, by="GS1", files=1
+        spark, path, f"{folder}/out", parties, products, existing, targets=targets, at=AT, by="GS1", files=1,
+        count_lines=True,
     )
     c = result.counts
     assert {k: c[k] for k in (

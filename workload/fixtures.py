@@ -23,14 +23,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def lead_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lead_input(spark: SparkSession, sf_dir: str, ordered: bool = False) -> DataFrame:
     """Line items with their order as lead file rows, with nulls in required fields."""
     lines = table(spark, sf_dir, "lineitem").select(*ORDER, "l_returnflag", "l_linestatus")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"
     )
     c = F.col
-    return lines.join(orders, c("l_orderkey") == c("o_orderkey")).select(
+    joined = lines.join(orders, c("l_orderkey") == c("o_orderkey"))
+    if ordered:
+        joined = joined.orderBy(*ORDER)
+    return joined.select(
         F.when(c("l_partkey") % 41 != 0, F.concat(F.lit("L"), "l_orderkey")).alias("leadNumber"),
         c("o_custkey").alias("customerId"),
         F.when(c("l_suppkey") % 29 != 3, c("l_suppkey")).alias("primaryContactId"),
@@ -127,7 +130,7 @@ def write_lines(lines: DataFrame, header: str, path: str) -> None:
 def lead_file(spark: SparkSession, sf_dir: str) -> str:
     """The lead rows written as a CSV file in line item order."""
     path = scratch_path(spark, "lead-file")
-    write_lines(lead_lines(lead_input(spark, sf_dir)).orderBy(*ORDER), HEADER, path)
+    write_lines(lead_lines(lead_input(spark, sf_dir, ordered=True)), HEADER, path)
     return path
 
 

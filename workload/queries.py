@@ -445,6 +445,7 @@ def merge_conditional(spark, sf_dir):
         _source(spark, sf_dir), [rules.Unknown("o_custkey", X.parties(spark, sf_dir), "E")], "status"
     )
     source = changes.flag_changes(source, "o_orderkey", ReferenceList(target, "o_orderkey"), "mode")
+    source = materialize(source, "merge-source")
     good = F.col("status").isNull()
     return merge_rows(
         target, source, [("o_orderkey", "o_orderkey")], {"o_totalprice": "o_totalprice"},
