@@ -45,7 +45,7 @@ def dedup(
 def dropped_duplicates(
     df: DataFrame, survivors: DataFrame, keys: Sequence[str], order_by: Sequence[str]
 ) -> DataFrame:
-    """Rows of ``df`` that ``dedup`` did not keep.
+    """Rows of ``df`` that ``dedup`` did not keep; of ``survivors`` only the identity is read.
 
     ``keys`` and ``order_by`` together identify a row. The anti join hashes on all of them, so
     the copies of one key spread over all tasks.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import add, and_
 
@@ -38,22 +39,30 @@ def fits_broadcast(df: DataFrame) -> bool:
     return size is not None and size <= _setting(df, "broadcastBytes", BROADCAST_BYTES)
 
 
-def hot_hashes(df: DataFrame, key_hash: Column) -> list[int]:
-    """Hashes of the keys that hold more than one thousandth of the rows of ``df``.
+def hot_keys(df: DataFrame, key_hash: Column) -> dict[int, list[int]]:
+    """Hashes of the keys that hold more than one thousandth of the rows, by the tasks they need.
 
     One pass with a bounded sketch per task; it only steers where rows go, never which rows are
-    kept, so an estimate is enough.
+    kept, so an estimate is enough. A key gets as many tasks as its share of all shuffle
+    partitions, rounded up to a power of two: together not many more than there are partitions.
     """
     hot_rows = _setting(df, "hotRows", HOT_ROWS)
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = (
         df.select(key_hash.alias("h"))
         .agg(F.count(F.lit(1)).alias("n"), F.expr("approx_top_k(h, 1000, 10000)").alias("top"))
         .first()
     )
-    if not found["n"]:
-        return []
-    least = max(found["n"] / HOT_SHARE, hot_rows)
-    return [t["item"] for t in found["top"] if t["count"] > least]
+    hot: dict[int, list[int]] = {}
+    for key in (found["top"] or []) if found["n"] else []:
+        if key["count"] > max(found["n"] / HOT_SHARE, hot_rows):
+            tasks = max(2, math.ceil(partitions * key["count"] / found["n"]))
+            hot.setdefault(1 << (tasks - 1).bit_length(), []).append(key["item"])
+    return hot
+
+
+def _salts(key_hash: Column, hot: dict[int, list[int]]) -> Column:
+    return F.coalesce(*[F.when(key_hash.isin(hashes), n) for n, hashes in hot.items()], F.lit(1))
 
 
 def left_join_unique(
@@ -81,21 +90,13 @@ def left_join_unique(
     if fits_broadcast(right) if small is None else small:
         joined = left.join(F.broadcast(right), _match(on, names, null_safe), "left")
         return joined.drop(*names)
-    hashed = F.xxhash64(*[F.col(l) for l, _ in on])
-    hot = hot_hashes(left if stored is None else stored, hashed)
+    left_hash = F.xxhash64(*[F.col(l) for l, _ in on])
+    hot = hot_keys(left if stored is None else stored, left_hash)
     if not hot:
         return left.join(right, _match(on, names, null_safe), "left").drop(*names)
-    salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = left.withColumn(
-        "__salt", F.when(hashed.isin(hot), F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0)
-    )
+    left = left.withColumn("__salt", F.pmod(F.spark_partition_id(), _salts(left_hash, hot)))
     right = right.withColumn(
-        "__right_salt",
-        F.explode(
-            F.when(F.xxhash64(*names).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
+        "__right_salt", F.explode(F.sequence(F.lit(0), _salts(F.xxhash64(*names), hot) - 1))
     )
     match = _match(on, names, null_safe) & (F.col("__salt") == F.col("__right_salt"))
     return left.join(right, match, "left").drop(*names, "__salt", "__right_salt")

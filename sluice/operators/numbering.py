@@ -37,6 +37,7 @@ def number_records(stored: DataFrame, name: str, *, start: int = 1) -> DataFrame
     the rows before it; the rows are neither shuffled nor sorted.
     """
     block = ["__source", "__block"]
+    # One task sums the counts, a line per block: about a million for 100 TB.
     before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
     offsets = materialize(
         stored.groupBy(*block)
@@ -102,7 +103,8 @@ def dense_number(
         )
     )
     keys = [*group, "__file"]
-    # Written files are named after the task: part-<task number>-...
+    # Written files are named after the task: part-<task number>-... Without groups one task sums
+    # the counts, a line per file.
     task = F.regexp_extract("__file", r"part-(\d+)", 1).cast("long")
     before = (
         Window.partitionBy(*group).orderBy(task, "__file").rowsBetween(Window.unboundedPreceding, -1)

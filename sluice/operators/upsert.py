@@ -110,7 +110,7 @@ def _unmatched(rows: DataFrame, target: DataFrame, on) -> DataFrame:
     """
     present = target.select(*[F.col(t).alias(f"__t_{s}") for t, s in on])
     typed = {s: F.col(s).cast(target.schema[t].dataType) for t, s in on}
-    wanted = rows.select(*[value.alias(f"__w_{s}") for s, value in typed.items()]).distinct()
+    wanted = rows.select(*[value.alias(f"__w_{s}") for s, value in typed.items()])
     if fits_broadcast(wanted):
         same = reduce(and_, [F.col(f"__t_{s}") == F.col(f"__w_{s}") for s in typed])
         present = present.join(F.broadcast(wanted), same, "left_semi")

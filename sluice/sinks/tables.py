@@ -1,14 +1,18 @@
-"""Catalog tables that are replaced as a whole.
+"""Catalog tables, replaced as a whole or by partition.
 
 A table cannot be overwritten while it is read, and a load that breaks off must leave the old
-rows. So each load writes a new table, and a view of the public name is then pointed to it.
+rows. So ``publish`` writes a new table and then points a view of the public name to it. Where
+a load touches few partitions of a large table, ``touched`` and ``overwrite_partitions`` read
+and write only those.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from sluice.operators.lookups import fits_broadcast
 
 
 def _versions(spark: SparkSession, name: str) -> list[int]:
@@ -65,3 +69,42 @@ def append(df: DataFrame, name: str) -> None:
     versions = _versions(df.sparkSession, name)
     table = f"{name}__v{versions[-1]}" if versions else name
     df.write.mode("append").format("parquet").saveAsTable(table)
+
+
+def touched(
+    target: DataFrame, source: DataFrame, on: Sequence[tuple[str, str]], partition: str, source_partition: str
+) -> DataFrame:
+    """The rows of ``target`` in partitions that a load of ``source`` can change.
+
+    These are the partitions that hold a row with one of its keys (``on``: target, source) and
+    those that its own rows belong to. An update must not move rows to another partition.
+    ``source`` is read twice: store it first.
+    """
+    data_type = target.schema[partition].dataType
+    wanted = source.select(*[F.col(s).cast(target.schema[t].dataType).alias(t) for t, s in on])
+    if fits_broadcast(wanted):
+        wanted = F.broadcast(wanted)
+    held = target.join(wanted, [t for t, _ in on], "left_semi").select(F.col(partition).alias("p"))
+    own = source.select(F.col(source_partition).cast(data_type).alias("p"))
+    # A list of partitions: the driver lists them to plan any scan of the table.
+    values = [r.p for r in held.union(own).distinct().collect()]
+    column = F.col(partition)
+    inside = column.isin([v for v in values if v is not None])
+    return target.filter(inside | column.isNull() if None in values else inside)
+
+
+def overwrite_partitions(df: DataFrame, table: str) -> None:
+    """Replace the partitions that ``df`` has rows for; the other partitions are not written.
+
+    The partitions are swapped one after the other. A load that breaks off in between is
+    completed by the same load run again.
+    """
+    spark = df.sparkSession
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    # A table may be read while its partitions are replaced only if the session says so.
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, before)

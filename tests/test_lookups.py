@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from sluice.operators.lookups import (
-    ReferenceList, flag_known, flag_not_in, hot_hashes, in_reference, left_join_unique, measured_bytes,
+    ReferenceList, flag_known, flag_not_in, hot_keys, in_reference, left_join_unique, measured_bytes,
     not_in_reference,
 )
 
@@ -48,9 +48,12 @@ def test_small_and_large_reference_agree(spark, conf, with_null):
 def test_hot_keys_are_found_and_spread(spark, conf, no_broadcast):
     conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
     df = skewed(spark)
-    hot = hot_hashes(df, F.xxhash64("k"))
+    conf("spark.sql.shuffle.partitions", "16")
+    hot = hot_keys(df, F.xxhash64("k"))
     by_hash = {r.h: r.k for r in df.select("k", F.xxhash64("k").alias("h")).distinct().collect()}
-    assert {7, None} <= {by_hash[h] for h in hot}
+    tasks = {by_hash[h]: n for n, hashes in hot.items() for h in hashes}
+    assert tasks[7] == 8 and tasks[None] == 2
+    assert hot_keys(df.limit(0), F.xxhash64("k")) == {}
     names = keyed(spark, range(500)).withColumn("name", F.concat(F.lit("n"), "k"))
     joined = left_join_unique(df, names, [("k", "k")])
     want = sorted(((r.k, r.v, None if r.k is None else f"n{r.k}") for r in df.collect()), key=repr)

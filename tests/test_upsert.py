@@ -6,7 +6,9 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from sluice.operators.upsert import delete_where, merge_rows, upsert
-from sluice.sinks.tables import append, current, drop_old_versions, publish
+from sluice.sinks.tables import (
+    append, current, drop_old_versions, overwrite_partitions, publish, touched,
+)
 
 TABLE = "k long, a string, b string"
 
@@ -163,3 +165,26 @@ def test_append_matches_columns_by_name(spark):
     append(table(spark, [(1, "a", "b")]), "appended")
     append(table(spark, [(2, "a2", "b2")]).select("b", "k", "a"), "appended")
     assert rows(spark.table("appended")) == [(1, "a", "b"), (2, "a2", "b2")]
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_only_touched_partitions_are_rewritten(spark, conf, large):
+    if large:
+        conf("sluice.broadcastBytes", "-1")
+    name = f"parted_{large}".lower()
+    old = [(i, "old", "m%d" % (i % 4) if i % 9 else None) for i in range(60)]
+    table(spark, old).write.partitionBy("b").saveAsTable(name)
+    before = set(spark.table(name).filter("b in ('m1', 'm2')").inputFiles())
+    target = spark.table(name)
+    source = table(spark, [(3, "new", "m3"), (9, "moved", "m3"), (100, "added", "m0")])
+    part = touched(target, source, [("k", "k")], "b", "b")
+    assert {r.b for r in part.select("b").distinct().collect()} == {"m0", "m3", None}
+    assert "PartitionFilters: [(b" in plan(part)
+    want = rows(upsert(table(spark, old), source, ["k"], ["a"]).select("a", "b", "k"))
+    overwrite_partitions(upsert(part, source, ["k"], ["a"]), name)
+    assert rows(spark.table(name).select("a", "b", "k")) == want
+    assert before <= set(spark.table(name).inputFiles())
+    # The same load again changes nothing.
+    part = touched(spark.table(name), source, [("k", "k")], "b", "b")
+    overwrite_partitions(upsert(part, source, ["k"], ["a"]), name)
+    assert rows(spark.table(name).select("a", "b", "k")) == want

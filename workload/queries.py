@@ -273,7 +273,7 @@ def dedup_leads(spark, sf_dir):
 @query(on_leads(f"SELECT {LEAD_SQL} FROM ranked WHERE rn > 1"))
 def dropped_duplicates(spark, sf_dir):
     inserts = materialize(_inserts(spark, sf_dir), "inserts")
-    first = changes.dedup(inserts, ["leadNumber"], X.ORDER)
+    first = changes.dedup(inserts.select("leadNumber", *X.ORDER), ["leadNumber"], X.ORDER)
     return changes.dropped_duplicates(inserts, first, ["leadNumber"], X.ORDER).select(*LEAD)
 
 
