@@ -20,12 +20,17 @@ def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 
 
 def parse_audit_text(column: Column) -> Column:
-    return F.to_timestamp(column, AUDIT_TEXT).cast("timestamp_ntz")
+    return F.to_timestamp_ntz(column, F.lit(AUDIT_TEXT))
+
+
+def timestamp(at: datetime) -> Column:
+    """Literal of a time without zone; passed as text, so that no time zone has a say."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def audit(df: DataFrame, at: datetime | str, by: str) -> DataFrame:
     """Add the four audit columns; ``at`` is a time or its text form."""
-    when = parse_audit_text(F.lit(at)) if isinstance(at, str) else F.lit(at).cast("timestamp_ntz")
+    when = parse_audit_text(F.lit(at)) if isinstance(at, str) else timestamp(at)
     return df.withColumns(
         {
             "CREATION_DATE": when,

@@ -134,7 +134,10 @@ class ReferenceList:
                 .distinct()
             )
             # The list with its repeats is the quicker one to measure, and is an upper bound.
-            small = fits_broadcast(self.frame.select(typed)) or fits_broadcast(keys)
+            small = fits_broadcast(self.frame.select(typed))
+            if not small:
+                keys = materialize(keys, "reference-keys")
+                small = fits_broadcast(keys)
             self._keys[name] = (keys, small)
         return self._keys[name]
 
@@ -157,9 +160,9 @@ def flag_known(
     """Add boolean ``flag``: the value of ``column`` is in ``reference``.
 
     A large reference is not joined to the rows at once. The distinct values in use (reduced
-    before the shuffle, so a hot key is one row) are looked up first; if the unknown ones are
-    few they are broadcast, and the rows of ``df`` are never shuffled. The values are read from
-    ``stored``, the table that ``df`` was derived from (by default ``df`` itself).
+    before the shuffle, so a hot key is one row) are looked up first; if the unknown or the known
+    ones are few they are broadcast, and the rows of ``df`` are never shuffled. The values are read
+    from ``stored``, the table that ``df`` was derived from (by default ``df`` itself).
     """
     stored = df if stored is None else stored
     data_type = df.schema[column].dataType
@@ -167,12 +170,15 @@ def flag_known(
     if not small:
         used = stored.select(F.col(column).alias("__used")).distinct()
         a, b = F.col("__used"), F.col("__ref")
-        match = a.eqNullSafe(b) if null_safe else a == b
-        unknown = materialize(used.join(keys, match, "left_anti"), "unknown-keys")
-        if fits_broadcast(unknown):
-            unknown = unknown.withColumn("__unknown", F.lit(True))
-            marked = df.join(F.broadcast(unknown), F.col(column).eqNullSafe(F.col("__used")), "left")
-            return marked.withColumn(flag, F.col("__unknown").isNull()).drop("__used", "__unknown")
+        listed = keys.withColumn("__listed", F.lit(True))
+        looked_up = used.join(listed, a.eqNullSafe(b) if null_safe else a == b, "left")
+        looked_up = materialize(looked_up.select("__used", "__listed"), "used-keys")
+        for part, is_known in ((F.col("__listed").isNull(), F.col("__part").isNull()),
+                               (F.col("__listed").isNotNull(), F.col("__part").isNotNull())):
+            few = looked_up.filter(part).select("__used", F.lit(True).alias("__part"))
+            if fits_broadcast(few):
+                marked = df.join(F.broadcast(few), F.col(column).eqNullSafe(F.col("__used")), "left")
+                return marked.withColumn(flag, is_known).drop("__used", "__part")
     marked = left_join_unique(
         df,
         keys.withColumn("__matched", F.lit(True)),

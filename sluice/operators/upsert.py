@@ -102,17 +102,31 @@ def _apply(target, updates, inserts, on, set_columns, insert_columns) -> DataFra
     return changed.unionByName(fresh)
 
 
-def _unmatched(rows: DataFrame, target: DataFrame, on) -> DataFrame:
-    """Rows of ``rows`` whose key is not in ``target``.
+def has_known_key(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether a key of ``rows`` is in ``target``; of both only the keys are read."""
+    return not _present(target, rows, [(k, k) for k in keys]).isEmpty()
+
+
+def _typed_keys(rows: DataFrame, target: DataFrame, on) -> dict[str, Column]:
+    return {s: F.col(s).cast(target.schema[t].dataType) for t, s in on}
+
+
+def _present(target: DataFrame, rows: DataFrame, on) -> DataFrame:
+    """Keys of ``target`` that ``rows`` has too, as ``__t_<key>``.
 
     A broadcast of the keys of ``rows`` reduces the keys of ``target`` in place when their
     measured size allows; the target is then not shuffled at all.
     """
-    present = target.select(*[F.col(t).alias(f"__t_{s}") for t, s in on])
-    typed = {s: F.col(s).cast(target.schema[t].dataType) for t, s in on}
-    wanted = rows.select(*[value.alias(f"__w_{s}") for s, value in typed.items()])
+    held = target.select(*[F.col(t).alias(f"__t_{s}") for t, s in on])
+    wanted = rows.select(*[v.alias(f"__w_{s}") for s, v in _typed_keys(rows, target, on).items()])
+    same = reduce(and_, [F.col(f"__t_{s}") == F.col(f"__w_{s}") for _, s in on])
     if fits_broadcast(wanted):
-        same = reduce(and_, [F.col(f"__t_{s}") == F.col(f"__w_{s}") for s in typed])
-        present = present.join(F.broadcast(wanted), same, "left_semi")
+        return held.join(F.broadcast(wanted), same, "left_semi").distinct()
+    return held.distinct().join(wanted, same, "left_semi")
+
+
+def _unmatched(rows: DataFrame, target: DataFrame, on) -> DataFrame:
+    """Rows of ``rows`` whose key is not in ``target``."""
+    typed = _typed_keys(rows, target, on)
     same = reduce(and_, [value == F.col(f"__t_{s}") for s, value in typed.items()])
-    return rows.join(present.distinct(), same, "left_anti")
+    return rows.join(_present(target, rows, on), same, "left_anti")

@@ -16,11 +16,11 @@ from sluice.operators.changes import (
 from sluice.operators.lookups import ReferenceList
 from sluice.operators.numbering import number_records
 from sluice.operators.rules import Broken, Required, classify
-from sluice.operators.upsert import delete_where, upsert
+from sluice.operators.upsert import delete_where, has_known_key, upsert
 from sluice.plans import leads
 from sluice.scratch import materialize
 from sluice.sinks.files import create_csv, write_csv
-from sluice.sinks.tables import append, current, publish
+from sluice.sinks.tables import append, clear, current, publish
 from sluice.sources.delimited import (
     physical_lines, read_delimited, scan_delimited, store_delimited,
 )
@@ -71,7 +71,7 @@ def validated_intake(
     files: int | None = None,
     count_lines: bool = False,
 ) -> IntakeResult:
-    """Load a lead file: reject, split, remove repeats, fan out, insert.
+    """Load a lead file: reject, split, remove repeats, fan out, upsert.
 
     Updates are counted and returned, not applied. Writes ``format_errors``, ``rejects`` and
     ``success/*`` below ``output_path`` and, with ``targets``, the three tables. ``count_lines``
@@ -130,10 +130,13 @@ def validated_intake(
         for name in ("leads", "members", "items"):
             write_csv(frames[name], f"{output_path}/success/{name}", partitions=files)
         if targets is not None:
-            # New ids lie above all others, so an upsert could only insert: the table is not rewritten.
-            _insert(targets.leads, schemas.LEADS, frames["leads"].select(*schemas.LEAD_INSERTS), published=True)
-            _insert(targets.members, schemas.LEAD_MEMBERS, frames["members"])
-            _insert(targets.items, schemas.LEAD_ITEMS, frames["items"])
+            # Leads last: until they are in, a load that broke off gives the same ids again.
+            _load(spark, targets.members, schemas.LEAD_MEMBERS, frames["members"],
+                  ["MKL_LEAD_TC_MEMBER_ID"], schemas.MEMBER_UPDATES)
+            _load(spark, targets.items, schemas.LEAD_ITEMS, frames["items"],
+                  ["PROD_ASSOC_ID"], schemas.ITEM_UPDATES)
+            _load(spark, targets.leads, schemas.LEADS, frames["leads"].select(*schemas.LEAD_INSERTS),
+                  ["LEAD_ID"], schemas.LEAD_UPDATES)
     return IntakeResult(counts, frames)
 
 
@@ -142,16 +145,24 @@ def _readable(rows: DataFrame) -> DataFrame:
     return rows.withColumnRenamed(schemas.CORRUPT, "malformed_line")
 
 
-def _insert(table: str, schema: T.StructType, rows: DataFrame, published: bool = False) -> None:
-    """Append ``rows``; columns that they lack are null. The first load publishes a table that is merged too."""
+def _whole(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """``rows`` with the columns of ``schema``; those that they lack are null."""
     known = set(rows.columns)
-    whole = rows.select(
+    return rows.select(
         *[(F.col(f.name) if f.name in known else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
     )
-    if published and not rows.sparkSession.catalog.tableExists(table):
-        publish(whole, table)
+
+
+def _load(spark, table, schema, rows, keys, update_columns) -> None:
+    """Keyed upsert into a published table; without a known key that is an append."""
+    if not spark.catalog.tableExists(table):
+        publish(_whole(rows, schema), table)
+        return
+    target = spark.table(table)
+    if has_known_key(target, rows, keys):
+        publish(upsert(target, rows, keys, update_columns), table)
     else:
-        append(whole, table)
+        append(_whole(rows, schema), table)
 
 
 def staged_intake(
@@ -205,8 +216,8 @@ def staged_intake(
         taken = leads.accepted_rows(status)
         frames["members"] = leads.member_rows(taken)
         frames["items"] = leads.item_rows(taken)
-        _insert(targets.members, schemas.LEAD_MEMBERS, frames["members"])
-        _insert(targets.items, schemas.LEAD_ITEMS, frames["items"])
+        append(_whole(frames["members"], schemas.LEAD_MEMBERS), targets.members)
+        append(_whole(frames["items"], schemas.LEAD_ITEMS), targets.items)
         frames["errors"] = leads.error_log(status)
         create_csv(leads.error_report(frames["errors"]), f"{output_path}/errors", partitions=files)
     create_csv(leads.status_report(frames["status"]), f"{output_path}/status", partitions=files)
@@ -230,7 +241,7 @@ def clean_lead_tables(spark: SparkSession, targets: LeadTables, *, children: boo
     if children:
         for name in (targets.members, targets.items):
             if spark.catalog.tableExists(name):
-                spark.sql(f"TRUNCATE TABLE {name}")
+                clear(spark, name)
 
 
 def direct_upsert(

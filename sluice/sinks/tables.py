@@ -64,6 +64,14 @@ def drop_old_versions(spark: SparkSession, name: str, keep: int = 2) -> None:
         spark.sql(f"DROP TABLE {name}__v{version}")
 
 
+def clear(spark: SparkSession, name: str) -> None:
+    """Take all rows out of a table; a published name gets an empty version."""
+    if _versions(spark, name):
+        publish(spark.table(name).filter("false"), name)
+    else:
+        spark.sql(f"TRUNCATE TABLE {name}")
+
+
 def append(df: DataFrame, name: str) -> None:
     """Append to a table, or to the version that a published name stands for; matched by name."""
     versions = _versions(df.sparkSession, name)

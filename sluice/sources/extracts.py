@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from sluice.functions.stamp import timestamp
+
 
 def cached_extract(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
     """The Parquet extract at ``path``; if there is none, ``build`` and write it first."""
@@ -22,7 +24,7 @@ def cached_extract(spark: SparkSession, path: str, build: Callable[[], DataFrame
 
 def younger_than(column: str, days: int, as_of: datetime) -> Column:
     """Less than ``days`` days before ``as_of``, which is an argument so that a run can be repeated."""
-    return F.col(column) > F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(days))
+    return F.col(column) > timestamp(as_of) - F.make_dt_interval(F.lit(days))
 
 
 def key_extract(df: DataFrame, key: str, name: str, condition: Column) -> DataFrame:

@@ -86,7 +86,9 @@ def test_extract_is_built_once(spark, folder):
         cached_extract(spark, folder + "/empty", build)
 
 
-def test_stamps(spark):
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin"])
+def test_stamps(spark, conf, zone):
+    conf("spark.sql.session.timeZone", zone)
     text = "10-JAN-21 01.02.03.000004000 PM"
     df = audit(spark.range(1), text, "GS1")
     row = df.first()

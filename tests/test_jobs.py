@@ -58,6 +58,9 @@ def test_validated_intake(spark, conf, folder, large):
     if large:
         conf("sluice.broadcastBytes", "-1")
         conf("sluice.hotRows", "1")
+    # Several blocks in the small file.
+    conf("spark.sql.files.maxPartitionBytes", "150")
+    conf("spark.sql.files.openCostInBytes", "10")
     parties, products, existing = references(spark)
     targets = tables()
     old = spark.createDataFrame([(40, "L0")], "LEAD_ID long, LEAD_NUMBER string")
@@ -103,6 +106,27 @@ def test_validated_intake(spark, conf, folder, large):
     assert read_delimited(spark, f"{folder}/out/success/leads").count() == 3
 
 
+def test_load_that_broke_off_is_completed(spark, folder):
+    parties, products, existing = references(spark)
+    targets = tables()
+    path = lead_file(folder, schemas.LEAD_FILE, FILE_A)
+    run = lambda t: jobs.validated_intake(
+        spark, path, f"{folder}/out", parties, products, existing, targets=t, at=AT, by="GS1", files=1
+    )
+    run(targets)
+    want = rows(spark.table(targets.items))
+    # As if the load had ended before the leads went in.
+    again = jobs.LeadTables(targets.leads + "_late", targets.members, targets.items)
+    run(again)
+    assert rows(spark.table(targets.items)) == want
+    assert rows(spark.table(again.leads)) == rows(spark.table(targets.leads))
+    # The next load of the file gets ids of its own.
+    run(targets)
+    assert spark.table(targets.leads).count() == spark.table(targets.items).count() == 6
+    jobs.clean_lead_tables(spark, targets)
+    assert spark.table(targets.items).isEmpty()
+
+
 def test_intake_without_inserts_loads_nothing(spark, folder):
     parties, products, existing = references(spark)
     targets = tables()

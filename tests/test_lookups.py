@@ -36,6 +36,11 @@ def test_small_and_large_reference_agree(spark, conf, with_null):
     conf("sluice.broadcastBytes", "12000")
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     assert rows(flag_known(df, "k", ReferenceList(keyed(spark, [*known, *range(1000, 3000)]), "k"), "f")) == want
+    # Large reference, few known values.
+    few = ReferenceList(keyed(spark, [7, *range(1000, 3000)]), "k")
+    text = plan(flag_known(df, "k", few, "f"))
+    assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
+    assert rows(flag_known(df, "k", few, "f")) == expected_flags(df, {7})
     # Everything large, hot keys salted.
     conf("sluice.broadcastBytes", "-1")
     conf("sluice.hotRows", "10")

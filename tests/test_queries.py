@@ -1,6 +1,5 @@
 """Every registered query against its SQL, and the class sizes known for the fixture."""
 
-import duckdb
 import pytest
 
 import __spark_entry__

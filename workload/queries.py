@@ -106,7 +106,7 @@ def extract_cache(spark, sf_dir):
 def overwrite_sink(spark, sf_dir):
     path = scratch_path(spark, "overwritten")
     supplier = X.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    write_csv(supplier.limit(1), path)
+    write_csv(supplier.withColumn("s_name", F.reverse("s_name")), path)
     write_csv(supplier, path)
     return read_delimited(spark, path, supplier.schema)
 
@@ -383,14 +383,14 @@ def _target(spark, sf_dir):
 
 
 def _source(spark, sf_dir):
-    late = "o_orderdate >= TIMESTAMP_NTZ '1999-01-01 00:00:00' OR o_orderkey % 5 = 0"
+    late = "o_orderdate >= TIMESTAMP_NTZ '1999-01-01 00:00:00' OR o_orderpriority = '1-URGENT'"
     return X.table(spark, sf_dir, "orders").filter(late).withColumn("o_totalprice", F.col("o_totalprice") + 1)
 
 
 _TABLES = """
 WITH target AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01 00:00:00'),
 source AS (SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders
-  WHERE o_orderdate >= TIMESTAMP '1999-01-01 00:00:00' OR o_orderkey % 5 = 0)
+  WHERE o_orderdate >= TIMESTAMP '1999-01-01 00:00:00' OR o_orderpriority = '1-URGENT')
 """
 
 
@@ -461,22 +461,22 @@ def delete_rows(spark, sf_dir):
 
 
 @query("""
-SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier WHERE s_suppkey % 3 <> 0 AND s_suppkey % 2 <> 0
+SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier WHERE s_acctbal >= 3000 AND s_nationkey >= 12
 UNION ALL SELECT s_suppkey, s_name || ', second', s_nationkey, s_acctbal FROM supplier
-  WHERE s_suppkey % 3 <> 0 AND s_suppkey % 2 = 0
-UNION ALL SELECT s_suppkey, s_name || ', second', NULL, NULL FROM supplier WHERE s_suppkey % 3 = 0 AND s_suppkey % 2 = 0
+  WHERE s_acctbal >= 3000 AND s_nationkey < 12
+UNION ALL SELECT s_suppkey, s_name || ', second', NULL, NULL FROM supplier WHERE s_acctbal < 3000 AND s_nationkey < 12
 """)
 def direct_upsert_file(spark, sf_dir):
     supplier = X.table(spark, sf_dir, "supplier")
     path = scratch_path(spark, "supplier-file")
-    twice = supplier.filter("s_suppkey % 2 = 0").select(
+    twice = supplier.filter("s_nationkey < 12").select(
         "s_suppkey", "s_name", F.explode(F.array(F.lit("first"), F.lit("second"))).alias("turn")
     )
     named = twice.select("s_suppkey", F.concat("s_name", F.lit(", "), "turn").alias("s_name"), "turn")
     write_csv(named.orderBy("turn", "s_suppkey").drop("turn"), path)
     rows = store_delimited(spark, path, supplier.select("s_suppkey", "s_name").schema)
     return upsert(
-        supplier.filter("s_suppkey % 3 <> 0"), rows, ["s_suppkey"], ["s_name"], ["s_suppkey", "s_name"],
+        supplier.filter("s_acctbal >= 3000"), rows, ["s_suppkey"], ["s_name"], ["s_suppkey", "s_name"],
         order_by=["FILE_RECORD_NUM"],
     )
 
