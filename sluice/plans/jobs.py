@@ -91,7 +91,8 @@ def validated_intake(
     outcome = F.col("outcome")
     is_malformed = outcome == "malformed"
     write_csv(
-        _readable(stored.filter(is_malformed).drop("outcome")), f"{output_path}/format_errors", partitions=files
+        _readable(stored.filter(is_malformed).drop("outcome")),
+        f"{output_path}/format_errors", partitions=files, even=True,
     )
     kept = outcome.isin("update", "insert")
     write_csv(
@@ -197,7 +198,7 @@ def staged_intake(
     bad = F.col("reject_reason")
     write_csv(
         _readable(rows.filter(bad == "malformed").drop("reject_reason")),
-        f"{output_path}/format_errors", partitions=files,
+        f"{output_path}/format_errors", partitions=files, even=True,
     )
     write_csv(
         rows.filter(bad != "malformed").drop(schemas.CORRUPT),

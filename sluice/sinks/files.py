@@ -12,16 +12,20 @@ def write_csv(
     mode: str = "overwrite",
     partitions: int | None = None,
     by: str | None = None,
+    even: bool = False,
 ) -> None:
     """CSV with header. ``partitions`` lowers the number of files; ``by`` makes one folder per value.
 
     Folders are written after a rebalance: rows of one folder come together in files of even size,
-    and a folder that holds most rows is split over tasks.
+    and a folder that holds most rows is split over tasks. ``even`` does so without folders, for
+    few rows left over from many tasks; the rows lose their order.
     """
     if partitions is not None:
         df = df.coalesce(partitions)
     elif by is not None:
         df = df.hint("rebalance", by)
+    elif even:
+        df = df.hint("rebalance")
     writer = df.write.mode(mode).option("header", True)
     if by is not None:
         writer = writer.partitionBy(by)

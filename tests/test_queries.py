@@ -19,6 +19,11 @@ def test_query_equals_sql(spark, db, name):
     assert compare(__spark_entry__.queries()[name](spark, SF), db, __spark_entry__.oracle_sql()[name]) == ""
 
 
+@pytest.mark.parametrize("name", ["rejects_by_reason", "lead_updates", "upsert_last_wins", "merge_conditional", "error_log"])
+def test_query_equals_sql_when_nothing_is_small(spark, db, no_broadcast, name):
+    assert compare(__spark_entry__.queries()[name](spark, SF), db, __spark_entry__.oracle_sql()[name]) == ""
+
+
 def test_class_sizes(spark):
     queries = __spark_entry__.queries()
     reasons = {r[0]: r[1] for r in __spark_entry__.entry(spark).collect()}
