@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.llm import simhash_gray
+from sluice.llm import bpe_words, lang_backoff, quartile_digest, recompression, simhash_gray, warc_shards
+from sluice.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,3 +36,74 @@ def op2_simhash_near_dedup(spark, sf_dir):
         F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@_query()
+def op4_byte_bpe(spark, sf_dir):
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe_words.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe_words.decode(encoded, ranks).select(
+        F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("data", 256).alias("decoded_sha256"),
+    )
+
+
+@_query()
+def op6_quartile_digest(spark, sf_dir):
+    found = quartile_digest.edited_fingerprints(_table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@_query("""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_page,
+         row_number() OVER (PARTITION BY payload_digest ORDER BY page_id) AS place FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND place > 1 THEN first_page END AS refers_to
+FROM f
+""")
+def op7_warc_shards(spark, sf_dir):
+    root = scratch_path(spark, "warc")
+    warc_shards.write_archives(_table(spark, sf_dir, "pages"), root)
+    return warc_shards.read_archives(spark, root).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query()
+def op1_language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 5
+    model = lang_backoff.fit(docs.filter(remainder != 0))
+    held_out = F.coalesce(F.crc32(F.col("id").cast("string")) % 5 == 0, F.lit(False))
+    return lang_backoff.predict(docs, model).select(
+        F.col("id").alias("doc_id"), held_out.alias("held_out"), F.col("lang").alias("lang_pred"), "score"
+    )
+
+
+@_query(r"""
+WITH t AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents
+), w AS (
+  SELECT doc_id, pos, md5(array_to_string(words[pos:pos + 49], ' ')) AS h
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS pos FROM t WHERE len(words) >= 50)
+), late AS (
+  SELECT doc_id, pos FROM (SELECT *, min(doc_id) OVER (PARTITION BY h) AS first_doc FROM w) WHERE doc_id > first_doc
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS pos FROM late
+), kept AS (
+  SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.pos) AS kept, count(*) AS n
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM t) p
+  LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.pos = p.pos WHERE g.pos IS NULL GROUP BY p.doc_id
+)
+SELECT t.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN kept USING (doc_id)
+""")
+def op10_recompression(spark, sf_dir):
+    found = recompression.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
