@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.llm import bpe_words, lang_backoff, quartile_digest, recompression, simhash_gray, warc_shards
+from sluice.llm import bpe_words, lang_backoff, license_diagonals, quartile_digest, recompression, simhash_gray, warc_shards
 from sluice.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,16 @@ FROM t LEFT JOIN kept USING (doc_id)
 def op10_recompression(spark, sf_dir):
     found = recompression.remove_repeats(_table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query()
+def op9_license_diagonals(spark, sf_dir):
+    found = license_diagonals.scan(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s.exact)
+    labels = lambda spans: F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s.label))), ",")
+    start = F.transform(base, lambda s: s.start.cast("long"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(start).alias("first_word"), F.array_max(start).alias("last_word"),
+        labels(base).alias("base_labels"), labels(F.col("spans")).alias("labels"), "score",
+    )
