@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.llm import bpe_words, lang_backoff, license_diagonals, quartile_digest, recompression, simhash_gray, warc_shards
+from sluice.llm import bpe_words, lang_backoff, license_diagonals, pii_disclosure, quartile_digest, recompression, simhash_gray, warc_shards
 from sluice.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,3 +120,14 @@ def op9_license_diagonals(spark, sf_dir):
         F.array_min(start).alias("first_word"), F.array_max(start).alias("last_word"),
         labels(base).alias("base_labels"), labels(F.col("spans")).alias("labels"), "score",
     )
+
+
+@_query()
+def op8_pii_disclosure(spark, sf_dir):
+    found = pii_disclosure.find(_table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        F.col("id").alias("doc_id"), *[count(k) for k in pii_disclosure.KINDS],
+        F.sha2(pii_disclosure.span_list(F.col("base")), 256).alias("base_sha256"),
+        pii_disclosure.span_list(F.concat("base", "terms")).alias("spans"),
+    )
