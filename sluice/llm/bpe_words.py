@@ -21,10 +21,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from sluice.llm.packing import expand, numbers as unpacked, squeeze
 from sluice.scratch import materialize
 
 BLOCK_WORDS = 400_000  # distinct pre-tokens of a block
@@ -97,28 +97,6 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _squeeze(*arrays: np.ndarray | bytes) -> bytes:
-    """Arrays of uint32 (in byte planes, which compress well) and bytes, in one payload."""
-    parts = []
-    for a in arrays:
-        raw = a if isinstance(a, bytes) else np.ascontiguousarray(a.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
-        parts += [len(raw).to_bytes(8, "little"), raw]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
-
-
-def _expand(payload: bytes) -> list[bytes]:
-    raw, parts, at = zstandard.ZstdDecompressor().decompress(payload), [], 0
-    while at < len(raw):
-        size = int.from_bytes(raw[at : at + 8], "little")
-        parts.append(raw[at + 8 : at + 8 + size])
-        at += 8 + size
-    return parts
-
-
-def _numbers(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
-
-
 class _Numbered(dict):
     """Gives each new key the next number."""
 
@@ -144,7 +122,7 @@ def _split(pattern: str, buckets: int):
             chosen = order[cuts[b] : cuts[b + 1]]
             own = [words[i] for i in chosen.tolist()]
             lengths = np.fromiter(map(len, own), np.uint32, len(own))
-            rows.append((block, _WORDS, int(b), None, _squeeze(chosen, lengths, b"".join(own))))
+            rows.append((block, _WORDS, int(b), None, squeeze(chosen, lengths, b"".join(own))))
         if rows:
             yield _batch(rows)
 
@@ -157,7 +135,7 @@ def _split(pattern: str, buckets: int):
                 text = text.as_py() or ""
                 tokens = find(text)
                 numbers = np.fromiter(map(index.__getitem__, tokens), np.uint32, len(tokens))
-                rows.append((block, _DOC, None, doc.as_py(), _squeeze(numbers)))
+                rows.append((block, _DOC, None, doc.as_py(), squeeze(numbers)))
                 chars, held = chars + len(text), held + len(rows[-1][-1])
                 if len(rows) >= 5_000 or held > 8_000_000:
                     yield _batch(rows)
@@ -180,8 +158,8 @@ def _encode_words(ranks):
         for batch in batches:
             rows = []
             for block, bucket, payload in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(4)):
-                numbers, lengths, data = _expand(payload.as_py())
-                ends = np.cumsum(_numbers(lengths)).tolist()
+                numbers, lengths, data = expand(payload.as_py())
+                ends = np.cumsum(unpacked(lengths)).tolist()
                 found, begin = [], 0
                 for end in ends:
                     word, begin = data[begin:end], end
@@ -191,7 +169,7 @@ def _encode_words(ranks):
                     found.append(ids)
                 counts = np.fromiter(map(len, found), np.uint32, len(found))
                 flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(counts.sum()))
-                rows.append((block, _WORDS, bucket, None, _squeeze(_numbers(numbers), counts, flat)))
+                rows.append((block, _WORDS, bucket, None, squeeze(unpacked(numbers), counts, flat)))
                 if len(known) > _CACHE_WORDS:
                     known = {}
             if rows:
@@ -218,7 +196,7 @@ def _reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, kind, doc, payload in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3)), batch.column(4)):
             if at != block:
                 block, replies, words = at, [], None
-            parts = [_numbers(p) for p in _expand(payload.as_py())]
+            parts = [unpacked(p) for p in expand(payload.as_py())]
             if kind == _WORDS:
                 replies.append(parts)
                 continue

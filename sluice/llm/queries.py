@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.llm import bpe_words, lang_backoff, license_diagonals, pii_disclosure, quartile_digest, recompression, simhash_gray, warc_shards
+from sluice.llm import bpe_words, lang_backoff, license_diagonals, lsa_decontam, pii_disclosure, quartile_digest, recompression, simhash_gray, warc_shards
 from sluice.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,3 +131,9 @@ def op8_pii_disclosure(spark, sf_dir):
         F.sha2(pii_disclosure.span_list(F.col("base")), 256).alias("base_sha256"),
         pii_disclosure.span_list(F.concat("base", "terms")).alias("spans"),
     )
+
+
+@_query()
+def op5_lsa_decontamination(spark, sf_dir):
+    found = lsa_decontam.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "coverage", "answer", "first_word", "past_word", "cosine")
