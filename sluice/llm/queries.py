@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.llm import bpe_words, lang_backoff, license_diagonals, lsa_decontam, pii_disclosure, quartile_digest, recompression, simhash_gray, warc_shards
+from sluice.llm import bpe_words, lang_backoff, license_diagonals, lsa_decontam, pii_disclosure, quartile_digest, recompression, simhash_gray, toxicity_gru, warc_shards
 from sluice.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,3 +137,14 @@ def op8_pii_disclosure(spark, sf_dir):
 def op5_lsa_decontamination(spark, sf_dir):
     found = lsa_decontam.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "coverage", "answer", "first_word", "past_word", "cosine")
+
+
+@_query()
+def op3_toxicity_gru(spark, sf_dir):
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    remainder = lambda c: F.crc32(F.col(c).cast("string")) % 3
+    network = toxicity_gru.fit(docs, labels.filter(remainder("doc_id") != 1))
+    return toxicity_gru.score(docs, network).select(
+        F.col("id").alias("doc_id"), F.coalesce(remainder("id") == 1, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= toxicity_gru.THRESHOLD).cast("int").alias("predicted"),
+    )
