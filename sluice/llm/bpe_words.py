@@ -1,8 +1,9 @@
 """Byte-level BPE over the distinct words of the corpus.
 
-The texts are cut into pre-tokens once. A block of documents (what one task reads, cut at
-``BLOCK_WORDS`` distinct words) numbers its distinct pre-tokens; a document is then the list of
-those numbers in the order of its positions. Only the distinct pre-tokens of a block are shuffled,
+A block of documents (what one task reads, cut at ``BLOCK_WORDS`` distinct words) numbers its distinct
+pre-tokens by where they are first seen; a document is then the list of those numbers in the order of
+its positions. The texts are cut into pre-tokens once for the words and once for the positions, which
+is cheaper than to store the positions besides shuffling them. Only the distinct pre-tokens of a block are shuffled,
 by a hash of the word, so that one task sees every copy of a word and encodes it once; the ids go
 back to the blocks, where each document is put together again by position. Rows carry packed lists
 of words or numbers in place of one word each: the shuffles move what is distinct, and no key is
@@ -21,15 +22,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from sluice.llm.packing import expand, numbers as unpacked, squeeze
-from sluice.scratch import materialize
 
 BLOCK_WORDS = 400_000  # distinct pre-tokens of a block
 BLOCK_CHARS = 48_000_000  # characters of a block
-_CACHE_WORDS = 1_000_000  # encoded words that a task remembers at a time
+_CACHE_WORDS = 300_000  # encoded words that a task remembers at a time
 _SHORT = 64  # bytes up to which a word is merged by plain scans
 
 _ROW = "block long, kind int, bucket int, id long, payload binary"
@@ -109,8 +108,11 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ROW_ARROW)], schema=_ROW_ARROW)
 
 
-def _split(pattern: str, buckets: int):
-    """Documents -> their positions as numbers of the block's words, and the words by bucket."""
+def _split(pattern: str, buckets: int, kind: int):
+    """Documents -> the words of each block by bucket, or their positions as numbers of those words.
+
+    Both kinds see the same blocks: these follow from the texts in the order of the input alone.
+    """
 
     def words_of(block: int, index: _Numbered) -> Iterator[pa.RecordBatch]:
         words = [w.encode() for w in index]
@@ -128,24 +130,29 @@ def _split(pattern: str, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
-        block = TaskContext.get().partitionId() << 32
-        index, chars, rows, held = _Numbered(), 0, [], 0
+        block, index, chars, rows, held = None, _Numbered(), 0, [], 0
         for batch in batches:
+            if block is None and batch.num_rows:
+                block = batch.column(2)[0].as_py() << 32
             for doc, text in zip(batch.column(0), batch.column(1)):
                 text = text.as_py() or ""
                 tokens = find(text)
                 numbers = np.fromiter(map(index.__getitem__, tokens), np.uint32, len(tokens))
-                rows.append((block, _DOC, None, doc.as_py(), squeeze(numbers)))
-                chars, held = chars + len(text), held + len(rows[-1][-1])
+                if kind == _DOC:
+                    rows.append((block, _DOC, None, doc.as_py(), squeeze(numbers)))
+                    held += len(rows[-1][-1])
+                chars += len(text)
                 if len(rows) >= 5_000 or held > 8_000_000:
                     yield _batch(rows)
                     rows, held = [], 0
                 if len(index) > BLOCK_WORDS or chars > BLOCK_CHARS:
-                    yield from words_of(block, index)
+                    if kind == _WORDS:
+                        yield from words_of(block, index)
                     block, index, chars = block + 1, _Numbered(), 0
         if rows:
             yield _batch(rows)
-        yield from words_of(block, index)
+        if kind == _WORDS and index:
+            yield from words_of(block, index)
 
     return run
 
@@ -231,15 +238,16 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     ``ranks_path`` is read by the driver; ``pattern`` cuts a text into pre-tokens. A null or empty
     text has no ids. Repeated rows, equal ids and null ids give a row each; an empty table gives no
-    rows. Other columns are not read.
+    rows. Other columns are not read. ``docs`` is read twice and has to give the same rows in the same order,
+    as files do; store what does not.
     """
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
     buckets = max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    split = materialize(rows.mapInArrow(_split(pattern, buckets), _ROW), "positions")
-    words = split.filter(F.col("kind") == _WORDS).repartition("bucket").mapInArrow(_encode_words(ranks), _ROW)
-    parts = words.unionAll(split.filter(F.col("kind") == _DOC))
+    # Numbers the parts of the input; the number of a task would count those of the other branch too.
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.spark_partition_id().alias("part"))
+    words = rows.mapInArrow(_split(pattern, buckets, _WORDS), _ROW).repartition("bucket").mapInArrow(_encode_words(ranks), _ROW)
+    parts = words.unionAll(rows.mapInArrow(_split(pattern, buckets, _DOC), _ROW))
     together = parts.repartition("block").sortWithinPartitions("block", "kind")
     return together.mapInArrow(_reassemble, "id long, ids array<int>")
 
