@@ -128,26 +128,36 @@ def disclosing_terms(
     return materialize(best.select("term", "best.kind", "best.bits"), "disclosing-terms")
 
 
+def with_spans(docs: DataFrame, text_col: str = "text", **limits) -> DataFrame:
+    """All columns of ``docs``, and ``pii_text`` (null as empty), ``pii_base`` and ``pii_terms``.
+
+    The spans of ``pii_terms`` have kind ``term`` and, as ``found``, what they are generalised to ('' to
+    remove them); those that touch a base span are left out. ``limits`` are those of ``disclosing_terms``.
+    """
+    terms = disclosing_terms(docs, text_col, **limits)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    words = docs.select(F.xxhash64(text_col).alias("content"), F.explode(F.array_distinct(_terms(text))).alias("term"))
+    shown = F.when(F.col("bits") >= REMOVE_BITS, "").otherwise(F.concat(F.lit("["), "kind", F.lit(" hint]")))
+    held = words.join(terms, "term").groupBy("content").agg(F.map_from_entries(F.collect_set(F.struct("term", shown))).alias("pii_held"))
+    held = materialize(held.withColumnRenamed("content", "pii_content"), "texts-with-terms")
+    rows = docs.withColumn("pii_text", text)
+    both = rows.join(held, F.xxhash64(text_col) == held.pii_content, "left").withColumn("pii_base", base_spans(F.col("pii_text")))
+    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.map_keys("pii_held"), "|"), F.lit(r")(?!\p{L})"))
+    spans = F.when(F.col("pii_held").isNotNull(), _matches(F.col("pii_text"), pattern, TERM)).otherwise(F.array().cast(f"array<{_SPAN}>"))
+    free = F.filter(spans, lambda s: ~F.exists("pii_base", lambda b: (s.start < b.stop) & (b.start < s.stop)))
+    named = F.transform(free, lambda s: s.withField("found", F.coalesce(F.element_at("pii_held", F.lower(s.found)), F.lit(""))))
+    return both.withColumn("pii_terms", named).drop("pii_held", "pii_content")
+
+
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
     """(id, text, base, terms) for every row: spans of the fixed kinds, and of disclosing terms.
 
-    Spans of terms have kind ``term`` and, as ``found``, what they are generalised to ('' to remove them);
-    those that touch a base span are left out. Null texts count as empty, repeated rows give a row each,
-    null ids stay null, an empty table gives no rows. ``limits`` are those of ``disclosing_terms``.
+    Null texts count as empty, repeated rows give a row each, null ids stay null, an empty table gives no
+    rows; see ``with_spans``.
     """
-    terms = disclosing_terms(docs, text_col, **limits)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("content"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    words = rows.select("content", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
-    held = words.join(terms, "term").groupBy("content").agg(
-        F.map_from_entries(F.collect_set(F.struct("term", F.when(F.col("bits") >= REMOVE_BITS, "").otherwise(F.concat(F.lit("["), "kind", F.lit(" hint]")))))).alias("held")
-    )
-    held = materialize(held, "texts-with-terms")
-    both = rows.join(held, "content", "left").withColumn("base", base_spans(F.col("text")))
-    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.map_keys("held"), "|"), F.lit(r")(?!\p{L})"))
-    spans = F.when(F.col("held").isNotNull(), _matches(F.col("text"), pattern, TERM)).otherwise(F.array().cast(f"array<{_SPAN}>"))
-    free = F.filter(spans, lambda s: ~F.exists("base", lambda b: (s.start < b.stop) & (b.start < s.stop)))
-    shown = F.transform(free, lambda s: s.withField("found", F.coalesce(F.element_at("held", F.lower(s.found)), F.lit(""))))
-    return both.select("id", "text", "base", shown.alias("terms"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    found = with_spans(rows, "text", **limits)
+    return found.select("id", F.col("pii_text").alias("text"), F.col("pii_base").alias("base"), F.col("pii_terms").alias("terms"))
 
 
 def span_list(spans: Column) -> Column:
@@ -156,10 +166,10 @@ def span_list(spans: Column) -> Column:
     return F.array_join(text, ",")
 
 
-def sanitised(found: DataFrame) -> Column:
-    """The text of a row of ``find`` with its spans replaced: base kinds and generalised terms by a label."""
+def sanitised(text: str, base: str, terms: str) -> Column:
+    """The text with its spans replaced: base kinds and generalised terms by a label, others by nothing."""
     label = lambda s: F.when(s.kind == TERM, s.found).otherwise(F.concat(F.lit("["), F.upper(s.kind), F.lit("]")))
-    spans = F.array_sort(F.concat("base", "terms"))
+    spans = F.array_sort(F.concat(base, terms))
     cut = "struct<from:int,start:int,label:string>"
     zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{cut}>").alias("cuts"))
 
@@ -170,13 +180,14 @@ def sanitised(found: DataFrame) -> Column:
         return F.struct(F.greatest(state.at, s.stop).alias("at"), cuts.alias("cuts"))
 
     def render(state):
-        pieces = F.transform(state.cuts, lambda c: F.concat(F.substring("text", c["from"] + 1, c.start - c["from"]), c.label))
-        return F.concat(F.array_join(pieces, ""), F.substring("text", state.at + 1, F.length("text")))
+        pieces = F.transform(state.cuts, lambda c: F.concat(F.substring(text, c["from"] + 1, c.start - c["from"]), c.label))
+        return F.concat(F.array_join(pieces, ""), F.substring(text, state.at + 1, F.length(text)))
 
-    return F.when(F.size(spans) == 0, F.col("text")).otherwise(F.aggregate(spans, zero, step, render))
+    return F.when(F.size(spans) == 0, F.col(text)).otherwise(F.aggregate(spans, zero, step, render))
 
 
-def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
-    """(id, clean) for every row: its text with personal data and disclosing terms replaced or removed."""
-    found = find(docs, id_col, text_col, **limits)
-    return found.select("id", sanitised(found).alias("clean"))
+def sanitise(docs: DataFrame, text_col: str = "text", **limits) -> DataFrame:
+    """``docs`` with personal data and disclosing terms in its texts replaced or removed; null stays null."""
+    found = with_spans(docs, text_col, **limits)
+    clean = F.when(F.col(text_col).isNotNull(), sanitised("pii_text", "pii_base", "pii_terms"))
+    return found.withColumn(text_col, clean).drop("pii_text", "pii_base", "pii_terms")

@@ -20,7 +20,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 WINDOW, STRIDE = 24, 16  # words of a window, and between the starts of two
 PER_LABEL = {1: 1500, 0: 2500}  # expected labelled rows of the sample; those with longer texts are passed over
@@ -398,6 +398,22 @@ def score(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: s
     return rows.mapInArrow(run, "id long, score double")
 
 
+def with_score(docs: DataFrame, network: Network, text_col: str = "text", name: str = "toxicity") -> DataFrame:
+    """All columns of ``docs`` and ``name``, the score as in ``score``, without a join."""
+    shared = docs.sparkSession.sparkContext.broadcast(network)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(shared.value)
+        for batch in batches:
+            for part in _parts(batch.column(at)):
+                rows = batch.slice(*part)
+                scores = pa.array(scorer(rows.column(at).to_pylist()), pa.float64())
+                yield pa.RecordBatch.from_arrays([*rows.columns, scores], names=[*rows.schema.names, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+
+
 def _parts(texts: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, int]]:
     """(offset, length) of runs of texts of about ``most`` bytes."""
     begin, held = 0, 0

@@ -76,7 +76,8 @@ def test_disclosing_terms_and_clean_text(docs_of):
     rows += [(2000, "nobody knows rumpelstilz."), (2001, "call +1 222 333 4444 via 1.2.3.4"), (2001, "call +1 222 333 4444 via 1.2.3.4")]
     terms = {r.term: r for r in P.disclosing_terms(docs_of(rows), bits=5.0).collect()}
     assert "rumpelstilz" in terms and terms["rumpelstilz"].kind == "email" and not set(fill) & set(terms)
-    clean = {r.id: r.clean for r in P.sanitise(docs_of(rows), bits=5.0).collect()}
+    clean = {r.doc_id: r.text for r in P.sanitise(docs_of(rows + [(3000, None)]), bits=5.0).collect()}
+    assert clean[3000] is None
     assert clean[2000] == "nobody knows [email hint]."
     assert clean[2001] == "call [PHONE] via [IP]"
     assert "[EMAIL]" in clean[1000] and "example" not in clean[1000] and "Rumpel" not in clean[1000]
