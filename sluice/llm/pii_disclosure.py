@@ -112,17 +112,18 @@ def disclosing_terms(
     rows = docs.select(F.xxhash64(text_col).alias("content"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     contexts = materialize(_contexts(rows), "contexts")
     entities = contexts.groupBy("entity").agg(F.countDistinct("content").alias("n_entity"))
-    pairs = (
-        contexts.dropna(subset=["term"]).groupBy("entity", "kind", "term").agg(F.countDistinct("context").alias("n_pair"), F.countDistinct("content").alias("n_both"))
-        .filter(F.col("n_pair") >= support)
-    )
+    terms = contexts.dropna(subset=["term"])
+    pairs = terms.groupBy("entity", "kind", "term").agg(F.countDistinct("context").alias("n_pair"), F.countDistinct("content").alias("n_both"))
+    # A term is in as many texts at least as by entities, so one that is by many others cannot be certain.
+    around = terms.groupBy("term").agg(F.countDistinct("content").alias("n_around"))
+    pairs = pairs.filter(F.col("n_pair") >= support).join(around, "term").filter(F.col("n_both") / F.col("n_around") >= certainty)
     pairs = materialize(pairs.join(entities, "entity"), "term-candidates")
     candidates = materialize(pairs.select("term").distinct(), "candidates")
     words = rows.select("content", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
     counted = words.join(candidates, "term", "left_semi").groupBy("term").agg(F.countDistinct("content").alias("n_term"))
-    total = rows.select("content").distinct().agg(F.count(F.lit(1)).alias("n"))
+    total = rows.select("content").distinct().count()
     share = F.col("n_both") / F.col("n_term")
-    known = pairs.join(counted, "term").join(F.broadcast(total)).withColumn("bits", F.log2(share * F.col("n") / F.col("n_entity")))  # one row
+    known = pairs.join(counted, "term").withColumn("bits", F.log2(share * F.lit(total) / F.col("n_entity")))
     strong = known.filter((share >= certainty) & (F.col("bits") >= bits))
     best = strong.groupBy("term").agg(F.max(F.struct("bits", "kind")).alias("best"))
     return materialize(best.select("term", "best.kind", "best.bits"), "disclosing-terms")
