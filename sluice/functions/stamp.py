@@ -55,7 +55,9 @@ def surrogate_id(df: DataFrame, name: str, start: int = 0) -> DataFrame:
 
 
 def padded(number: Column, width: int = 11) -> Column:
-    return F.lpad(number.cast("string"), width, "0")
+    """Text with zeros in front up to ``width``; a longer number keeps all its digits."""
+    text = number.cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
 
 
 def sequence_id(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 from operator import add, and_
 
@@ -114,6 +115,8 @@ class ReferenceList:
         self.frame = frame
         self.key = key
         self._keys: dict[str, tuple[DataFrame, bool]] = {}
+        self._fits: dict[str, bool] = {}
+        self._facts: dict[str, bool] = {}
 
     def keys(self, data_type: T.DataType) -> DataFrame:
         """Distinct keys as column ``__ref``, in the type of the checked column."""
@@ -134,18 +137,37 @@ class ReferenceList:
                 .distinct()
             )
             # The list with its repeats is the quicker one to measure, and is an upper bound.
-            small = fits_broadcast(self.frame.select(typed))
+            small = self.fits(data_type)
             if not small:
                 keys = materialize(keys, "reference-keys")
                 small = fits_broadcast(keys)
             self._keys[name] = (keys, small)
         return self._keys[name]
 
+    def fits(self, data_type: T.DataType) -> bool:
+        """Whether the list with its repeats is small; unlike ``is_small`` it never copies the list."""
+        name = data_type.simpleString()
+        if name not in self._fits:
+            self._fits[name] = fits_broadcast(self.frame.select(F.col(self.key).try_cast(data_type)))
+        return self._fits[name]
+
+    def held(self, used: DataFrame, data_type: T.DataType, null_safe: bool) -> DataFrame:
+        """Distinct keys as ``__ref`` that are among ``used`` (``__used``, few), without a copy of the list."""
+        keys = self.frame.select(F.col(self.key).try_cast(data_type).alias("__ref"), F.col(self.key).isNull().alias("__null"))
+        keys = keys.filter(F.col("__ref").isNotNull() | F.col("__null")).select("__ref")
+        a, b = F.col("__ref"), F.col("__used")
+        return keys.join(F.broadcast(used), a.eqNullSafe(b) if null_safe else a == b, "left_semi").distinct()
+
     def has_null(self) -> bool:
-        return not self.frame.filter(F.col(self.key).isNull()).isEmpty()
+        return self._fact("null", lambda: not self.frame.filter(F.col(self.key).isNull()).isEmpty())
 
     def is_empty(self) -> bool:
-        return self.frame.isEmpty()
+        return self._fact("empty", self.frame.isEmpty)
+
+    def _fact(self, name: str, look: Callable[[], bool]) -> bool:
+        if name not in self._facts:
+            self._facts[name] = look()
+        return self._facts[name]
 
 
 def flag_known(
@@ -160,15 +182,29 @@ def flag_known(
     """Add boolean ``flag``: the value of ``column`` is in ``reference``.
 
     A large reference is not joined to the rows at once. The distinct values in use (reduced
-    before the shuffle, so a hot key is one row) are looked up first; if the unknown or the known
-    ones are few they are broadcast, and the rows of ``df`` are never shuffled. The values are read
-    from ``stored``, the table that ``df`` was derived from (by default ``df`` itself).
+    before the shuffle, so a hot key is one row) are measured first. If they are few, they are broadcast
+    to the list, which stays where it is, and what it holds of them to the rows. Else they are looked up;
+    if the unknown or the known ones are few these are broadcast, and the rows of ``df`` are never
+    shuffled. A nearly unique column goes straight to the join. The values are read from ``stored``, the
+    table that ``df`` was derived from (by default ``df`` itself).
     """
     stored = df if stored is None else stored
     data_type = df.schema[column].dataType
+    unique = False
+    if not reference.fits(data_type):
+        used = stored.select(F.col(column).alias("__used"))
+        n, distinct = used.agg(F.count(F.lit(1)), F.approx_count_distinct("__used")).first()
+        unique = distinct > n / 2
+        used = used.distinct()
+        if not unique or fits_broadcast(used):
+            used = materialize(used, "used-values")
+            if fits_broadcast(used):
+                few = materialize(reference.held(used, data_type, null_safe), "held-keys").withColumn("__matched", F.lit(True))
+                a, b = F.col(column), F.col("__ref")
+                marked = df.join(F.broadcast(few), a.eqNullSafe(b) if null_safe else a == b, "left")
+                return marked.withColumn(flag, F.col("__matched").isNotNull()).drop("__ref", "__matched")
     keys, small = reference.keys(data_type), reference.is_small(data_type)
-    if not small:
-        used = stored.select(F.col(column).alias("__used")).distinct()
+    if not small and not unique:
         a, b = F.col("__used"), F.col("__ref")
         listed = keys.withColumn("__listed", F.lit(True))
         looked_up = used.join(listed, a.eqNullSafe(b) if null_safe else a == b, "left")

@@ -91,6 +91,8 @@ def dense_number(
     """
     group = list(within)
     order = [*group, *[c for c in order_by if c not in group]]
+    # Stored first: finding the ranges is a pass of its own.
+    df = materialize(df, "unordered")
     path = scratch_path(df.sparkSession, "ordered")
     df.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
     stored = (

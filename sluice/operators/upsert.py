@@ -129,4 +129,7 @@ def _unmatched(rows: DataFrame, target: DataFrame, on) -> DataFrame:
     """Rows of ``rows`` whose key is not in ``target``."""
     typed = _typed_keys(rows, target, on)
     same = reduce(and_, [value == F.col(f"__t_{s}") for s, value in typed.items()])
-    return rows.join(_present(target, rows, on), same, "left_anti")
+    # Rows without a key match nothing; set apart, they do not meet in one task of the join.
+    keyed = reduce(and_, [value.isNotNull() for value in typed.values()])
+    missing = rows.filter(keyed).join(_present(target, rows.filter(keyed), on), same, "left_anti")
+    return missing.unionAll(rows.filter(~keyed))

@@ -13,14 +13,15 @@ from sluice.functions.stamp import audit, new_batch_id, rename, surrogate_id
 from sluice.operators.changes import (
     class_counts, deal_buckets, deal_performance, dedup, dropped_duplicates, flag_changes,
 )
-from sluice.operators.lookups import ReferenceList
+from sluice.operators.lookups import ReferenceList, fits_broadcast, left_join_unique
 from sluice.operators.numbering import number_records
 from sluice.operators.rules import Broken, Required, classify
 from sluice.operators.upsert import delete_where, has_known_key, upsert
 from sluice.plans import leads
 from sluice.scratch import materialize
-from sluice.sinks.files import create_csv, write_csv
-from sluice.sinks.tables import append, clear, current, publish
+from sluice.sinks.files import write_csv
+from sluice.sinks.tables import append, clear, current, publish, replace_batch
+from sluice.sources.extracts import path_exists
 from sluice.sources.delimited import (
     physical_lines, read_delimited, scan_delimited, store_delimited,
 )
@@ -36,11 +37,13 @@ class IntakeResult:
 
 @dataclass(frozen=True)
 class LeadTables:
-    """Catalog names of the three lead targets."""
+    """Catalog names of the three lead targets and, for staged loads, of the rows kept by batch."""
 
     leads: str
     members: str
     items: str
+    staging: str | None = None
+    errors: str | None = None
 
 
 def intake_outcomes(
@@ -177,17 +180,32 @@ def staged_intake(
     at: datetime | str,
     by: str,
     batch_id: int | None = None,
+    replace: bool = False,
     files: int | None = None,
     count_lines: bool = False,
 ) -> IntakeResult:
     """Load a lead file through staging rows with a status code, an error log and reports.
 
-    With ``products`` the file has the wide layout and gives member and item rows; without, it
-    has the narrow layout and only leads are merged.
+    With ``products`` the file has the wide layout and gives member and item rows; without, it has the
+    narrow layout and only leads are merged. A lead number that the target knows keeps its id (the lowest,
+    if several have it) and is updated; a file that names such a lead twice is refused. Other rows get ids
+    above the highest in use, and so do members and items.
+
+    The reports must not exist and the batch id must be new. ``replace`` loads a batch again, after a
+    load that broke off or to correct it: with ``targets.staging`` its records keep the ids of that batch,
+    and what it wrote to the tables kept by batch is replaced.
     """
     wide = products is not None
     layout = schemas.LEAD_FILE_WIDE if wide else schemas.LEAD_FILE_NARROW
-    batch_id = new_batch_id() if batch_id is None else batch_id
+    if batch_id is None:
+        batch_id = new_batch_id()
+        while _batch_in_use(spark, targets, batch_id):
+            batch_id = new_batch_id()
+    elif not replace and _batch_in_use(spark, targets, batch_id):
+        raise ValueError(f"batch {batch_id} is in use")
+    reports = [f"{output_path}/status", *([f"{output_path}/errors"] if wide else [])]
+    if not replace and (taken := [r for r in reports if path_exists(spark, r)]):
+        raise ValueError(f"exists already: {', '.join(taken)}")
     rules = [
         Broken(F.col(schemas.CORRUPT).isNotNull(), "malformed"),
         Required(leads.REQUIRED if wide else leads.REQUIRED_NARROW, "missing_required"),
@@ -206,22 +224,44 @@ def staged_intake(
     )
 
     target = current(spark, targets.leads, schemas.LEADS)
-    staged = leads.stage_rows(rows.filter(bad.isNull()), layout, batch_id, at, by)
+    known = _with_lead_ids(spark, rows.filter(bad.isNull()), target, targets, batch_id)
+    staged = leads.stage_rows(known, layout, batch_id, at, by, key="lead_id")
     status = leads.import_status(
         staged, batch_id, leads.staged_rules(parties, products), ReferenceList(target, "LEAD_ID")
     )
     status = materialize(status, "import-status")
+    if targets.staging:
+        # Before the targets: a load that breaks off finds its ids here.
+        replace_batch(status, targets.staging, "BATCH_ID")
     frames = {"status": leads.finished(status)}
-    publish(leads.merge_leads(target, status), targets.leads)
+    if status.filter("IMPORT_MODE = 'U' AND IMPORT_STATUS_CODE = 'I'").isEmpty() and spark.catalog.tableExists(targets.leads):
+        append(leads.inserted_leads(status, target.schema), targets.leads)
+    else:
+        publish(leads.merge_leads(target, status), targets.leads)
     if wide:
-        taken = leads.accepted_rows(status)
-        frames["members"] = leads.member_rows(taken)
-        frames["items"] = leads.item_rows(taken)
-        append(_whole(frames["members"], schemas.LEAD_MEMBERS), targets.members)
-        append(_whole(frames["items"], schemas.LEAD_ITEMS), targets.items)
+        accepted = materialize(leads.accepted_rows(status), "accepted")
+        for name, table, schema, build, key in (
+            ("members", targets.members, schemas.LEAD_MEMBERS, leads.member_rows, "MKL_LEAD_TC_MEMBER_ID"),
+            ("items", targets.items, schemas.LEAD_ITEMS, leads.item_rows, "PROD_ASSOC_ID"),
+        ):
+            frames[name] = build(accepted, _highest_child(spark, table, key, batch_id))
+            by_batch = T.StructType([*schema.fields, T.StructField("BATCH_ID", T.IntegerType())])
+            children = _whole(frames[name].withColumn("BATCH_ID", F.lit(batch_id)), by_batch)
+            if spark.catalog.tableExists(table) and "BATCH_ID" not in spark.table(table).columns:
+                if replace:
+                    raise ValueError(f"{table} does not keep batches apart")
+                append(children.drop("BATCH_ID"), table)
+            else:
+                replace_batch(children, table, "BATCH_ID")
         frames["errors"] = leads.error_log(status)
-        create_csv(leads.error_report(frames["errors"]), f"{output_path}/errors", partitions=files)
-    create_csv(leads.status_report(frames["status"]), f"{output_path}/status", partitions=files)
+        if targets.errors:
+            replace_batch(frames["errors"], targets.errors, "BATCH_ID")
+    if targets.staging:
+        replace_batch(frames["status"], targets.staging, "BATCH_ID")
+    mode = "overwrite" if replace else "errorifexists"
+    if wide:
+        write_csv(leads.error_report(frames["errors"]), f"{output_path}/errors", mode=mode, partitions=files)
+    write_csv(leads.status_report(frames["status"]), f"{output_path}/status", mode=mode, partitions=files)
 
     counts = {f"rejected_{r[0]}": r[1] for r in class_counts(rows.filter(bad.isNotNull()), "reject_reason").collect()}
     counts.update({r[0]: r[1] for r in class_counts(frames["status"], "IMPORT_STATUS_CODE").collect()})
@@ -231,6 +271,44 @@ def staged_intake(
     return IntakeResult(counts, frames)
 
 
+def _batch_in_use(spark: SparkSession, targets: LeadTables, batch_id: int) -> bool:
+    names = [n for n in (targets.staging, targets.errors, targets.members, targets.items) if n and spark.catalog.tableExists(n)]
+    kept = [spark.table(n) for n in names if "BATCH_ID" in spark.table(n).columns]
+    return any(not t.filter(F.col("BATCH_ID") == batch_id).isEmpty() for t in kept)
+
+
+def _with_lead_ids(spark, rows: DataFrame, target: DataFrame, targets: LeadTables, batch_id: int) -> DataFrame:
+    """Add ``lead_id``: that of the same record of the batch, else of the lead number, else a new one."""
+    top = target.agg(F.max("LEAD_ID")).first()[0] or 0
+    earlier = None
+    if targets.staging and spark.catalog.tableExists(targets.staging):
+        kept = spark.table(targets.staging)
+        top = max(top, kept.agg(F.max("PK1")).first()[0] or 0)
+        earlier = kept.filter(F.col("BATCH_ID") == batch_id).select(F.col("FILE_RECORD_NUM").alias("record"), F.col("PK1").alias("earlier_id"))
+    number = next(c for c in rows.columns if c.lower() == "leadnumber")  # the layouts differ in case
+    wanted = rows.select(F.col(number).cast("string").alias("LEAD_NUMBER")).distinct()
+    held = target.select("LEAD_NUMBER", "LEAD_ID")
+    if fits_broadcast(wanted):
+        held = held.join(F.broadcast(wanted), "LEAD_NUMBER", "left_semi")
+    ids = materialize(held.groupBy("LEAD_NUMBER").agg(F.min("LEAD_ID").alias("known_id")), "known-leads")
+    found = left_join_unique(rows, ids.withColumnRenamed("LEAD_NUMBER", "known_number"), [(number, "known_number")])
+    columns = [F.col("known_id"), F.col("FILE_RECORD_NUM") + F.lit(top)]
+    if earlier is not None:
+        found = left_join_unique(found, earlier, [("FILE_RECORD_NUM", "record")])
+        columns.insert(0, F.col("earlier_id"))
+    return found.withColumn("lead_id", F.coalesce(*columns).cast("long"))
+
+
+def _highest_child(spark: SparkSession, table: str, key: str, batch_id: int) -> int:
+    """Highest child id in use, without those that the batch wrote before."""
+    if not spark.catalog.tableExists(table):
+        return leads.CHILD_BASE
+    rows = spark.table(table)
+    if "BATCH_ID" in rows.columns:
+        rows = rows.filter(~F.col("BATCH_ID").eqNullSafe(F.lit(batch_id)))
+    return max(leads.CHILD_BASE, rows.agg(F.max(F.col(key).try_cast("long"))).first()[0] or 0)
+
+
 def clean_lead_tables(spark: SparkSession, targets: LeadTables, *, children: bool = True) -> None:
     """Delete the leads that have a country and, with ``children``, all member and item rows.
 

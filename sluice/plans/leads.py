@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -95,15 +95,19 @@ def stage_rows(
     at: datetime | str,
     by: str,
     record_number: str = "FILE_RECORD_NUM",
+    key: str | None = None,
 ) -> DataFrame:
-    """Staging rows: lead fields as text attributes, record number, row id and key, stamps."""
+    """Staging rows: lead fields as text attributes, record number, row id and key, stamps.
+
+    ``key`` names the column with the lead id; by default it is the record number.
+    """
     names = schemas.staging_renames(layout)
     text = as_text(df, list(names))
     staged = text.select(
         *[F.col(old).alias(new) for old, new in names.items()],
         F.col(record_number).alias("FILE_RECORD_NUM"),
         F.col(record_number).alias("INTERFACE_ROW_ID"),
-        F.col(record_number).alias("PK1"),
+        F.col(key or record_number).alias("PK1"),
     )
     return batch(audit(staged, at, by), batch_id)
 
@@ -130,13 +134,17 @@ def import_status(
     ).drop("__known")
 
 
-def error_log(status: DataFrame) -> DataFrame:
-    """One row per failed row, with a padded id counted per message in record order."""
+def error_log(status: DataFrame, bases: Mapping[str, int] = ERROR_BASES) -> DataFrame:
+    """One row per failed row, with a padded id counted per message in record order.
+
+    BATCH_ID, ERROR_MESSAGE and ERROR_ID together are unique. The usual ``bases`` leave room for 100
+    errors per message; with bases farther apart ERROR_ID alone is unique in a batch.
+    """
     failed = status.filter(F.col("IMPORT_STATUS_CODE") == "E").select(
         "BATCH_ID", "FILE_RECORD_NUM", "ERROR_MESSAGE"
     )
     numbered = renumber(failed, "FILE_RECORD_NUM", "__number", within=["ERROR_MESSAGE"])
-    base = F.coalesce(*[F.when(F.col("ERROR_MESSAGE") == m, b) for m, b in ERROR_BASES.items()])
+    base = F.coalesce(*[F.when(F.col("ERROR_MESSAGE") == m, b) for m, b in bases.items()])
     return numbered.select(
         padded(base + F.col("__number")).alias("ERROR_ID"), "BATCH_ID", "FILE_RECORD_NUM", "ERROR_MESSAGE"
     )
@@ -151,9 +159,10 @@ def accepted_rows(status: DataFrame) -> DataFrame:
 _STAMPS = ["CREATION_DATE", "LAST_UPDATE_DATE", "LAST_UPDATED_BY", "CREATED_BY"]
 
 
-def member_rows(taken: DataFrame) -> DataFrame:
+def member_rows(taken: DataFrame, base: int = CHILD_BASE) -> DataFrame:
+    """Member rows of accepted rows, with ids above ``base``."""
     return taken.select(
-        padded(F.col("CHILD_NUMBER") + CHILD_BASE).alias("MKL_LEAD_TC_MEMBER_ID"),
+        padded(F.col("CHILD_NUMBER") + base).alias("MKL_LEAD_TC_MEMBER_ID"),
         F.col("PK1").alias("LEAD_ID"),
         F.col(PARTY_USAGE).alias("PARTY_USAGE_CODE"),
         F.col(CONTACT).cast("long").alias("PARTY_ID"),
@@ -162,9 +171,10 @@ def member_rows(taken: DataFrame) -> DataFrame:
     )
 
 
-def item_rows(taken: DataFrame) -> DataFrame:
+def item_rows(taken: DataFrame, base: int = CHILD_BASE) -> DataFrame:
+    """Item rows of accepted rows, with ids above ``base``."""
     return taken.select(
-        padded(F.col("CHILD_NUMBER") + CHILD_BASE).alias("PROD_ASSOC_ID"),
+        padded(F.col("CHILD_NUMBER") + base).alias("PROD_ASSOC_ID"),
         F.col("PK1").alias("LEAD_ID"),
         F.col(PRODUCT).cast("long").alias("PRODUCT_GROUP_ID"),
         F.col(CURRENCY).alias("CONV_CURR_CODE"),
@@ -189,6 +199,14 @@ def merge_leads(leads: DataFrame, status: DataFrame) -> DataFrame:
     )
 
 
+def inserted_leads(status: DataFrame, schema: T.StructType) -> DataFrame:
+    """The new leads alone, for an append; only where no row is in mode 'U'."""
+    taken = status.filter(F.col("IMPORT_STATUS_CODE") == "I")
+    return taken.select(
+        *[(F.col(STAGED_LEAD_INSERTS[f.name]) if f.name in STAGED_LEAD_INSERTS else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
+    )
+
+
 def finished(status: DataFrame) -> DataFrame:
     """Status after the load: 'I' becomes 'S'."""
     code = F.col("IMPORT_STATUS_CODE")

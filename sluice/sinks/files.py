@@ -14,14 +14,16 @@ def write_csv(
     by: str | None = None,
     even: bool = False,
 ) -> None:
-    """CSV with header. ``partitions`` lowers the number of files; ``by`` makes one folder per value.
+    """CSV with header. ``partitions`` sets the number of files (the rows lose their order); ``by``
+    makes one folder per value.
 
     Folders are written after a rebalance: rows of one folder come together in files of even size,
     and a folder that holds most rows is split over tasks. ``even`` does so without folders, for
     few rows left over from many tasks; the rows lose their order.
     """
     if partitions is not None:
-        df = df.coalesce(partitions)
+        # Not coalesce: scan and filter above would run in so few tasks too.
+        df = df.repartition(partitions)
     elif by is not None:
         df = df.hint("rebalance", by)
     elif even:

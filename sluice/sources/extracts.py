@@ -12,14 +12,24 @@ from sluice.functions.stamp import timestamp
 
 
 def cached_extract(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The Parquet extract at ``path``; if there is none, ``build`` and write it first."""
+    """The Parquet extract at ``path``; if it is not there as a whole, ``build`` and write it first.
+
+    Whole is an extract with the marker that a finished write leaves. What a broken-off write or the
+    loss of the marker left behind is replaced.
+    """
+    if not path_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
+        build().write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(path)
+    return spark.read.parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
     try:
-        return spark.read.parquet(path)
+        spark.read.format("binaryFile").load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    build().write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+        return False
+    return True
 
 
 def younger_than(column: str, days: int, as_of: datetime) -> Column:

@@ -1,3 +1,4 @@
+import glob
 import os
 from datetime import datetime
 
@@ -81,9 +82,13 @@ def test_extract_is_built_once(spark, folder):
     for _ in range(2):
         assert rows(cached_extract(spark, folder + "/extract", build)) == [("1",)]
     assert builds == [1]
-    with pytest.raises(AnalysisException):  # only a missing extract is built
-        os.makedirs(folder + "/empty")
-        cached_extract(spark, folder + "/empty", build)
+    os.remove(folder + "/extract/_SUCCESS")  # without the marker it may lack files
+    for f in glob.glob(folder + "/extract/*.parquet"):
+        os.remove(f)
+    os.makedirs(folder + "/broken/_temporary/0")
+    for name in ("/extract", "/broken"):
+        assert rows(cached_extract(spark, folder + name, build)) == [("1",)]
+    assert len(builds) == 3
 
 
 @pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin"])

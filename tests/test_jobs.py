@@ -148,7 +148,7 @@ def test_staged_intake_wide(spark, folder):
     targets = tables()
     lines = [wide(l) for l in FILE_A if '"' not in l and l.count(",") == 12]
     path = lead_file(folder, schemas.LEAD_FILE_WIDE, lines)
-    old = spark.createDataFrame([(1, "OLD", datetime(2000, 1, 1))], "LEAD_ID long, LEAD_NUMBER string, CREATION_DATE timestamp_ntz")
+    old = spark.createDataFrame([(1, "L1", datetime(2000, 1, 1))], "LEAD_ID long, LEAD_NUMBER string, CREATION_DATE timestamp_ntz")
     publish(old.select(*[
         (F.col(f.name) if f.name in old.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.LEADS
     ]), targets.leads)
@@ -161,14 +161,14 @@ def test_staged_intake_wide(spark, folder):
         7: ("E", None), 11: ("S", None),
     }
     leads = {r.LEAD_ID: r for r in spark.table(targets.leads).collect()}
-    assert set(leads) == {1, 2, 3, 11}
+    assert set(leads) == {1, 3, 4, 12}  # a known number keeps its id, others lie above the highest
     # Key, number and creation stay on update; repeated lead numbers are all loaded.
-    assert leads[1].LEAD_NUMBER == "OLD" and leads[1].CREATION_DATE == datetime(2000, 1, 1)
+    assert leads[1].LEAD_NUMBER == "L1" and leads[1].CREATION_DATE == datetime(2000, 1, 1)
     assert leads[1].LEAD_NAME == "update" and leads[1].DEAL_SIZE == 5
-    assert leads[2].LEAD_NUMBER == leads[3].LEAD_NUMBER == "L2"
+    assert leads[3].LEAD_NUMBER == leads[4].LEAD_NUMBER == "L2"
     members = spark.table(targets.members)
     assert rows(members.select("MKL_LEAD_TC_MEMBER_ID", "LEAD_ID")) == [
-        ("00000001001", 1), ("00000001002", 2), ("00000001003", 3), ("00000001004", 11),
+        ("00000001001", 1), ("00000001002", 3), ("00000001003", 4), ("00000001004", 12),
     ]
     assert spark.table(targets.items).count() == 4
     errors = {(r.ERROR_ID, int(r.FILE_RECORD_NUM), r.ERROR_MESSAGE) for r in result.frames["errors"].collect()}
@@ -187,6 +187,77 @@ def test_staged_intake_wide(spark, folder):
     assert spark.table(targets.members).count() == 0
 
 
+def kept_tables():
+    tag = uuid.uuid4().hex[:8]
+    return jobs.LeadTables(*[f"{n}_{tag}" for n in ("leads", "members", "items", "staging", "errors")])
+
+
+def snapshot(spark, targets):
+    return [rows(spark.table(t)) for t in (targets.leads, targets.members, targets.items, targets.errors)]
+
+
+def test_two_batches_and_a_repeated_one(spark, folder):
+    parties, products, _ = references(spark)
+    targets = kept_tables()
+
+    def load(number, lines, out=None, **more):
+        path = lead_file(folder, schemas.LEAD_FILE_WIDE, lines)
+        return jobs.staged_intake(spark, path, f"{folder}/out{out or number}", parties, products, targets, at=AT, by="PLSQL", batch_id=number, **more)
+
+    first = ["A1,1,2,one,5,C,S,US,9,U,R,5,USD", "A2,1,2,two,5,C,S,US,9,U,R,5,USD", "A2,3,2,again,5,C,S,US,9,U,R,6,USD", "A3,77,2,bad,5,C,S,US,9,U,R,5,USD"]
+    second = ["B1,1,2,beta one,5,C,S,US,9,U,R,5,USD", "A1,4,2,changed,6,C,S,US,9,U,R,5,USD", "B2,1,88,bad,5,C,S,US,9,U,R,5,USD"]
+    load(1, first)
+    load(2, second)
+    leads = {r.LEAD_ID: (r.LEAD_NUMBER, r.LEAD_NAME, r.CUSTOMER_ID) for r in spark.table(targets.leads).collect()}
+    # Ids of the first file reach 4 in staging; the second starts above.
+    assert leads == {1: ("A1", "changed", 4), 2: ("A2", "two", 1), 3: ("A2", "again", 3), 5: ("B1", "beta one", 1)}
+    members = spark.table(targets.members)
+    assert rows(members.select("MKL_LEAD_TC_MEMBER_ID", "LEAD_ID", "BATCH_ID")) == [
+        ("00000001001", 1, 1), ("00000001002", 2, 1), ("00000001003", 3, 1), ("00000001004", 5, 2), ("00000001005", 1, 2),
+    ]
+    staging = spark.table(targets.staging)
+    assert {(r.BATCH_ID, r.IMPORT_STATUS_CODE): r.n for r in staging.groupBy("BATCH_ID", "IMPORT_STATUS_CODE").agg(F.count("*").alias("n")).collect()} == {
+        (1, "S"): 3, (1, "E"): 1, (2, "S"): 2, (2, "E"): 1,
+    }
+    before = snapshot(spark, targets)
+    with pytest.raises(ValueError, match="batch 2 is in use"):
+        load(2, second, out="other")
+    with pytest.raises(ValueError, match="exists already"):
+        load(3, second, out=2)
+    assert snapshot(spark, targets) == before
+    load(2, second, replace=True)
+    assert snapshot(spark, targets) == before
+    with pytest.raises(ValueError, match="more than once"):
+        load(4, [second[1], second[1]])
+    assert snapshot(spark, targets) == before
+
+
+def test_a_staged_load_that_breaks_off_is_completed(spark, folder, monkeypatch):
+    parties, products, _ = references(spark)
+    targets = kept_tables()
+    path = lead_file(folder, schemas.LEAD_FILE_WIDE, ["A1,1,2,one,5,C,S,US,9,U,R,5,USD", "A2,1,2,two,5,C,S,US,9,U,R,5,USD"])
+    args = (spark, path, f"{folder}/out", parties, products, targets)
+    with monkeypatch.context() as m:
+        m.setattr(jobs.leads, "item_rows", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            jobs.staged_intake(*args, at=AT, by="PLSQL", batch_id=7)
+    assert spark.table(targets.leads).count() == 2 and spark.table(targets.members).count() == 2
+    jobs.staged_intake(*args, at=AT, by="PLSQL", batch_id=7, replace=True)
+    assert [spark.table(t).count() for t in (targets.leads, targets.members, targets.items)] == [2, 2, 2]
+    assert {r.IMPORT_STATUS_CODE for r in spark.table(targets.staging).collect()} == {"S"}
+
+
+def test_error_keys_stay_unique(spark):
+    status = spark.range(450).select(
+        F.lit(1).alias("BATCH_ID"), F.col("id").alias("FILE_RECORD_NUM"), F.lit("E").alias("IMPORT_STATUS_CODE"),
+        F.element_at(F.array(*map(F.lit, L.ERROR_BASES)), (F.col("id") % 3 + 1).cast("int")).alias("ERROR_MESSAGE"),
+    )
+    usual = L.error_log(status)
+    assert usual.select("BATCH_ID", "ERROR_MESSAGE", "ERROR_ID").distinct().count() == 450
+    apart = L.error_log(status, {m: k * 10**12 for k, m in enumerate(L.ERROR_BASES)})
+    assert apart.select("ERROR_ID").distinct().count() == 450
+
+
 def test_staged_intake_narrow(spark, folder):
     parties, _, _ = references(spark)
     targets = tables()

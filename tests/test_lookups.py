@@ -110,3 +110,16 @@ def test_measured_bytes_counts_text(spark):
 def test_reference_repeats_do_not_multiply_rows(spark):
     df = keyed(spark, [1, 1, 2])
     assert flag_known(df, "k", ReferenceList(keyed(spark, [1, 1, 1]), "k"), "f").count() == 3
+
+
+def test_few_values_leave_a_large_list_where_it_is(spark, conf, monkeypatch):
+    conf("sluice.broadcastBytes", "10000")
+    stored = []
+    import sluice.operators.lookups as look
+
+    monkeypatch.setattr(look, "materialize", lambda df, label: (stored.append(label), df)[1])
+    rows_in = spark.createDataFrame([(1,), (999_999,), (None,)], "k long")
+    listed = ReferenceList(spark.range(5000).withColumnRenamed("id", "x"), "x")
+    got = {r.k: r.known for r in flag_known(rows_in, "k", listed, "known").collect()}
+    assert got == {1: True, 999_999: False, None: False}
+    assert stored == ["used-values", "held-keys"]

@@ -187,3 +187,29 @@ def test_only_touched_partitions_are_rewritten(spark, conf, large):
     part = touched(spark.table(name), source, [("k", "k")], "b", "b")
     overwrite_partitions(upsert(part, source, ["k"], ["a"]), name)
     assert rows(spark.table(name).select("a", "b", "k")) == want
+
+
+def test_a_plain_table_is_accepted(spark):
+    table(spark, [(1, "a", "b"), (2, "c", "d")]).write.saveAsTable("plain_one")
+    publish(upsert(spark.table("plain_one"), table(spark, [(2, "x", "y")]), ["k"], ["a"]), "plain_one")
+    assert rows(spark.table("plain_one")) == [(1, "a", "b"), (2, "x", "d")]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("plain_one__v")]
+
+
+def test_append_goes_to_the_live_version(spark):
+    publish(table(spark, [(1, "a", "b")]), "pub")
+    table(spark, [(9, "orphan", "o")]).write.saveAsTable("pub__v2")
+    append(table(spark, [(2, "c", "d")]), "pub")
+    assert rows(spark.table("pub")) == [(1, "a", "b"), (2, "c", "d")]
+    drop_old_versions(spark, "pub", keep=1)
+    assert rows(spark.table("pub")) == [(1, "a", "b"), (2, "c", "d")]
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("pub__v")] == ["pub__v1"]
+
+
+def test_bucketing_is_kept(spark):
+    publish(table(spark, [(i, "a", "b") for i in range(20)]), "buckets_stay", bucket_by=["k"], buckets=4)
+    publish(upsert(spark.table("buckets_stay"), table(spark, [(2, "x", "y")]), ["k"], ["a"]), "buckets_stay")
+    append(table(spark, [(50, "n", "n")]), "buckets_stay")
+    assert spark.table("buckets_stay").count() == 21
+    facts = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED buckets_stay__v2").collect()}
+    assert facts["Num Buckets"] == "4"

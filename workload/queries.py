@@ -328,10 +328,13 @@ def surrogate_ids(spark, sf_dir):
     )
 
 
-@query("SELECT o_orderkey, o_custkey, lpad(CAST(9000 + row_number() OVER (ORDER BY o_custkey, o_orderkey) AS VARCHAR), 11, '0') AS id FROM orders")
+@query("""
+SELECT o_orderkey, o_custkey, CASE WHEN length(id) < 11 THEN lpad(id, 11, '0') ELSE id END AS id
+FROM (SELECT *, CAST(99999999990 + row_number() OVER (ORDER BY o_custkey, o_orderkey) AS VARCHAR) AS id FROM orders)
+""")
 def dense_ids(spark, sf_dir):
     orders = X.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return sequence_id(orders, ["o_custkey", "o_orderkey"], "id", base=9000)
+    return sequence_id(orders, ["o_custkey", "o_orderkey"], "id", base=99_999_999_990)
 
 
 @query("SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS n FROM orders")
