@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__
 from check_oracle import compare, connect
 from conftest import plan
+from workload.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,9 +15,13 @@ def db():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(__spark_entry__.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, db, name):
-    assert compare(__spark_entry__.queries()[name](spark, SF), db, __spark_entry__.oracle_sql()[name]) == ""
+    assert compare(QUERIES[name](spark, SF), db, ORACLE[name]) == ""
+
+
+def test_all_queries_are_registered():
+    assert QUERIES.items() <= __spark_entry__.queries().items() and ORACLE.items() <= __spark_entry__.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", ["rejects_by_reason", "lead_updates", "upsert_last_wins", "merge_conditional", "error_log"])

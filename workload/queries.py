@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -16,6 +17,7 @@ from sluice.operators.upsert import delete_where, merge_rows, upsert
 from sluice.plans import jobs, leads as L
 from sluice.scratch import materialize, scratch_path
 from sluice.sinks.files import create_csv, write_csv
+from sluice.sinks.tables import append, drop_old_versions, overwrite_partitions, publish, touched
 from sluice.sources.delimited import malformed, physical_lines, read_delimited, store_delimited
 from sluice.sources.extracts import cached_extract, key_extract, younger_than
 from workload import fixtures as X
@@ -595,6 +597,100 @@ def staged_merge(spark, sf_dir):
     return L.merge_leads(_lead_table(spark, sf_dir), X.status(spark, sf_dir))
 
 
+def _two_batches(spark, sf_dir):
+    """Finished orders as a first lead file, then all orders as a second one."""
+    orders = X.table(spark, sf_dir, "orders")
+    tag = uuid.uuid4().hex[:12]
+    targets = jobs.LeadTables(*[f"{n}_{tag}" for n in ("leads", "members", "items", "staging", "errors")])
+    for number, (label, rows) in enumerate((("First ", orders.filter("o_orderstatus = 'F'")), ("Second ", orders)), start=1):
+        values = {
+            "LeadNumber": F.concat(F.lit("L"), "o_orderkey"), "CustomerId": F.col("o_custkey"), "PrimaryContactId": F.col("o_custkey"),
+            "LeadName": F.concat(F.lit(label), "o_orderkey"), "DealSize": F.lit(number), "PartyUsageCode": F.col("o_orderstatus"),
+            "productGroupId": F.col("o_orderkey") % 100 + 1,
+        }
+        fields = [f for f in schemas.LEAD_FILE_WIDE.fieldNames() if f != schemas.CORRUPT]
+        path = scratch_path(spark, "batch-file")
+        write_csv(rows.select(*[values.get(f, F.lit("x") if f != "BudgetAmount" else F.lit(7)).alias(f) for f in fields]), path)
+        jobs.staged_intake(
+            spark, path, scratch_path(spark, "batch-out"), X.parties(spark, sf_dir), X.products(spark, sf_dir), targets,
+            at=X.STAMP, by="PLSQL", batch_id=number,
+        )
+    return targets
+
+
+_TWO = """
+WITH judged AS (
+  SELECT *, o_orderkey % 100 + 1 IN (SELECT p_partkey FROM part WHERE p_size <= 40) AS product_ok,
+    o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'MACHINERY') AS customer_ok FROM orders
+)
+"""
+
+
+@query(_TWO + """
+SELECT 'L' || o_orderkey AS LEAD_NUMBER, 'Second ' || o_orderkey AS LEAD_NAME, o_custkey AS CUSTOMER_ID, 2 AS DEAL_SIZE,
+  CASE o_orderstatus WHEN 'F' THEN 2 ELSE 1 END AS n_members, CASE o_orderstatus WHEN 'F' THEN 2 ELSE 1 END AS n_items
+FROM judged WHERE product_ok AND customer_ok
+""")
+def staged_two_batches(spark, sf_dir):
+    targets = _two_batches(spark, sf_dir)
+    count = lambda table, name: spark.table(table).groupBy("LEAD_ID").agg(F.count(F.lit(1)).alias(name))
+    found = spark.table(targets.leads).join(count(targets.members, "n_members"), "LEAD_ID", "left").join(count(targets.items, "n_items"), "LEAD_ID", "left")
+    return found.select("LEAD_NUMBER", "LEAD_NAME", "CUSTOMER_ID", "DEAL_SIZE", "n_members", "n_items")
+
+
+@query(_TWO + """
+, loaded AS (SELECT 1 AS batch, * FROM judged WHERE o_orderstatus = 'F' UNION ALL SELECT 2, * FROM judged)
+SELECT batch AS BATCH_ID, CASE WHEN product_ok AND customer_ok THEN 'S' ELSE 'E' END AS IMPORT_STATUS_CODE,
+  CASE WHEN batch = 2 AND o_orderstatus = 'F' AND product_ok AND customer_ok THEN 'U' END AS IMPORT_MODE,
+  CASE WHEN NOT product_ok THEN 'Invalid Product (PROD_GROUP_ID)' WHEN NOT customer_ok THEN 'Invalid Customer (CUSTOMER_ID)' END AS ERROR_MESSAGE,
+  count(*) AS n
+FROM loaded GROUP BY ALL
+""")
+def staged_batches(spark, sf_dir):
+    staging = spark.table(_two_batches(spark, sf_dir).staging)
+    return staging.groupBy("BATCH_ID", "IMPORT_STATUS_CODE", "IMPORT_MODE", "ERROR_MESSAGE").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(on_leads("""
+SELECT CAST(CASE WHEN length(id) < 11 THEN lpad(id, 11, '0') ELSE id END AS VARCHAR) AS ERROR_ID, CAST(BATCH_ID AS VARCHAR) AS BATCH_ID,
+  CAST(FILE_RECORD_NUM AS VARCHAR) AS FILE_RECORD_NUM, ERROR_MESSAGE
+FROM (SELECT *, CAST(CASE ERROR_MESSAGE WHEN 'Invalid Product (PROD_GROUP_ID)' THEN 9000
+    WHEN 'Invalid Customer (CUSTOMER_ID)' THEN 9100 ELSE 9200 END
+  + row_number() OVER (PARTITION BY ERROR_MESSAGE ORDER BY FILE_RECORD_NUM) AS VARCHAR) AS id FROM status WHERE ERROR_MESSAGE IS NOT NULL)
+"""))
+def error_report(spark, sf_dir):
+    path = scratch_path(spark, "error-report")
+    create_csv(L.error_report(L.error_log(X.status(spark, sf_dir))), path)
+    return read_delimited(spark, path)
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND o_orderkey % 10 = 0 THEN -1.0 ELSE o_totalprice END AS o_totalprice,
+  o_orderstatus FROM orders
+""")
+def table_upsert_partitions(spark, sf_dir):
+    orders = X.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    name = f"orders_{uuid.uuid4().hex[:12]}"
+    orders.write.option("path", scratch_path(spark, name)).partitionBy("o_orderstatus").saveAsTable(name)
+    changed = materialize(
+        orders.filter("o_orderstatus = 'F' AND o_orderkey % 10 = 0").withColumn("o_totalprice", F.lit(-1.0)), "changed-orders"
+    )
+    part = touched(spark.table(name), changed, [("o_orderkey", "o_orderkey")], "o_orderstatus", "o_orderstatus")
+    overwrite_partitions(upsert(part, changed, ["o_orderkey"], ["o_totalprice"]), name)
+    return spark.table(name)
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'even' ELSE 'odd' END AS name FROM customer")
+def table_append_publish(spark, sf_dir):
+    customers = X.table(spark, sf_dir, "customer")
+    name = f"customers_{uuid.uuid4().hex[:12]}"
+    publish(customers.filter("c_custkey % 2 = 0").select("c_custkey", F.lit("first").alias("name")), name, bucket_by=["c_custkey"], buckets=4)
+    publish(spark.table(name).withColumn("name", F.lit("even")), name)
+    append(customers.filter("c_custkey % 2 <> 0").select(F.lit("odd").alias("name"), "c_custkey"), name)
+    drop_old_versions(spark, name, keep=1)
+    return spark.table(name)
+
+
 # --- whole job -------------------------------------------------------------------------------
 
 
