@@ -292,12 +292,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .filter("least < most")
         .select("symbol", same.alias("same"), "least")
     )
+    # Stored, as all sides of joins here: adaptive execution splits a hot symbol only in a join of two shuffles.
+    shared = materialize(shared, "shared-symbols")
     judged = materialize(blocks.join(shared, "symbol").filter("NOT same OR id > least"), "shared-blocks")
     ranges = ["id", "content", "start", "windows"]
     repeated = judged.filter("same").select(*ranges)
 
     mixed = judged.filter("NOT same").drop("same", "least")
-    earliest = mixed.groupBy("symbol", "span").agg(F.min("id").alias("earliest"))
+    earliest = materialize(mixed.groupBy("symbol", "span").agg(F.min("id").alias("earliest")), "earliest-blocks")
     mixed = materialize(mixed.join(earliest, ["symbol", "span"]), "mixed-blocks")
     repeated = repeated.unionAll(mixed.filter("id > earliest").select(*ranges))
 
@@ -307,6 +309,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     once = texts.join(asked, ["id", "content"]).select("id", "content", "body", "asked")
     windows = materialize(once.mapInArrow(_windows(window), _ONE), "windows")
     earliest = windows.groupBy("symbol", "span").agg(F.min("id").alias("earliest"), F.max("id").alias("latest")).filter("earliest < latest")
+    earliest = materialize(earliest, "earliest-windows")
     late = windows.join(earliest, ["symbol", "span"]).filter("id > earliest")
     repeated = repeated.unionAll(late.select("id", "content", "start", F.lit(1).alias("windows")))
 
