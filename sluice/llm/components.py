@@ -21,7 +21,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         around = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         around = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = around.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root"))
+    # Stored, so that the join is one of two shuffles, of which a hot centre can be split.
+    least = materialize(around.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")), "least-neighbours")
     linked = around.join(least, "a")
     if large:
         out = linked.filter("b > a").select(F.col("b").alias("a"), F.col("root").alias("b"))
