@@ -126,6 +126,8 @@ def validated_intake(
         if targets is not None:
             top = current(spark, targets.leads, schemas.LEADS).agg(F.max("LEAD_ID")).first()[0]
             start = top or 0
+            for name in (targets.members, targets.items):
+                _drop_orphans(spark, name, start)
         # Record numbers are unique in the file, so ids above the highest in use need no counting.
         fresh = first.withColumn("LEAD_ID", F.col("FILE_RECORD_NUM") + F.lit(start))
         frames["leads"] = leads.standardise_leads(fresh, at, by)
@@ -134,7 +136,7 @@ def validated_intake(
         for name in ("leads", "members", "items"):
             write_csv(frames[name], f"{output_path}/success/{name}", partitions=files)
         if targets is not None:
-            # Leads last: until they are in, a load that broke off gives the same ids again.
+            # Leads last: children above the highest lead are those of a load that broke off.
             _load(spark, targets.members, schemas.LEAD_MEMBERS, frames["members"],
                   ["MKL_LEAD_TC_MEMBER_ID"], schemas.MEMBER_UPDATES)
             _load(spark, targets.items, schemas.LEAD_ITEMS, frames["items"],
@@ -144,6 +146,14 @@ def validated_intake(
     return IntakeResult(counts, frames)
 
 
+def _drop_orphans(spark: SparkSession, table: str, top: int) -> None:
+    """Take out the children of leads above ``top``, which a load that broke off has left."""
+    if spark.catalog.tableExists(table):
+        rows = spark.table(table)
+        if not rows.filter(F.col("LEAD_ID") > top).isEmpty():
+            publish(delete_where(rows, F.col("LEAD_ID") > top), table)
+
+
 def _readable(rows: DataFrame) -> DataFrame:
     """Spark's CSV reader would fill a column of the old name itself."""
     return rows.withColumnRenamed(schemas.CORRUPT, "malformed_line")

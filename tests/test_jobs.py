@@ -138,6 +138,32 @@ def test_intake_without_inserts_loads_nothing(spark, folder):
     assert not spark.catalog.tableExists(targets.leads)
 
 
+def test_a_broken_off_load_leaves_nothing_for_the_next_file(spark, folder, monkeypatch):
+    parties, products, _ = references(spark)
+    existing = ReferenceList(spark.createDataFrame([], "lead_number string"), "lead_number")
+    targets = tables()
+    real = jobs._load
+
+    def failing(spark, table, *rest):
+        if table == targets.leads:
+            raise OSError("lost")
+        real(spark, table, *rest)
+
+    def load(out, *lines):
+        return jobs.validated_intake(
+            spark, lead_file(folder, schemas.LEAD_FILE, lines), f"{folder}/{out}", parties, products, existing, targets=targets, at=AT, by="GS1"
+        )
+
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "_load", failing)
+        with pytest.raises(OSError):
+            load("a", *[f"A{k},1,2,a,5,C,S,US,U,R,5,USD,9" for k in range(3)])
+    load("b", *[f"B{k},1,3,b,5,C,S,US,U,R,5,USD,9" for k in range(2)])
+    assert rows(spark.table(targets.leads).select("LEAD_ID", "LEAD_NUMBER")) == [(1, "B0"), (2, "B1")]
+    assert rows(spark.table(targets.members).select("LEAD_ID", "PARTY_ID")) == [(1, 3), (2, 3)]
+    assert spark.table(targets.items).count() == 2
+
+
 def wide(line):
     f = line.split(",")
     return ",".join([*f[:8], f[12], f[8], f[9], f[10], f[11]])
