@@ -9,7 +9,7 @@ from pyspark.sql import functions as F, types as T
 
 from sluice import schemas
 from sluice.functions.stamp import as_text, audit, batch, new_batch_id, parse_audit_text, rename
-from sluice.scratch import materialize, scratch_root
+from sluice.scratch import clear_scratch, materialize, scratch_root
 from sluice.sinks import jdbc as jdbc_sink
 from sluice.sinks.files import create_csv, write_csv
 from sluice.sources import jdbc as jdbc_source
@@ -169,3 +169,11 @@ def test_jdbc_options():
     assert source.calls["order"] == ("id",)
     with pytest.raises(ValueError):
         jdbc_source.read_table(Recorder(), "t", {}, partition_column="id")
+
+
+def test_scratch_can_be_cleared(spark):
+    stored = materialize(spark.range(5), "few")
+    assert stored.count() == 5 and os.path.isdir(scratch_root(spark))
+    clear_scratch(spark)
+    assert not os.path.exists(scratch_root(spark))
+    assert materialize(spark.range(5), "few").count() == 5
