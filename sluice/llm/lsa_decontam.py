@@ -33,7 +33,7 @@ NEAR, SHARE = 0.35, 0.3  # cosine, and share of the segment's weight, from which
 COVERED, PARTLY, ANSWERED = 0.75, 0.6, 0.8  # covered; or partly covered and the answer covered
 ITEMS = 20_000  # items of a block
 _SLACK = 1.25  # length of the window against that of the segment
-_TOKENS = 200_000  # words of a text handled at a time
+_TOKENS = 20_000  # words of texts handled at a time: what is gathered for them stays in the cache
 _TERMS = 512  # terms of a chunk of sums
 
 _words = re.compile(r"\w+").findall
@@ -243,17 +243,27 @@ def common_words(pattern: np.ndarray, text: np.ndarray) -> int:
 
 
 def verify(segment: np.ndarray, answer: np.ndarray, place: np.ndarray, term: np.ndarray, low: int, high: int) -> tuple[float, float, int, int]:
-    """Best (coverage, answer coverage, first, past) of windows that touch the words [low, high) of a text."""
+    """Best (coverage, answer coverage, first, past) of windows that touch the words [low, high) of a text.
+
+    Windows that share too few words with the segment, in whatever order, to make it count are not compared.
+    """
     size = len(segment)
+    least = PARTLY if size >= 8 else 1.0
     # A short segment has to stand there word for word.
     reach = int(np.ceil(size * _SLACK)) if size >= 8 else size
     step = max(1, size // 4) if size >= 8 else 1
-    inside = np.isin(term, segment)
-    places, terms = place[inside], term[inside]
+    a, b = np.searchsorted(place, [low - size, high + reach])
+    own, needed = np.unique(segment, return_counts=True)
+    number = np.minimum(np.searchsorted(own, term[a:b]), len(own) - 1)
+    inside = own[number] == term[a:b]
+    places, terms, number = place[a:b][inside], term[a:b][inside], number[inside]
     best = (0.0, 0.0, low, low)
     for begin in range(max(0, low - size), high, step):
         a, b = np.searchsorted(places, [begin, begin + reach])
-        if (b - a) / size <= best[0]:
+        if (b - a) / size < least or (b - a) / size <= best[0]:
+            continue
+        shared = np.minimum(np.bincount(number[a:b], minlength=len(own)), needed).sum() / size
+        if shared < least or shared <= best[0]:
             continue
         share = common_words(segment, terms[a:b]) / size
         if share > best[0]:
