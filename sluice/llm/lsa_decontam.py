@@ -30,11 +30,14 @@ HALF = 32  # words of half a passage
 RANK = 128  # latent dimensions
 FREQUENT = 0.1  # terms in a larger share of the passages do not count for retrieval
 NEAR, SHARE = 0.35, 0.3  # cosine, and share of the segment's weight, from which a passage is verified
+HELD = 0.9  # share of a segment's energy in the space from which it is compared there
 COVERED, PARTLY, ANSWERED = 0.75, 0.6, 0.8  # covered; or partly covered and the answer covered
 ITEMS = 20_000  # items of a block
 _SLACK = 1.25  # length of the window against that of the segment
 _TOKENS = 20_000  # words of texts handled at a time: what is gathered for them stays in the cache
 _TERMS = 512  # terms of a chunk of sums
+_MORE = 0.15  # share of a segment's words looked up beyond those that can be missing
+_HITS = 2_000_000  # looked-up words handled at a time
 
 _words = re.compile(r"\w+").findall
 
@@ -242,6 +245,11 @@ def common_words(pattern: np.ndarray, text: np.ndarray) -> int:
     return len(pattern) - free.bit_count()
 
 
+def reach_of(size: int) -> int:
+    """Words of the window for a segment of ``size`` words."""
+    return int(np.ceil(size * _SLACK)) if size >= 8 else size
+
+
 def verify(segment: np.ndarray, answer: np.ndarray, place: np.ndarray, term: np.ndarray, low: int, high: int) -> tuple[float, float, int, int]:
     """Best (coverage, answer coverage, first, past) of windows that touch the words [low, high) of a text.
 
@@ -250,15 +258,16 @@ def verify(segment: np.ndarray, answer: np.ndarray, place: np.ndarray, term: np.
     size = len(segment)
     least = PARTLY if size >= 8 else 1.0
     # A short segment has to stand there word for word.
-    reach = int(np.ceil(size * _SLACK)) if size >= 8 else size
+    reach = reach_of(size)
     step = max(1, size // 4) if size >= 8 else 1
-    a, b = np.searchsorted(place, [low - size, high + reach])
+    start = max(0, low - size) // step * step  # the same windows, whatever part of the text is looked at
+    a, b = np.searchsorted(place, [start, high + reach])
     own, needed = np.unique(segment, return_counts=True)
     number = np.minimum(np.searchsorted(own, term[a:b]), len(own) - 1)
     inside = own[number] == term[a:b]
     places, terms, number = place[a:b][inside], term[a:b][inside], number[inside]
     best = (0.0, 0.0, low, low)
-    for begin in range(max(0, low - size), high, step):
+    for begin in range(start, high, step):
         a, b = np.searchsorted(places, [begin, begin + reach])
         if (b - a) / size < least or (b - a) / size <= best[0]:
             continue
@@ -284,32 +293,117 @@ _FOUND_ARROW = pa.schema([
 _FOUND = "id long, segment int, cosine double, coverage double, answer double, first_word long, past_word long"
 
 
+@dataclass
+class Signatures:
+    """The rarest words of the segments, as lists of segments by term."""
+
+    begin: np.ndarray  # first entry of each term; one more at the end
+    segment: np.ndarray
+    needed: np.ndarray  # words of its signature that a text with the segment holds in one window
+    reach: np.ndarray
+
+
+def signatures(found: Segments, counts: np.ndarray) -> Signatures:
+    """Of n words, at most n - m are missing where m have to be found: of any n - m + k words k are there."""
+    terms, owners, needed = [], [], []
+    for s, segment in enumerate(found.terms):
+        size = len(segment)
+        least = int(np.ceil(size * PARTLY - 1e-9)) if size >= 8 else size
+        many = min(size, size - least + max(1, int(np.ceil(size * _MORE)))) if size >= 8 else size
+        own = np.unique(segment[np.argsort(counts[segment], kind="stable")[:many]])
+        terms.append(own)
+        owners.append(np.full(len(own), s))
+        needed.append(many - (size - least))
+    term, owner = np.concatenate(terms), np.concatenate(owners)
+    order = np.argsort(term, kind="stable")
+    begin = np.searchsorted(term[order], np.arange(len(found.vocabulary) + 1))
+    kind = np.uint16 if len(found.terms) < 1 << 16 else np.int64  # short numbers are sorted by digits
+    reach = np.array([reach_of(len(t)) for t in found.terms])
+    return Signatures(begin, owner[order].astype(kind), np.array(needed), reach)
+
+
+def looked_up(p: _Passages, known: Signatures) -> Iterator[tuple[int, int, int, int]]:
+    """(text, segment, low, high): words of a text between which windows can hold the segment."""
+    sizes = known.begin[p.term + 1] - known.begin[p.term]
+    some = np.flatnonzero(sizes)
+    if not len(some):
+        return
+    line = p.owner[some] * (1 << 40) + p.place[some]
+    sizes, terms = sizes[some], p.term[some]
+    total = np.cumsum(sizes)
+    longest = int(known.reach.max())
+    at = 0
+    while at < len(some):
+        end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + _HITS, side="right")))
+        part = slice(int(np.searchsorted(line, line[at] - longest)), end)  # with the windows that begin before
+        many = sizes[part]
+        token = np.repeat(np.arange(part.start, end), many)
+        entry = np.arange(len(token)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(known.begin[terms[part]], many)
+        segment = known.segment[entry]
+        order = np.argsort(segment, kind="stable")
+        segment, place = segment[order].astype(np.int64), line[token[order]]
+        last = np.arange(len(segment)) + known.needed[segment] - 1
+        inside = np.flatnonzero(last < len(segment))
+        last = last[inside]
+        near = (segment[last] == segment[inside]) & (place[last] - place[inside] < known.reach[segment[inside]])
+        segment, low, high = segment[inside[near]], place[inside[near]], place[last[near]]
+        if len(segment):
+            # Windows that overlap go together.
+            new = np.ones(len(segment), bool)
+            new[1:] = (segment[1:] != segment[:-1]) | (low[1:] - high[:-1] > known.reach[segment[1:]])
+            edge = np.append(np.flatnonzero(new), len(segment))
+            for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+                s, first = int(segment[a]), int(low[a])
+                text, extra = first >> 40, int(known.reach[segment[a]])
+                yield text, s, max(0, (first & (1 << 40) - 1) - extra), int(high[b - 1] & (1 << 40) - 1) + 1
+        at = end
+
+
 def _search(shared):
-    """Every passage against every segment; what is near is verified on the words."""
+    """Segments that are near a passage in the space, or whose rare words stand together; verified on the words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, weight, space, latent, norms = shared.value
+        found, weight, space, latent, norms, known = shared.value
         weighted = (weight[:, None] * space).astype(np.float32)
+        within = np.maximum(np.linalg.norm(latent, axis=1), 1e-9)  # norms in the space
+        held = np.flatnonzero(within**2 >= HELD * norms**2)
         for p in _gathered(batches):
-            kept = np.flatnonzero(weight[p.term] > 0)
-            norm = np.sqrt(_of_passages(p, (weight[p.term[kept]] ** 2)[:, None], kept))[:, 0]
-            vectors = _of_passages(p, weighted[p.term[kept]], kept)
             edges = np.searchsorted(p.owner, np.arange(len(p.docs) + 1))
             out: dict[tuple, tuple] = {}
+
+            def cosine(text: int, s: int, first: int, past: int) -> float:
+                """The largest of the passages that these words of the text touch."""
+                a, b = edges[text], edges[text + 1]
+                final = max(0, int(np.searchsorted(p.text, text, side="right") - np.searchsorted(p.text, text)) - 1)
+                best = 0.0
+                for half in range(min(final, max(0, first // HALF - 1)), min(final, past // HALF) + 1):
+                    c, d = a + np.searchsorted(p.place[a:b], [half * HALF, (half + 2) * HALF])
+                    vector = weighted[p.term[c:d]].sum(axis=0)
+                    best = max(best, float(vector @ latent[s]) / (max(float(np.linalg.norm(vector)), 1e-9) * float(within[s])))
+                return min(1.0, best)
+
+            def check(text: int, s: int, low: int, high: int) -> None:
+                a, b = edges[text], edges[text + 1]
+                segment = found.terms[s]
+                share, told, first, past = verify(segment, found.answers[s], p.place[a:b], p.term[a:b], low, high)
+                if contaminated(len(segment), share, told):
+                    row = (p.docs[text], s, cosine(text, s, first, past), share, told, first, past)
+                    out[text, s] = max(out.get((text, s), row), row, key=lambda r: (r[3], r[2], -r[5]))
+
+            for candidate in looked_up(p, known):
+                check(*candidate)
+            kept = np.flatnonzero(weight[p.term] > 0) if len(held) else np.zeros(0, int)
+            vectors = _of_passages(p, weighted[p.term[kept]], kept) if len(kept) else np.zeros((0, 1), np.float32)
             for at in range(0, len(vectors), 20_000):
-                dots = vectors[at : at + 20_000] @ latent.T
-                near = (dots >= NEAR * np.maximum(norm[at : at + 20_000, None], 1e-9) * norms) & (dots >= SHARE * norms**2)
+                part = vectors[at : at + 20_000]
+                dots = part @ latent[held].T
+                norm = np.maximum(np.linalg.norm(part, axis=1), 1e-9)
+                near = (dots >= NEAR * norm[:, None] * within[held]) & (dots >= SHARE * within[held] ** 2)
                 for passage, s in zip(*np.nonzero(near)):
-                    cosine = min(1.0, float(dots[passage, s] / (norm[at + passage] * norms[s])))
-                    passage += at
-                    text = int(p.text[passage])
-                    a, b = edges[text], edges[text + 1]
-                    low = int(p.passages[passage] - p.first[text]) * HALF
-                    segment = found.terms[s]
-                    share, told, first, past = verify(segment, found.answers[s], p.place[a:b], p.term[a:b], low, low + 2 * HALF)
-                    if contaminated(len(segment), share, told):
-                        row = (p.docs[text], int(s), cosine, share, told, first, past)
-                        out[text, s] = max(out.get((text, s), row), row, key=lambda r: (r[3], r[2], -r[5]))
+                    text, s = int(p.text[passage + at]), int(held[s])
+                    low = int(p.passages[passage + at] - p.first[text]) * HALF
+                    if (text, s) not in out:
+                        check(text, s, low, low + 2 * HALF)
             if out:
                 yield _rows(list(out.values()), _FOUND_ARROW)
 
@@ -345,7 +439,7 @@ def _one_block(docs: DataFrame, found: Segments, rank: int) -> DataFrame:
     image += max(1.0, passages / len(unit)) * (unit.T @ (unit @ random))
     space = decompose(image, random)
     latent = (bags @ space).astype(np.float32)
-    state = share((found, weight, space.astype(np.float32), latent, norms.astype(np.float32)))
+    state = share((found, weight, space.astype(np.float32), latent, norms.astype(np.float32), signatures(found, counts)))
     items = spark.createDataFrame(list(enumerate(found.items)), "segment int, item long")
     return tokens.mapInArrow(_search(state), _FOUND).join(F.broadcast(items), "segment")  # a row per segment
 

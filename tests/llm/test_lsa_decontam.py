@@ -97,3 +97,18 @@ def test_edge_rows(spark, docs_of):
     assert got == {(3, 1), (None, None), (5, 1), (6, None)}
     assert L.find_leaks(docs_of(rows).filter("false"), benchmark).count() == 0
     assert L.find_leaks(docs_of(rows), benchmark.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("many", [200, 2000])
+def test_recall_equals_brute_force_beyond_the_rank(spark, docs_of, many):
+    draw = random.Random(many)
+    text = lambda n: [f"w{min(draw.randrange(3000), draw.randrange(3000))}" for _ in range(n)]
+    items = [(k, " ".join(text(draw.randint(15, 59)))) for k in range(many)]
+    docs = []
+    for k in range(150):  # whole items, and items with a fifth of the words changed, in texts of item words
+        words = items[draw.randrange(many)][1].split()
+        if k % 3 == 0:
+            words = [w if draw.random() < 0.8 else "other" for w in words]
+        docs.append((k, " ".join(text(draw.randint(20, 200)) + words + text(draw.randint(20, 200)))))
+    got = {(r.id, r.item) for r in L.find_leaks(docs_of(docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == pairs_by_hand(docs, items) and len(got) > 110
