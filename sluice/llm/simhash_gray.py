@@ -222,7 +222,7 @@ def _nodes(rows, forest: _Forest, bits: int, first: bool, last: bool, leaf: int)
         whole = done[n] and sizes[n] <= leaf and n not in open_ends
         for at in range(begin, end, leaf):
             members = fp[at : min(end, at + leaf)]
-            if len(members) > GROUP // 2 or not done[n]:
+            if sizes[n] > GROUP // 2 or not done[n]:  # smaller ones are done, but not the short last leaf of a long one
                 for x, y in linked(members, members, bits):
                     forest.add(x, y)
             if not whole:

@@ -91,3 +91,36 @@ def test_components_of_chain_star_and_cycle(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, k) for k in range(101, 300)] + [(502, 501), (501, 500), (500, 502), (7, 7), (None, 3)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 1 for i in range(1, 61)}, **{k: 100 for k in range(100, 300)}, 500: 500, 501: 500, 502: 500}
+
+
+def chain(size):
+    """Each one differs from the next in three blocks; all lie in one node in the middle of the order."""
+    draw, x, out = random.Random(size), random.Random(1).getrandbits(64), []
+    while len(out) < size:
+        if x not in out:
+            out.append(x)
+        x ^= 1 << draw.randrange(0, 12) | 1 << draw.randrange(39, 51) | 1 << draw.randrange(52, 64)
+    return out
+
+
+def lost_links(spark, fps, leaf):
+    """Neighbours of the chain that the links of one task leave apart."""
+    signed = np.array(fps, np.uint64).view(np.int64).tolist()
+    root = {x: x for x in signed}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for r in S.near_links(spark.createDataFrame([(x,) for x in signed], "fp long"), leaf=leaf).collect():
+        root[find(r.a)] = find(r.b)
+    every = np.array(fps, np.uint64)
+    near = [(i, j) for i in range(len(fps)) for j in np.flatnonzero(np.bitwise_count(every ^ every[i]) <= 3).tolist()]
+    return [p for p in near if find(signed[p[0]]) != find(signed[p[1]])]
+
+
+def test_last_leaf_of_a_long_node(spark, conf):
+    conf("spark.sql.shuffle.partitions", "1")
+    for size in (66, 64 * 3 + 20, 64 * 5 + 32):
+        assert lost_links(spark, chain(size), 64) == []
