@@ -162,6 +162,7 @@ def _leaves(bits: int, leaf: int):
         forest = _Forest()
         rest: list[np.ndarray] | None = None
         first = True
+        cut = False  # leaves of the node that the kept rest belongs to are out
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -169,18 +170,19 @@ def _leaves(bits: int, leaf: int):
             rows[3] = rows[3].view(np.uint64)
             if rest is not None:
                 rows = [np.concatenate(x) for x in zip(rest, rows)]
-            yield from _nodes(rows, forest, bits, first, False, leaf)
+            yield from _nodes(rows, forest, bits, first or cut, False, leaf)
             # The last node may go on; of a long one only the part short of a leaf is kept.
             starts = _starts(rows)
             begin = starts[-2]
             begin += (len(rows[0]) - begin) // leaf * leaf if len(rows[0]) - begin > leaf else 0
+            cut = begin > starts[-2] or (cut and len(starts) == 2)
             rest = [x[begin:] for x in rows]
             first = first and len(starts) == 2
             a, b = forest.take()
             if len(a):
                 yield _level(a=a.view(np.int64), b=b.view(np.int64))
         if rest is not None and len(rest[0]):
-            yield from _nodes(rest, forest, bits, first, True, leaf)
+            yield from _nodes(rest, forest, bits, first or cut, True, leaf)
             a, b = forest.take()
             if len(a):
                 yield _level(a=a.view(np.int64), b=b.view(np.int64))
@@ -198,7 +200,7 @@ def _nodes(rows, forest: _Forest, bits: int, first: bool, last: bool, leaf: int)
     """Search the complete nodes of ``rows``; with ``last`` its final one too.
 
     The first and the final node of a task, and those longer than a leaf, can have members elsewhere:
-    their leaf groups go out.
+    their leaf groups go out. So do those of the ``first`` node of ``rows`` if others of its leaves are out.
     """
     mask, pattern, rank, fp = rows
     starts = _starts(rows)

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -124,3 +125,36 @@ def test_last_leaf_of_a_long_node(spark, conf):
     conf("spark.sql.shuffle.partitions", "1")
     for size in (66, 64 * 3 + 20, 64 * 5 + 32):
         assert lost_links(spark, chain(size), 64) == []
+
+
+def test_node_over_several_batches():
+    def rank(x):
+        for shift in (1, 2, 4, 8, 16, 32):
+            x ^= x >> shift
+        return x - (1 << 63)
+
+    for size in range(100, 400, 13):  # a node between two others of its task
+        fps = sorted(chain(size), key=rank)
+        rows = [(0, 0, 0, 5)] + [(4, 0, rank(x), x) for x in fps] + [(9, 0, 0, 6)]
+        columns = [np.array(c, t) for c, t in zip(zip(*rows), ("i4", "i8", "i8", "u8"))]
+        columns[3] = columns[3].view("i8")
+        batches = [pa.RecordBatch.from_arrays([pa.array(c[at : at + 97]) for c in columns], list("mprf")) for at in range(0, len(rows), 97)]
+        root, leaves = {x: x for x in fps + [5, 6]}, []
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for out in S._leaves(3, 64)(iter(batches)):
+            for r in out.to_pylist():
+                if r["members"] is None:
+                    root[find(r["a"] % 2**64)] = find(r["b"] % 2**64)
+                elif r["mask"] == 4:
+                    leaves.append(np.frombuffer(r["members"], "<u8"))
+        for k, left in enumerate(leaves):
+            for right in leaves[:k]:
+                for xs, ys in S.linked(left, right):
+                    for x, y in zip(xs.tolist(), ys.tolist()):
+                        root[find(x)] = find(y)
+        assert len({find(x) for x in fps}) == 1, size
