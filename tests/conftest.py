@@ -51,11 +51,3 @@ def no_broadcast(conf):
 @pytest.fixture
 def folder(tmp_path):
     return str(tmp_path)
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)
-
-
-def plan(df):
-    return df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]

@@ -1,6 +1,6 @@
 import random
 
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from sluice.operators.changes import (

@@ -3,7 +3,7 @@ import os
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F, types as T
 

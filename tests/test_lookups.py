@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan, rows
+from helpers import plan, rows
 from sluice.operators.lookups import (
     ReferenceList, flag_known, flag_not_in, hot_keys, in_reference, left_join_unique, measured_bytes,
     not_in_reference,

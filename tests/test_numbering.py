@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import types as T
 
 from sluice.functions.stamp import sequence_id, surrogate_id

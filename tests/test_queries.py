@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__
 from check_oracle import compare, connect
-from conftest import plan
+from helpers import plan
 from workload.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from sluice.operators.upsert import delete_where, merge_rows, upsert
