@@ -8,8 +8,8 @@ import corpus_pipeline as C
 from sluice.llm import bpe_words, lsa_decontam, pii_disclosure, toxicity_gru
 from sluice.scratch import materialize
 from test_lsa_decontam import pairs_by_hand
+from test_near_shingles import components_by_hand
 from test_pii_disclosure import by_hand as spans_by_hand
-from test_simhash import by_hand as fingerprint_by_hand, components_by_hand
 
 
 @pytest.fixture(scope="module")
@@ -27,9 +27,8 @@ def test_run_equals_brute_force(spark, sf_dir, documents, short_training):
     ids = sorted(rows)
     scores = toxicity_gru._Scorer(network)([rows[i] for i in ids])
     ids = [i for i, s in zip(ids, scores) if s < 0.7]
-    prints = [(i, fingerprint_by_hand(rows[i])) for i in ids]
-    root = components_by_hand(prints)
-    ids = [i for k, i in enumerate(ids) if root[k] == i]
+    root = components_by_hand([(i, rows[i]) for i in ids])
+    ids = [i for i in ids if root[i] == i]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     leaking = {d for d, _ in pairs_by_hand([(i, rows[i]) for i in ids], items)}
     ids = [i for i in ids if i not in leaking]
