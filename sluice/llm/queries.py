@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.llm import bpe_words, lang_backoff, license_diagonals, lsa_decontam, pii_disclosure, quartile_digest, recompression, simhash_gray, toxicity_gru, warc_shards
+from sluice.llm import bpe_words, lang_backoff, license_diagonals, lsa_decontam, pii_disclosure, quartile_digest, recompression, simhash_gray, spelling_tries, toxicity_gru, warc_shards
 from sluice.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,3 +148,59 @@ def op3_toxicity_gru(spark, sf_dir):
         F.col("id").alias("doc_id"), F.coalesce(remainder("id") == 1, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= toxicity_gru.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _damaged_words(docs: DataFrame) -> DataFrame:
+    """The words of op11 with their counts: runs of letters, of which one in 199 loses a code point."""
+    runs = docs.select("doc_id", F.explode(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[A-Za-z\u00C0-\u00FF]+"), F.lit(0))).alias("run"))
+    runs = runs.filter(F.length("run") >= 6).select("doc_id", F.translate("run", _UPPER, _LOWER).alias("run"))
+    h = runs.withColumn("h", F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "run")))
+    cut = "concat(substring(run, 1, int(h % length(run))), substring(run, int(h % length(run)) + 2))"
+    words = h.select(F.expr(f"CASE WHEN h % 199 = 0 THEN {cut} ELSE run END").alias("word")).filter(F.length("word") >= 6)
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter("n >= 5")
+
+
+@_query(f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(run, '{_UPPER}', '{_LOWER}') AS run
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents) WHERE length(run) >= 6
+), bits AS (
+  SELECT list(list_reduce(list_concat([b], range(8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1))) ORDER BY b) AS crc_table FROM range(256) t(b)
+), keyed AS (
+  SELECT *, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS hexed FROM (SELECT doc_id, run, count(*) AS m FROM runs GROUP BY ALL)
+), hashed AS (
+  SELECT run, m, xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(range(1, length(hexed), 2),
+      lambda i: ((instr('0123456789ABCDEF', hexed[i]) - 1) * 16 + instr('0123456789ABCDEF', hexed[i + 1]) - 1)::BIGINT)),
+    lambda c, b: xor(c >> 8, crc_table[xor(c & 255, b) + 1]))) AS h FROM keyed, bits
+), words AS (
+  SELECT word, sum(m)::BIGINT AS n FROM (
+    SELECT m, CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(m) >= 5
+), skipped AS (
+  SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT x.word, y.word AS other FROM skipped x JOIN skipped y ON x.a = y.a AND x.b = y.b WHERE x.word <> y.word
+  UNION SELECT x.word, y.word FROM skipped x JOIN words y ON x.a || x.b = y.word
+  UNION SELECT y.word, x.word FROM skipped x JOIN words y ON x.a || x.b = y.word
+), best AS (
+  SELECT word, n_near, form, form_n FROM (
+    SELECT near.word, count(*) OVER (PARTITION BY near.word) AS n_near, o.word AS form, o.n AS form_n,
+      row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, encode(o.word)) AS place
+    FROM near JOIN words o ON o.word = near.other) WHERE place = 1
+), formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN form_n >= 5 * w.n THEN form END AS form, CASE WHEN form_n >= 5 * w.n THEN form_n END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word
+), chain AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT chain.word, f.form FROM chain JOIN formed f ON f.word = chain.at WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN chain c ON c.word = f.word JOIN formed last ON last.word = c.at AND last.form IS NULL
+""")
+def op11_spelling_tries(spark, sf_dir):
+    words = _damaged_words(_table(spark, sf_dir, "documents"))
+    return spelling_tries.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
