@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.llm import bpe_words, lang_backoff, license_diagonals, lsa_decontam, pii_disclosure, quartile_digest, recompression, simhash_gray, spelling_tries, toxicity_gru, warc_shards
+from sluice.llm import bpe_words, lang_backoff, license_diagonals, lsa_decontam, pii_disclosure, quartile_digest, recompression, simhash_gray, spelling_tries, toxicity_gru, warc_shards, zstd_quality
 from sluice.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -204,3 +204,14 @@ FROM formed f JOIN chain c ON c.word = f.word JOIN formed last ON last.word = c.
 def op11_spelling_tries(spark, sf_dir):
     words = _damaged_words(_table(spark, sf_dir, "documents"))
     return spelling_tries.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@_query()
+def op12_zstd_quality(spark, sf_dir):
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    remainder = lambda c: F.crc32(F.col(c).cast("string")) % 5
+    model = zstd_quality.fit(docs, labels.filter(remainder("doc_id") != 0))
+    return zstd_quality.score(docs, model).select(
+        F.col("id").alias("doc_id"), F.coalesce(remainder("id") == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= zstd_quality.THRESHOLD).cast("int").alias("predicted"),
+    )
