@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.llm import bpe_words, lang_backoff, license_diagonals, lsa_decontam, pii_disclosure, quartile_digest, recompression, simhash_gray, spelling_tries, toxicity_gru, warc_shards, zstd_quality
-from sluice.scratch import scratch_path
+from sluice.llm import bpe_words, lang_backoff, license_diagonals, lsa_decontam, pii_disclosure, quartile_digest, recompression, simhash_gray, spelling_tries, toxicity_gru, turn_grammar, warc_shards, zstd_quality
+from sluice.scratch import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -150,6 +150,15 @@ def op3_toxicity_gru(spark, sf_dir):
     )
 
 
+#: CRC-32 in SQL: a table of one row with the list ``crc_table``, and the crc of the text whose UTF-8 bytes are in hex in ``hexed``.
+_CRC_TABLE = (
+    "SELECT list(list_reduce(list_concat([b], range(8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1))) ORDER BY b) AS crc_table "
+    "FROM range(256) t(b)"
+)
+_CRC = """xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(range(1, length(hexed), 2),
+      lambda i: ((instr('0123456789ABCDEF', hexed[i]) - 1) * 16 + instr('0123456789ABCDEF', hexed[i + 1]) - 1)::BIGINT)),
+    lambda c, b: xor(c >> 8, crc_table[xor(c & 255, b) + 1])))"""
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -168,14 +177,11 @@ WITH RECURSIVE runs AS (
   SELECT doc_id, translate(run, '{_UPPER}', '{_LOWER}') AS run
   FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents) WHERE length(run) >= 6
 ), bits AS (
-  SELECT list(list_reduce(list_concat([b], range(8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1))) ORDER BY b) AS crc_table FROM range(256) t(b)
+  {_CRC_TABLE}
 ), keyed AS (
   SELECT *, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS hexed FROM (SELECT doc_id, run, count(*) AS m FROM runs GROUP BY ALL)
 ), hashed AS (
-  SELECT run, m, xor(4294967295, list_reduce(
-    list_concat([4294967295::BIGINT], list_transform(range(1, length(hexed), 2),
-      lambda i: ((instr('0123456789ABCDEF', hexed[i]) - 1) * 16 + instr('0123456789ABCDEF', hexed[i + 1]) - 1)::BIGINT)),
-    lambda c, b: xor(c >> 8, crc_table[xor(c & 255, b) + 1]))) AS h FROM keyed, bits
+  SELECT run, m, {_CRC} AS h FROM keyed, bits
 ), words AS (
   SELECT word, sum(m)::BIGINT AS n FROM (
     SELECT m, CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM hashed)
@@ -215,3 +221,86 @@ def op12_zstd_quality(spark, sf_dir):
         F.col("id").alias("doc_id"), F.coalesce(remainder("id") == 0, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= zstd_quality.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+def _damaged_turns(rows: DataFrame) -> DataFrame:
+    """The rows of op13: by a checksum of conversation and turn some are dropped, emptied, cut, repeated or given to the user."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    h = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn"))) % 20
+    return rows.select(
+        "conv_id", "turn", F.when(h == 4, "user").otherwise(text("role")).alias("role"),
+        F.when(h == 1, "").when(h == 2, F.translate(text("text"), ".!?", "")).otherwise(text("text")).alias("text"),
+        F.explode(F.when(h == 0, F.array().cast("array<int>")).when(h == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    ).drop("copy")
+
+
+@_query(f"""
+WITH RECURSIVE bits AS ({_CRC_TABLE}), keyed AS (
+  SELECT *, hex(encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))) AS hexed FROM conversations
+), hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC} % 20 AS h FROM keyed, bits
+), damaged AS (
+  SELECT conv_id, turn, CASE h WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE h WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE h WHEN 0 THEN []::INT[] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM hashed
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS n,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+  FROM damaged
+), judged AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+    WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault,
+    lag(role) OVER (PARTITION BY conv_id ORDER BY n) AS before
+  FROM placed
+), inserts(x, y, c, e) AS (
+  VALUES (0, 0, 0, ''), (0, 2, 3, 'I'), (0, 3, 6, 'II'), (1, 1, 0, ''), (1, 2, 3, 'I'), (1, 3, 6, 'II'), (2, 2, 0, ''), (2, 3, 3, 'I'), (3, 3, 0, ''), (3, 2, 3, 'I')
+), steps(x, y, c, e, initial) AS (
+  VALUES (0, 0, 4, 'D', NULL), (1, 1, 4, 'D', NULL), (2, 2, 4, 'D', NULL), (3, 3, 4, 'D', NULL),
+    (0, 2, 3, 'R', NULL), (1, 2, 3, 'R', NULL), (3, 2, 3, 'R', NULL), (2, 3, 3, 'R', NULL),
+    (0, 1, 0, 'K', 's'), (0, 2, 0, 'K', 'u'), (1, 2, 0, 'K', 'u'), (3, 2, 0, 'K', 'u'), (2, 3, 0, 'K', 'a')
+), ways AS (
+  SELECT j.conv_id, j.n, i.x, s.y, i.e || s.e AS e, i.c + s.c + CASE WHEN fault = 'truncated' AND s.e <> 'D' THEN 3 ELSE 0 END AS c
+  FROM judged j, inserts i, steps s
+  WHERE i.y = s.x AND (s.e = 'D' OR fault NOT IN ('blank', 'duplicate')) AND (s.initial IS NULL OR s.initial = left(role, 1))
+), reached AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS n, 0 AS x, '00000000' AS best FROM judged
+  UNION ALL
+  SELECT r.conv_id, r.n + 1, w.y, min(lpad(CAST(CAST(left(r.best, 8) AS INT) + w.c AS VARCHAR), 8, '0') || substr(r.best, 9) || w.e)
+  FROM reached r JOIN ways w ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND w.n = r.n + 1 AND w.x = r.x GROUP BY ALL
+), sizes AS (
+  SELECT conv_id, max(n) AS n, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (before IS NOT NULL AND left(before, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id
+), ended AS (
+  SELECT r.conv_id, min(lpad(CAST(CAST(left(r.best, 8) AS INT) + i.c AS VARCHAR), 8, '0') || substr(r.best, 9) || i.e) AS best
+  FROM reached r JOIN sizes s ON s.conv_id IS NOT DISTINCT FROM r.conv_id AND s.n = r.n JOIN inserts i ON i.x = r.x AND i.y IN (0, 3) GROUP BY r.conv_id
+), edits AS (
+  SELECT conv_id, i, substr(best, 8 + i, 1) AS e, i - length(replace(substr(best, 9, i), 'I', '')) AS n_inserted
+  FROM (SELECT *, unnest(range(1, length(best) - 7)) AS i FROM ended)
+), put AS (
+  SELECT e.conv_id, e.i, e.e, j.role, j.text, row_number() OVER w AS place, first_value(CASE WHEN e.e = 'K' AND left(j.role, 1) = 's' THEN 1 ELSE 0 END) OVER w AS system
+  FROM edits e LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM e.conv_id AND e.e <> 'I' AND j.n = e.i - e.n_inserted
+  WHERE e.e <> 'D' WINDOW w AS (PARTITION BY e.conv_id ORDER BY e.i)
+), texts AS (
+  SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (place - system) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY i) AS whole
+  FROM put GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(CAST(left(best, 8) AS BIGINT), 0) AS cost,
+  coalesce(substr(best, 9), '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN sizes s ON s.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM o.conv_id
+""")
+def op13_turn_grammar(spark, sf_dir):
+    given = _table(spark, sf_dir, "conversations")
+    rows = _damaged_turns(given)
+    plans = materialize(turn_grammar.plan(rows, given), "plans")
+    found = turn_grammar.summaries(rows, plans).withColumnRenamed("conv", "conv_id")
+    return plans.join(found, F.col("conv").eqNullSafe(F.col("conv_id"))).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
+    )
