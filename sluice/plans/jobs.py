@@ -6,20 +6,19 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from sluice import schemas
 from sluice.functions.stamp import audit, new_batch_id, rename, surrogate_id
-from sluice.operators.changes import (
-    class_counts, deal_buckets, deal_performance, dedup, dropped_duplicates, flag_changes,
-)
+from sluice.operators.changes import deal_performance, dedup, dropped_duplicates, flag_changes
 from sluice.operators.lookups import ReferenceList, fits_broadcast, left_join_unique
-from sluice.operators.numbering import number_records
+from sluice.operators.numbering import number_records, renumber
 from sluice.operators.rules import Broken, Required, classify
 from sluice.operators.upsert import delete_where, has_known_key, upsert
 from sluice.plans import leads
 from sluice.scratch import materialize
 from sluice.sinks.files import write_csv
+from sluice.sinks.store import Store
 from sluice.sinks.tables import append, clear, current, publish, replace_batch
 from sluice.sources.extracts import path_exists
 from sluice.sources.delimited import (
@@ -37,13 +36,71 @@ class IntakeResult:
 
 @dataclass(frozen=True)
 class LeadTables:
-    """Catalog names of the three lead targets and, for staged loads, of the rows kept by batch."""
+    """Names of the three lead targets and, for staged loads, of the rows kept by batch.
+
+    With ``store`` they are tables of that store: a load changes all of them with one commit, rewrites only
+    the files that hold a lead it changes, and claims its ids, so that other loads can run at the same time.
+    Else they are tables of the catalog, switched one after the other.
+    """
 
     leads: str
     members: str
     items: str
     staging: str | None = None
     errors: str | None = None
+    store: Store | None = None
+
+
+class _Targets:
+    """The tables of one load, in the catalog or in a transaction of a store."""
+
+    KEYS = {"leads": ["LEAD_ID"], "members": ["MKL_LEAD_TC_MEMBER_ID"], "items": ["PROD_ASSOC_ID"]}
+
+    def __init__(self, spark: SparkSession, names: LeadTables) -> None:
+        self.spark, self.names = spark, names
+        self.open = names.store.begin() if names.store else None
+
+    def _keys(self, name: str) -> list[str]:
+        return next((k for table, k in self.KEYS.items() if getattr(self.names, table) == name), [])
+
+    def exists(self, name: str | None) -> bool:
+        return bool(name) and (self.open.exists(name) if self.open else self.spark.catalog.tableExists(name))
+
+    def read(self, name: str, schema: T.StructType) -> DataFrame:
+        if not self.open:
+            return current(self.spark, name, schema)
+        return self.open.read(name) if self.open.exists(name) else self.spark.createDataFrame([], schema)
+
+    def batch(self, name: str, batch_id: int) -> DataFrame:
+        """The rows of a batch; no file of another batch is read."""
+        rows = self.open.read(name, [str(batch_id)]) if self.open else self.spark.table(name)
+        return rows.filter(F.col("BATCH_ID") == batch_id)
+
+    def replace_batch(self, name: str, rows: DataFrame, batch_id: int) -> None:
+        if self.open:
+            self.open.create(name, rows.schema, self._keys(name))
+            self.open.replace_tag(name, rows, str(batch_id))
+        else:
+            replace_batch(rows, name, "BATCH_ID", batch_id)
+
+    def append(self, name: str, rows: DataFrame, schema: T.StructType) -> None:
+        if self.open:
+            self.open.create(name, schema, self._keys(name))
+            self.open.append(name, rows)
+        else:
+            append(_whole(rows, schema), name)
+
+    def merge(self, name: str, schema: T.StructType, keys: DataFrame, rewrite) -> None:
+        """Put ``rewrite`` of the rows that can have one of ``keys`` (columns named as the table's) in their place."""
+        if self.open:
+            self.open.create(name, schema, self._keys(name))
+            self.open.merge(name, keys, rewrite)
+        else:
+            publish(rewrite(current(self.spark, name, schema)), name)
+
+    def commit(self) -> None:
+        if self.open:
+            self.open.commit()
 
 
 def intake_outcomes(
@@ -80,6 +137,7 @@ def validated_intake(
     ``success/*`` below ``output_path`` and, with ``targets``, the three tables. ``count_lines``
     reads the file once more to count its physical lines.
     """
+    tables = _Targets(spark, targets) if targets is not None else None
     rows = scan_delimited(spark, input_path, schemas.LEAD_FILE)
     checks = [("customerId", parties), ("primaryContactId", parties), ("productGroupId", products), ("leadNumber", existing)]
     if not all(ref.is_small(schemas.LEAD_FILE[column].dataType) for column, ref in checks):
@@ -87,11 +145,17 @@ def validated_intake(
         rows = materialize(rows, "scanned")
     # The checks run once. Sorted by outcome inside each file, so that a later step for one class
     # skips the pages of the others; folders per class would make one more file per task and class.
+    outcome, performance = F.col("outcome"), deal_performance("BudgetAmount", "dealSize")
+    classes = ["malformed", *(r.reason for r in leads.intake_rules(parties, products)), "update", "insert"]
+    signs = {"outperformed": performance > 0, "met": performance == 0, "underperformed": performance < 0}
     judged = intake_outcomes(rows, parties, products, existing).sortWithinPartitions("outcome")
+    judged, seen = _observed(judged, {
+        **{c: outcome == c for c in classes}, **{n: (outcome == "insert") & c for n, c in signs.items()}, "records": F.lit(True),
+    })
     stored = number_records(materialize(judged, "outcomes"), "FILE_RECORD_NUM")
 
-    counts = {r["outcome"]: r["n"] for r in class_counts(stored, "outcome").collect()}
-    outcome = F.col("outcome")
+    counts = {n: v for n, v in seen.get.items() if v or n in signs}
+    records = counts.pop("records", 0)
     is_malformed = outcome == "malformed"
     write_csv(
         _readable(stored.filter(is_malformed).drop("outcome")),
@@ -106,13 +170,13 @@ def validated_intake(
     inserts = (
         stored.filter(outcome == "insert")
         .drop(schemas.CORRUPT, "outcome")
-        .withColumn("DealPerformance", deal_performance("BudgetAmount", "dealSize"))
+        .withColumn("DealPerformance", performance)
     )
-    first = materialize(dedup(inserts, ["leadNumber"], ["FILE_RECORD_NUM"]), "first-leads")
+    first, kept_rows = _observed(dedup(inserts, ["leadNumber"], ["FILE_RECORD_NUM"]), {"inserted": F.lit(True)})
+    first = materialize(first, "first-leads")
     repeats = dropped_duplicates(inserts, first, ["leadNumber"], ["FILE_RECORD_NUM"])
-    counts["inserted"] = first.count()
+    counts.update(kept_rows.get)
     counts["duplicates"] = counts.get("insert", 0) - counts["inserted"]
-    counts.update(deal_buckets(inserts, "DealPerformance").first().asDict())
     if count_lines:
         counts["physical_lines"] = physical_lines(spark, input_path)
 
@@ -122,12 +186,7 @@ def validated_intake(
         "duplicates": repeats,
     }
     if counts["inserted"]:
-        start = 0
-        if targets is not None:
-            top = current(spark, targets.leads, schemas.LEADS).agg(F.max("LEAD_ID")).first()[0]
-            start = top or 0
-            for name in (targets.members, targets.items):
-                _drop_orphans(spark, name, start)
+        start = _free_leads(tables, records) if tables else 0
         # Record numbers are unique in the file, so ids above the highest in use need no counting.
         fresh = first.withColumn("LEAD_ID", F.col("FILE_RECORD_NUM") + F.lit(start))
         frames["leads"] = leads.standardise_leads(fresh, at, by)
@@ -135,17 +194,43 @@ def validated_intake(
         frames["items"] = leads.standardise_items(fresh, at, by)
         for name in ("leads", "members", "items"):
             write_csv(frames[name], f"{output_path}/success/{name}", partitions=files)
-        if targets is not None:
+        if tables:
             # Leads last: children above the highest lead are those of a load that broke off.
-            _load(spark, targets.members, schemas.LEAD_MEMBERS, frames["members"],
-                  ["MKL_LEAD_TC_MEMBER_ID"], schemas.MEMBER_UPDATES)
-            _load(spark, targets.items, schemas.LEAD_ITEMS, frames["items"],
-                  ["PROD_ASSOC_ID"], schemas.ITEM_UPDATES)
-            _load(spark, targets.leads, schemas.LEADS, frames["leads"].select(*schemas.LEAD_INSERTS),
-                  ["LEAD_ID"], schemas.LEAD_UPDATES)
+            for name, schema, updates, rows in (
+                ("members", schemas.LEAD_MEMBERS, schemas.MEMBER_UPDATES, frames["members"]),
+                ("items", schemas.LEAD_ITEMS, schemas.ITEM_UPDATES, frames["items"]),
+                ("leads", schemas.LEADS, schemas.LEAD_UPDATES, frames["leads"].select(*schemas.LEAD_INSERTS)),
+            ):
+                if tables.open:
+                    # The ids are claimed: none is in use.
+                    tables.append(getattr(targets, name), rows, schema)
+                else:
+                    _load(spark, getattr(targets, name), schema, rows, _Targets.KEYS[name], updates)
+            tables.commit()
     return IntakeResult(counts, frames)
 
 
+def _observed(rows: DataFrame, conditions: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """``rows`` with counts of the rows that meet each condition, taken while they are written.
+
+    For a frame that is written as it is: its last stage counts every task once, however often one runs.
+    """
+    seen = Observation()
+    return rows.observe(seen, *[F.count_if(c).alias(n) for n, c in conditions.items()]), seen
+
+
+def _free_leads(tables: _Targets, records: int) -> int:
+    """A number above which ``records`` lead ids are free; children that stand above it are taken out."""
+    names = tables.names
+    highest = lambda: tables.read(names.leads, schemas.LEADS).agg(F.max("LEAD_ID")).first()[0] or 0
+    if tables.open:
+        return names.store.ids.claim("LEAD_ID", records, first=lambda: highest() + 1) - 1
+    top = highest()
+    for name in (names.members, names.items):
+        _drop_orphans(tables.spark, name, top)
+    return top
+
+
 def _drop_orphans(spark: SparkSession, table: str, top: int) -> None:
     """Take out the children of leads above ``top``, which a load that broke off has left."""
     if spark.catalog.tableExists(table):
@@ -202,17 +287,16 @@ def staged_intake(
     above the highest in use, and so do members and items.
 
     The reports must not exist and the batch id must be new. ``replace`` loads a batch again, after a
-    load that broke off or to correct it: with ``targets.staging`` its records keep the ids of that batch,
-    and what it wrote to the tables kept by batch is replaced.
+    load that broke off or to correct it (with ``targets.staging``). Its rows are known by their content, the
+    lead number and its how-manieth occurrence in the file, and keep the ids they had, wherever they stand in
+    the new file. Leads that this batch alone has inserted are put in anew, and those that the new file lacks
+    or that fail now are taken out; a lead that another batch has updated since stays. Members, items, staging
+    rows and errors of the batch are replaced, by nothing if there are none now.
     """
     wide = products is not None
     layout = schemas.LEAD_FILE_WIDE if wide else schemas.LEAD_FILE_NARROW
-    if batch_id is None:
-        batch_id = new_batch_id()
-        while _batch_in_use(spark, targets, batch_id):
-            batch_id = new_batch_id()
-    elif not replace and _batch_in_use(spark, targets, batch_id):
-        raise ValueError(f"batch {batch_id} is in use")
+    tables = _Targets(spark, targets)
+    batch_id = _batch_id(tables, batch_id, replace, at)
     reports = [f"{output_path}/status", *([f"{output_path}/errors"] if wide else [])]
     if not replace and (taken := [r for r in reports if path_exists(spark, r)]):
         raise ValueError(f"exists already: {', '.join(taken)}")
@@ -222,8 +306,12 @@ def staged_intake(
     ]
     if wide:
         rules.append(Required(["productGroupId"], "missing_product_group"))
-    rows = classify(store_delimited(spark, input_path, layout), rules)
+    # Judged and counted in the pass that stores the parsed rows.
     bad = F.col("reject_reason")
+    judged, seen = _observed(
+        classify(scan_delimited(spark, input_path, layout), rules), {**{f"rejected_{r.reason}": bad == r.reason for r in rules}, "records": F.lit(True)}
+    )
+    rows = number_records(materialize(judged, "scanned"), "FILE_RECORD_NUM")
     write_csv(
         _readable(rows.filter(bad == "malformed").drop("reject_reason")),
         f"{output_path}/format_errors", partitions=files, even=True,
@@ -233,68 +321,117 @@ def staged_intake(
         f"{output_path}/rejects", partitions=files, by="reject_reason",
     )
 
-    target = current(spark, targets.leads, schemas.LEADS)
-    known = _with_lead_ids(spark, rows.filter(bad.isNull()), target, targets, batch_id)
+    target = tables.read(targets.leads, schemas.LEADS)
+    earlier = tables.batch(targets.staging, batch_id) if replace and tables.exists(targets.staging) else None
+    own = None
+    if earlier is not None:
+        earlier = materialize(earlier, "earlier-batch")
+        own = _inserted_alone(tables, earlier, batch_id)
+        target = target.join(own, "LEAD_ID", "left_anti")
+    known = _with_lead_ids(tables, rows.filter(bad.isNull()), target, earlier, own, seen.get["records"])
     staged = leads.stage_rows(known, layout, batch_id, at, by, key="lead_id")
     status = leads.import_status(
         staged, batch_id, leads.staged_rules(parties, products), ReferenceList(target, "LEAD_ID")
     )
+    code, updated = F.col("IMPORT_STATUS_CODE"), F.col("IMPORT_MODE").isNotNull()
+    status, judgement = _observed(status, {"I": code == "I", "E": code == "E", "updates": (code == "I") & updated})
     status = materialize(status, "import-status")
-    if targets.staging:
-        # Before the targets: a load that breaks off finds its ids here.
-        replace_batch(status, targets.staging, "BATCH_ID")
+    found = dict(judgement.get)
+    if targets.staging and not tables.open:
+        # Before the targets: a load that breaks off finds its ids here, and the leads that it was to take out.
+        kept = status
+        if own is not None:
+            gone = own.join(status.filter(code == "I").select(F.col("PK1").alias("LEAD_ID")), "LEAD_ID", "left_anti")
+            kept = status.unionByName(earlier.join(gone, F.col("PK1") == F.col("LEAD_ID"), "left_semi"))
+        tables.replace_batch(targets.staging, kept, batch_id)
     frames = {"status": leads.finished(status)}
-    if status.filter("IMPORT_MODE = 'U' AND IMPORT_STATUS_CODE = 'I'").isEmpty() and spark.catalog.tableExists(targets.leads):
-        append(leads.inserted_leads(status, target.schema), targets.leads)
+    if not found["updates"] and own is None and tables.exists(targets.leads):
+        tables.append(targets.leads, leads.inserted_leads(status, target.schema), schemas.LEADS)
     else:
-        publish(leads.merge_leads(target, status), targets.leads)
+        touched = status.filter(code == "I").select(F.col("PK1").alias("LEAD_ID"))
+
+        def rewrite(part: DataFrame) -> DataFrame:
+            return leads.merge_leads(part if own is None else part.join(own, "LEAD_ID", "left_anti").select(*part.columns), status)
+
+        tables.merge(targets.leads, schemas.LEADS, touched if own is None else touched.unionAll(own), rewrite)
     if wide:
         accepted = materialize(leads.accepted_rows(status), "accepted")
-        for name, table, schema, build, key in (
-            ("members", targets.members, schemas.LEAD_MEMBERS, leads.member_rows, "MKL_LEAD_TC_MEMBER_ID"),
-            ("items", targets.items, schemas.LEAD_ITEMS, leads.item_rows, "PROD_ASSOC_ID"),
+        for name, table, schema, build in (
+            ("members", targets.members, schemas.LEAD_MEMBERS, leads.member_rows),
+            ("items", targets.items, schemas.LEAD_ITEMS, leads.item_rows),
         ):
-            frames[name] = build(accepted, _highest_child(spark, table, key, batch_id))
+            frames[name] = build(accepted, _child_base(tables, table, _Targets.KEYS[name][0], batch_id, found["I"]))
             by_batch = T.StructType([*schema.fields, T.StructField("BATCH_ID", T.IntegerType())])
             children = _whole(frames[name].withColumn("BATCH_ID", F.lit(batch_id)), by_batch)
-            if spark.catalog.tableExists(table) and "BATCH_ID" not in spark.table(table).columns:
+            if tables.exists(table) and "BATCH_ID" not in tables.read(table, by_batch).columns:
                 if replace:
                     raise ValueError(f"{table} does not keep batches apart")
-                append(children.drop("BATCH_ID"), table)
+                tables.append(table, children.drop("BATCH_ID"), schema)
             else:
-                replace_batch(children, table, "BATCH_ID")
+                tables.replace_batch(table, children, batch_id)
         frames["errors"] = leads.error_log(status)
         if targets.errors:
-            replace_batch(frames["errors"], targets.errors, "BATCH_ID")
+            tables.replace_batch(targets.errors, frames["errors"], batch_id)
     if targets.staging:
-        replace_batch(frames["status"], targets.staging, "BATCH_ID")
+        tables.replace_batch(targets.staging, frames["status"], batch_id)
+    tables.commit()
     mode = "overwrite" if replace else "errorifexists"
     if wide:
         write_csv(leads.error_report(frames["errors"]), f"{output_path}/errors", mode=mode, partitions=files)
     write_csv(leads.status_report(frames["status"]), f"{output_path}/status", mode=mode, partitions=files)
 
-    counts = {f"rejected_{r[0]}": r[1] for r in class_counts(rows.filter(bad.isNotNull()), "reject_reason").collect()}
-    counts.update({r[0]: r[1] for r in class_counts(frames["status"], "IMPORT_STATUS_CODE").collect()})
+    counts = {n: v for n, v in seen.get.items() if v and n != "records"}
+    counts.update({c: n for c, n in (("S", found["I"]), ("E", found["E"])) if n})
     counts["batch_id"] = batch_id
     if count_lines:
         counts["physical_lines"] = physical_lines(spark, input_path)
     return IntakeResult(counts, frames)
 
 
+def _batch_id(tables: _Targets, batch_id: int | None, replace: bool, at: datetime | str) -> int:
+    """A batch id that is not in use; with a store it is taken, so that no other load can get it too."""
+    if tables.open:
+        free = lambda n: tables.names.store.ids.take("batches", n, at=str(at))
+    else:
+        free = lambda n: not _batch_in_use(tables.spark, tables.names, n)
+    if batch_id is None:
+        batch_id = new_batch_id()
+        while not free(batch_id):
+            batch_id = new_batch_id()
+    elif not free(batch_id) and not replace:
+        raise ValueError(f"batch {batch_id} is in use")
+    return batch_id
+
+
 def _batch_in_use(spark: SparkSession, targets: LeadTables, batch_id: int) -> bool:
     names = [n for n in (targets.staging, targets.errors, targets.members, targets.items) if n and spark.catalog.tableExists(n)]
     kept = [spark.table(n) for n in names if "BATCH_ID" in spark.table(n).columns]
     return any(not t.filter(F.col("BATCH_ID") == batch_id).isEmpty() for t in kept)
 
 
-def _with_lead_ids(spark, rows: DataFrame, target: DataFrame, targets: LeadTables, batch_id: int) -> DataFrame:
-    """Add ``lead_id``: that of the same record of the batch, else of the lead number, else a new one."""
-    top = target.agg(F.max("LEAD_ID")).first()[0] or 0
-    earlier = None
-    if targets.staging and spark.catalog.tableExists(targets.staging):
-        kept = spark.table(targets.staging)
-        top = max(top, kept.agg(F.max("PK1")).first()[0] or 0)
-        earlier = kept.filter(F.col("BATCH_ID") == batch_id).select(F.col("FILE_RECORD_NUM").alias("record"), F.col("PK1").alias("earlier_id"))
+def _inserted_alone(tables: _Targets, earlier: DataFrame, batch_id: int) -> DataFrame:
+    """LEAD_ID of the leads that the batch has inserted and no other batch has updated since."""
+    taken = F.col("IMPORT_STATUS_CODE").isin("I", "S")
+    inserted = earlier.filter(taken & F.col("IMPORT_MODE").isNull()).select(F.col("PK1").alias("LEAD_ID"))
+    others = tables.read(tables.names.staging, earlier.schema).filter(taken & (F.col("BATCH_ID") != batch_id)).select(F.col("PK1").alias("LEAD_ID"))
+    return materialize(inserted.join(others, "LEAD_ID", "left_anti").distinct(), "own-leads")
+
+
+def _with_lead_ids(
+    tables: _Targets, rows: DataFrame, target: DataFrame, earlier: DataFrame | None, own: DataFrame | None, records: int
+) -> DataFrame:
+    """Add ``lead_id``: that of the same row of a batch that is replaced, else of the lead number, else a new one.
+
+    ``target`` is without the leads that the batch alone has inserted (``own``).
+    """
+    names = tables.names
+    if tables.open:
+        highest = lambda: (target.agg(F.max("LEAD_ID")).first()[0] or 0) + 1
+        top = names.store.ids.claim("LEAD_ID", max(1, records), first=highest) - 1
+    else:
+        top = tables.read(names.leads, schemas.LEADS).agg(F.max("LEAD_ID")).first()[0] or 0
+        if tables.exists(names.staging):
+            top = max(top, tables.spark.table(names.staging).agg(F.max("PK1")).first()[0] or 0)
     number = next(c for c in rows.columns if c.lower() == "leadnumber")  # the layouts differ in case
     wanted = rows.select(F.col(number).cast("string").alias("LEAD_NUMBER")).distinct()
     held = target.select("LEAD_NUMBER", "LEAD_ID")
@@ -304,16 +441,28 @@ def _with_lead_ids(spark, rows: DataFrame, target: DataFrame, targets: LeadTable
     found = left_join_unique(rows, ids.withColumnRenamed("LEAD_NUMBER", "known_number"), [(number, "known_number")])
     columns = [F.col("known_id"), F.col("FILE_RECORD_NUM") + F.lit(top)]
     if earlier is not None:
-        found = left_join_unique(found, earlier, [("FILE_RECORD_NUM", "record")])
-        columns.insert(0, F.col("earlier_id"))
+        before = renumber(earlier.select("FILE_RECORD_NUM", F.col(leads.LEAD_NUMBER).alias("number"), F.col("PK1").alias("earlier_id")), "FILE_RECORD_NUM", "occurrence", within=["number"])
+        before = materialize(left_join_unique(before, own.select(F.col("LEAD_ID").alias("own_id"), F.lit(True).alias("own")), [("earlier_id", "own_id")]), "earlier-rows")
+        found = renumber(materialize(found, "numbered-leads"), "FILE_RECORD_NUM", "place", within=[number])
+        found = left_join_unique(found, before.drop("FILE_RECORD_NUM"), [(number, "number"), ("place", "occurrence")])
+        # A row that was not inserted, or not by this batch alone, has to give way to a lead of its number.
+        columns = [F.when(F.col("own"), F.col("earlier_id")), columns[0], F.col("earlier_id"), columns[1]]
     return found.withColumn("lead_id", F.coalesce(*columns).cast("long"))
 
 
-def _highest_child(spark: SparkSession, table: str, key: str, batch_id: int) -> int:
+def _child_base(tables: _Targets, table: str, key: str, batch_id: int, count: int) -> int:
+    """A number above which ``count`` child ids are free; a batch that is loaded again gets those that it had."""
+    highest = lambda: _highest_child(tables, table, key, batch_id)
+    if tables.open:
+        return tables.names.store.ids.claim(key, max(1, count), owner=f"batch {batch_id}", first=lambda: highest() + 1) - 1
+    return highest()
+
+
+def _highest_child(tables: _Targets, table: str, key: str, batch_id: int) -> int:
     """Highest child id in use, without those that the batch wrote before."""
-    if not spark.catalog.tableExists(table):
+    if not tables.exists(table):
         return leads.CHILD_BASE
-    rows = spark.table(table)
+    rows = tables.read(table, T.StructType())
     if "BATCH_ID" in rows.columns:
         rows = rows.filter(~F.col("BATCH_ID").eqNullSafe(F.lit(batch_id)))
     return max(leads.CHILD_BASE, rows.agg(F.max(F.col(key).try_cast("long"))).first()[0] or 0)

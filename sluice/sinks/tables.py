@@ -117,16 +117,25 @@ def append(df: DataFrame, name: str) -> None:
         df.select(*spark.table(name).columns).write.insertInto(name)
 
 
-def replace_batch(df: DataFrame, name: str, column: str) -> None:
-    """Put the rows of ``df``, all with one value of ``column``, in place of those with that value.
+def replace_batch(df: DataFrame, name: str, column: str, value) -> None:
+    """Put the rows of ``df``, all with ``value`` in ``column``, in place of those with that value.
 
-    The table is partitioned by ``column``: other batches are neither read nor written.
+    The table is partitioned by ``column``: other batches are neither read nor written. Without rows the
+    partition is dropped.
     """
     spark = df.sparkSession
-    if spark.catalog.tableExists(name):
-        overwrite_partitions(df, name)
-    else:
+    if not spark.catalog.tableExists(name):
         df.write.format("parquet").partitionBy(column).saveAsTable(name)
+    elif df.isEmpty():
+        drop_batches(spark, name, column, [value])
+    else:
+        overwrite_partitions(df, name)
+
+
+def drop_batches(spark: SparkSession, name: str, column: str, values: Sequence) -> None:
+    """Take out the partitions with ``values`` in ``column`` through the catalog; no data file is read."""
+    for value in values:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({column} = {value!r})")
 
 
 def touched(
