@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 ROLL_BYTES = 32_000_000  # compressed size from which the next file is begun
 LEAST_REVISIT = 100  # payload bytes from which an equal payload is a revisit
 DATE = "2000-01-01T00:00:00Z"
+_CHUNK = 16_384  # compressed bytes that the reader takes at a time
 
 # Fixed values of the format.
 _VERSION = b"WARC/1.1"
@@ -179,12 +180,17 @@ def write_archives(
 
 def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) of each record of a gzipped WARC file; names of headers in lower case."""
-    while data:
-        member = zlib.decompressobj(31)
-        whole = member.decompress(data) + member.flush()
-        if not member.eof:
-            raise ValueError("a record is cut off")
-        data = member.unused_data
+    view, at = memoryview(data), 0
+    while at < len(view):
+        member, parts = zlib.decompressobj(31), []
+        while not member.eof:
+            # A chunk at a time: what lies behind the end of a member is copied.
+            if at >= len(view):
+                raise ValueError("a record is cut off")
+            parts.append(member.decompress(view[at : at + _CHUNK]))
+            at += _CHUNK
+        at -= len(member.unused_data) + max(0, at - len(view))
+        whole = b"".join(parts)
         stream = io.BytesIO(whole)
         while (line := stream.readline()).strip() == b"" and line:
             pass

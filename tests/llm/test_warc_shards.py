@@ -68,3 +68,17 @@ def test_empty_table_and_damage(spark, pages_of, tmp_path):
     (tmp_path / "bad" / "x.warc.gz").write_bytes(data)
     with pytest.raises(Exception, match="payload of"):
         W.read_archives(spark, str(tmp_path / "bad")).collect()
+
+
+def test_reader_takes_time_in_proportion(monkeypatch):
+    import gzip
+
+    pages = [W.record("response", [("N", str(k))], f"page {k} ".encode() * (k % 50)) for k in range(500)]
+    data = b"".join(gzip.compress(p, 6, mtime=0) for p in pages)
+    for size in (1, 7, 16_384, 10**9):
+        monkeypatch.setattr(W, "_CHUNK", size)
+        found = list(W.records(data))
+        assert [h["n"] for h, _ in found] == [str(k) for k in range(500)]
+        assert all(block == f"page {k} ".encode() * (k % 50) for k, (_, block) in enumerate(found))
+        with pytest.raises(ValueError, match="cut off"):
+            list(W.records(data[:-3]))
