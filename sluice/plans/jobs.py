@@ -19,7 +19,7 @@ from sluice.plans import leads
 from sluice.scratch import materialize
 from sluice.sinks.files import write_csv
 from sluice.sinks.store import Store
-from sluice.sinks.tables import append, clear, current, publish, replace_batch
+from sluice.sinks.tables import append, clear, current, drop_batches, publish, replace_batch
 from sluice.sources.extracts import path_exists
 from sluice.sources.delimited import (
     physical_lines, read_delimited, scan_delimited, store_delimited,
@@ -473,13 +473,43 @@ def clean_lead_tables(spark: SparkSession, targets: LeadTables, *, children: boo
 
     Never part of a load: it would leave nothing to update.
     """
-    if spark.catalog.tableExists(targets.leads):
-        leads_table = spark.table(targets.leads)
-        publish(delete_where(leads_table, F.col("COUNTRY").isNotNull()), targets.leads)
-    if children:
-        for name in (targets.members, targets.items):
-            if spark.catalog.tableExists(name):
+    tables, gone = _Targets(spark, targets), F.col("COUNTRY").isNotNull()
+    if tables.exists(targets.leads):
+        left = delete_where(tables.read(targets.leads, schemas.LEADS), gone)
+        if tables.open:
+            tables.open.overwrite(targets.leads, left)
+        else:
+            publish(left, targets.leads)
+    for name in (targets.members, targets.items) if children else ():
+        if tables.exists(name):
+            if tables.open:
+                tables.open.overwrite(name, tables.open.read(name).filter("false"))
+            else:
                 clear(spark, name)
+    tables.commit()
+
+
+def retire_batches(spark: SparkSession, targets: LeadTables, batch_ids: Sequence[int]) -> None:
+    """Take the staging rows and errors of old batches out; leads and their children stay.
+
+    Only partitions or file names are dropped: no data file is read or written. A retired batch can no longer
+    be corrected.
+    """
+    tables = _Targets(spark, targets)
+    for name in filter(tables.exists, (targets.staging, targets.errors)):
+        if tables.open:
+            tables.open.drop_tags(name, [str(b) for b in batch_ids])
+        else:
+            drop_batches(spark, name, "BATCH_ID", batch_ids)
+    tables.commit()
+
+
+def batches_before(targets: LeadTables, at: datetime | str) -> list[int]:
+    """The batches of a store that were loaded before a time, told by their records alone.
+
+    ``at`` and the times of the loads are times, or text of one form whose order is that of time.
+    """
+    return sorted(n for n, facts in targets.store.ids.taken("batches").items() if facts["at"] < str(at))
 
 
 def direct_upsert(
@@ -490,13 +520,24 @@ def direct_upsert(
     keys: Sequence[str],
     update_columns: Sequence[str],
     insert_columns: Sequence[str] | None = None,
+    store: Store | None = None,
 ) -> DataFrame:
-    """Upsert a header CSV file into a table; of rows with one key the last in the file counts."""
+    """Upsert a header CSV file into a table; of rows with one key the last in the file counts.
+
+    With ``store`` it is a table of that store, of which only the files are rewritten that can hold a key of
+    the file.
+    """
     text = T.StructType([T.StructField(c, T.StringType()) for c in _header(spark, input_path)])
     rows = store_delimited(spark, input_path, text)
     columns = insert_columns or [c for c in rows.columns if c in schema.fieldNames()]
-    target = current(spark, table, schema)
-    return publish(upsert(target, rows, keys, update_columns, columns, ["FILE_RECORD_NUM"]), table)
+    change = lambda part: upsert(part, rows, keys, update_columns, columns, ["FILE_RECORD_NUM"])
+    if store is None:
+        return publish(change(current(spark, table, schema)), table)
+    load = store.begin()
+    load.create(table, schema, keys, update_columns)
+    load.merge(table, rows, change)
+    load.commit()
+    return store.read(table)
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:
@@ -520,8 +561,15 @@ def reference_rows(
 
 
 def reference_upload(
-    spark: SparkSession, input_path: str, table: str, renames: dict[str, str], **stamps
+    spark: SparkSession, input_path: str, table: str, renames: dict[str, str], *, store: Store | None = None, **stamps
 ) -> DataFrame:
-    """Append a header CSV file to a table as ``reference_rows``."""
-    append(reference_rows(read_delimited(spark, input_path), renames, **stamps), table)
-    return spark.table(table)
+    """Append a header CSV file to a table, or to one of ``store``, as ``reference_rows``."""
+    rows = reference_rows(read_delimited(spark, input_path), renames, **stamps)
+    if store is None:
+        append(rows, table)
+        return spark.table(table)
+    load = store.begin()
+    load.create(table, rows.schema)
+    load.append(table, rows)
+    load.commit()
+    return store.read(table)

@@ -17,6 +17,7 @@ from sluice.operators.upsert import delete_where, merge_rows, upsert
 from sluice.plans import jobs, leads as L
 from sluice.scratch import materialize, scratch_path
 from sluice.sinks.files import create_csv, write_csv
+from sluice.sinks.store import Store
 from sluice.sinks.tables import append, drop_old_versions, overwrite_partitions, publish, touched
 from sluice.sources.delimited import malformed, physical_lines, read_delimited, store_delimited
 from sluice.sources.extracts import cached_extract, key_extract, younger_than
@@ -597,27 +598,43 @@ def staged_merge(spark, sf_dir):
     return L.merge_leads(_lead_table(spark, sf_dir), X.status(spark, sf_dir))
 
 
-def _two_batches(spark, sf_dir):
+def _kept_tables(spark, store: bool = False):
+    """Names of new tables, in the catalog or in a store of its own."""
+    tag = uuid.uuid4().hex[:12]
+    names = [f"{n}_{tag}" for n in ("leads", "members", "items", "staging", "errors")]
+    return jobs.LeadTables(*names, store=Store(spark, scratch_path(spark, "store")) if store else None)
+
+
+def _load_orders(spark, sf_dir, targets, batch_id, rows, label, **more):
+    """Load orders as a wide lead file of one batch."""
+    values = {
+        "LeadNumber": F.concat(F.lit("L"), "o_orderkey"), "CustomerId": F.col("o_custkey"), "PrimaryContactId": F.col("o_custkey"),
+        "LeadName": F.concat(F.lit(label), "o_orderkey"), "DealSize": F.lit(batch_id), "PartyUsageCode": F.col("o_orderstatus"),
+        "productGroupId": F.col("o_orderkey") % 100 + 1, "Country": F.when(F.col("o_orderkey") % 4 != 0, "US"),
+    }
+    fields = [f for f in schemas.LEAD_FILE_WIDE.fieldNames() if f != schemas.CORRUPT]
+    path = scratch_path(spark, "batch-file")
+    write_csv(rows.select(*[values.get(f, F.lit("x") if f != "BudgetAmount" else F.lit(7)).alias(f) for f in fields]), path)
+    return jobs.staged_intake(
+        spark, path, scratch_path(spark, "batch-out"), X.parties(spark, sf_dir), X.products(spark, sf_dir), targets,
+        at=X.STAMP, by="PLSQL", batch_id=batch_id, **more,
+    )
+
+
+def _two_batches(spark, sf_dir, store: bool = False):
     """Finished orders as a first lead file, then all orders as a second one."""
     orders = X.table(spark, sf_dir, "orders")
-    tag = uuid.uuid4().hex[:12]
-    targets = jobs.LeadTables(*[f"{n}_{tag}" for n in ("leads", "members", "items", "staging", "errors")])
-    for number, (label, rows) in enumerate((("First ", orders.filter("o_orderstatus = 'F'")), ("Second ", orders)), start=1):
-        values = {
-            "LeadNumber": F.concat(F.lit("L"), "o_orderkey"), "CustomerId": F.col("o_custkey"), "PrimaryContactId": F.col("o_custkey"),
-            "LeadName": F.concat(F.lit(label), "o_orderkey"), "DealSize": F.lit(number), "PartyUsageCode": F.col("o_orderstatus"),
-            "productGroupId": F.col("o_orderkey") % 100 + 1,
-        }
-        fields = [f for f in schemas.LEAD_FILE_WIDE.fieldNames() if f != schemas.CORRUPT]
-        path = scratch_path(spark, "batch-file")
-        write_csv(rows.select(*[values.get(f, F.lit("x") if f != "BudgetAmount" else F.lit(7)).alias(f) for f in fields]), path)
-        jobs.staged_intake(
-            spark, path, scratch_path(spark, "batch-out"), X.parties(spark, sf_dir), X.products(spark, sf_dir), targets,
-            at=X.STAMP, by="PLSQL", batch_id=number,
-        )
+    targets = _kept_tables(spark, store)
+    _load_orders(spark, sf_dir, targets, 1, orders.filter("o_orderstatus = 'F'"), "First ")
+    _load_orders(spark, sf_dir, targets, 2, orders, "Second ")
     return targets
 
 
+def _rows_of(spark, targets, table: str):
+    name = getattr(targets, table)
+    return targets.store.read(name) if targets.store else spark.table(name)
+
+
 _TWO = """
 WITH judged AS (
   SELECT *, o_orderkey % 100 + 1 IN (SELECT p_partkey FROM part WHERE p_size <= 40) AS product_ok,
@@ -626,18 +643,76 @@ WITH judged AS (
 """
 
 
-@query(_TWO + """
+_TWO_LOADED = _TWO + """
 SELECT 'L' || o_orderkey AS LEAD_NUMBER, 'Second ' || o_orderkey AS LEAD_NAME, o_custkey AS CUSTOMER_ID, 2 AS DEAL_SIZE,
   CASE o_orderstatus WHEN 'F' THEN 2 ELSE 1 END AS n_members, CASE o_orderstatus WHEN 'F' THEN 2 ELSE 1 END AS n_items
 FROM judged WHERE product_ok AND customer_ok
-""")
-def staged_two_batches(spark, sf_dir):
-    targets = _two_batches(spark, sf_dir)
-    count = lambda table, name: spark.table(table).groupBy("LEAD_ID").agg(F.count(F.lit(1)).alias(name))
-    found = spark.table(targets.leads).join(count(targets.members, "n_members"), "LEAD_ID", "left").join(count(targets.items, "n_items"), "LEAD_ID", "left")
+"""
+
+
+def _with_children(spark, targets):
+    count = lambda table, name: _rows_of(spark, targets, table).groupBy("LEAD_ID").agg(F.count(F.lit(1)).alias(name))
+    found = _rows_of(spark, targets, "leads").join(count("members", "n_members"), "LEAD_ID", "left").join(count("items", "n_items"), "LEAD_ID", "left")
     return found.select("LEAD_NUMBER", "LEAD_NAME", "CUSTOMER_ID", "DEAL_SIZE", "n_members", "n_items")
 
 
+@query(_TWO_LOADED)
+def staged_two_batches(spark, sf_dir):
+    return _with_children(spark, _two_batches(spark, sf_dir))
+
+
+@query(_TWO_LOADED)
+def store_two_batches(spark, sf_dir):
+    return _with_children(spark, _two_batches(spark, sf_dir, store=True))
+
+
+def _replaced_batch(spark, sf_dir, store: bool):
+    """A file of all orders and its correction: without every third order, and with valid products only, in another order."""
+    orders = X.table(spark, sf_dir, "orders")
+    targets = _kept_tables(spark, store)
+    _load_orders(spark, sf_dir, targets, 1, orders.filter("o_orderstatus = 'F'"), "First ")
+    _load_orders(spark, sf_dir, targets, 2, orders, "Second ")
+    good = orders.join(X.products(spark, sf_dir).frame, F.col("o_orderkey") % 100 + 1 == F.col("prod_group_id"), "left_semi")
+    corrected = good.filter("o_orderkey % 3 <> 0").orderBy(F.desc("o_orderkey"))
+    _load_orders(spark, sf_dir, targets, 2, corrected, "Corrected ", replace=True)
+    leads = _rows_of(spark, targets, "leads").select("LEAD_NUMBER", F.lit("lead").alias("kind"), F.col("LEAD_NAME").alias("note"), F.lit(None).cast("int").alias("BATCH_ID"))
+    names = _rows_of(spark, targets, "leads").select("LEAD_ID", "LEAD_NUMBER")
+    children = [
+        _rows_of(spark, targets, table).join(names, "LEAD_ID", "left").select("LEAD_NUMBER", F.lit(kind).alias("kind"), F.lit(None).cast("string").alias("note"), "BATCH_ID")
+        for table, kind in (("members", "member"), ("items", "item"))
+    ]
+    staged = _rows_of(spark, targets, "staging").select(F.col(L.LEAD_NUMBER).alias("LEAD_NUMBER"), "BATCH_ID", "FILE_RECORD_NUM")
+    errors = _rows_of(spark, targets, "errors").join(staged, ["BATCH_ID", "FILE_RECORD_NUM"]).select(
+        "LEAD_NUMBER", F.lit("error").alias("kind"), F.col("ERROR_MESSAGE").alias("note"), "BATCH_ID"
+    )
+    return leads.unionByName(children[0]).unionByName(children[1]).unionByName(errors)
+
+
+_REPLACED = _TWO + """
+, corrected AS (SELECT * FROM judged WHERE product_ok AND o_orderkey % 3 <> 0),
+taken AS (SELECT 1 AS batch, * FROM judged WHERE o_orderstatus = 'F' AND product_ok AND customer_ok
+  UNION ALL SELECT 2, * FROM corrected WHERE customer_ok)
+SELECT 'L' || o_orderkey AS LEAD_NUMBER, 'lead' AS kind,
+  max(CASE WHEN batch = 2 THEN 'Corrected ' ELSE CASE WHEN o_orderkey % 3 = 0 THEN 'Second ' ELSE 'First ' END END || o_orderkey) FILTER (batch = last) AS note,
+  CAST(NULL AS INTEGER) AS BATCH_ID
+FROM (SELECT *, max(batch) OVER (PARTITION BY o_orderkey) AS last FROM taken) GROUP BY o_orderkey
+UNION ALL SELECT 'L' || o_orderkey, unnest(['member', 'item']), NULL, batch FROM taken
+UNION ALL SELECT 'L' || o_orderkey, 'error', CASE WHEN product_ok THEN 'Invalid Customer (CUSTOMER_ID)' ELSE 'Invalid Product (PROD_GROUP_ID)' END, 1
+  FROM judged WHERE o_orderstatus = 'F' AND NOT (product_ok AND customer_ok)
+UNION ALL SELECT 'L' || o_orderkey, 'error', 'Invalid Customer (CUSTOMER_ID)', 2 FROM corrected WHERE NOT customer_ok
+"""
+
+
+@query(_REPLACED)
+def staged_replaced_batch(spark, sf_dir):
+    return _replaced_batch(spark, sf_dir, store=False)
+
+
+@query(_REPLACED)
+def store_replaced_batch(spark, sf_dir):
+    return _replaced_batch(spark, sf_dir, store=True)
+
+
 @query(_TWO + """
 , loaded AS (SELECT 1 AS batch, * FROM judged WHERE o_orderstatus = 'F' UNION ALL SELECT 2, * FROM judged)
 SELECT batch AS BATCH_ID, CASE WHEN product_ok AND customer_ok THEN 'S' ELSE 'E' END AS IMPORT_STATUS_CODE,
@@ -691,19 +766,79 @@ def table_append_publish(spark, sf_dir):
     return spark.table(name)
 
 
+# --- tables of a store -----------------------------------------------------------------------
+
+
+def _orders_store(spark, sf_dir, updates=None):
+    """Orders in files by ranges of their key."""
+    orders = X.table(spark, sf_dir, "orders")
+    store = Store(spark, scratch_path(spark, "store"))
+    load = store.begin()
+    load.create("orders", orders.schema, ["o_orderkey"], updates)
+    load.append("orders", _target(spark, sf_dir).repartitionByRange(16, "o_orderkey"))
+    load.commit()
+    return store
+
+
+_UPSERTED = _TABLES + """
+SELECT t.o_orderkey, t.o_custkey, CASE WHEN s.o_orderkey IS NULL THEN t.o_orderstatus ELSE s.o_orderstatus END AS o_orderstatus,
+  CASE WHEN s.o_orderkey IS NULL THEN t.o_totalprice ELSE s.o_totalprice END AS o_totalprice, t.o_orderdate, t.o_orderpriority
+FROM target t LEFT JOIN source s ON t.o_orderkey = s.o_orderkey
+UNION ALL SELECT * FROM source s WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.o_orderkey = s.o_orderkey)
+"""
+
+
+@query(_UPSERTED)
+def merge_by_files(spark, sf_dir):
+    store, source = _orders_store(spark, sf_dir), _source(spark, sf_dir)
+    load = store.begin()
+    load.merge("orders", source, lambda part: upsert(part, source, ["o_orderkey"], ["o_orderstatus", "o_totalprice"]))
+    load.commit()
+    return store.read("orders")
+
+
+def _logged_changes(spark, sf_dir):
+    """A first round of changes that later ones take back in part."""
+    store, source = _orders_store(spark, sf_dir, ["o_orderstatus", "o_totalprice"]), _source(spark, sf_dir)
+    wrong = source.withColumns({"o_totalprice": F.lit(0.0), "o_orderstatus": F.lit("?")})
+    for changes_of in (wrong.filter("o_orderkey % 2 = 0"), source):
+        load = store.begin()
+        load.log_changes("orders", changes_of)
+        load.commit()
+    return store
+
+
+@query(_UPSERTED)
+def merge_log_read(spark, sf_dir):
+    return _logged_changes(spark, sf_dir).read("orders")
+
+
+@query(_UPSERTED)
+def merge_log_compacted(spark, sf_dir):
+    store = _logged_changes(spark, sf_dir)
+    load = store.begin()
+    load.compact("orders")
+    load.commit()
+    return store.read("orders")
+
+
 # --- whole job -------------------------------------------------------------------------------
 
 
-@query(on_leads("""
+_LABELLED = """
 , parsed AS (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
     l_extendedprice) AS n FROM lines),
-labelled AS (SELECT n, p."leadNumber", p."customerId", CASE WHEN bad THEN 'malformed'
+labelled AS (SELECT p.*, CASE WHEN bad THEN 'malformed'
     WHEN "leadNumber" IS NULL OR "primaryContactId" IS NULL OR "PartyUsageCode" IS NULL THEN 'missing_required'
     WHEN "productGroupId" IS NULL THEN 'missing_product_group'
     WHEN "customerId" NOT IN (SELECT party_id FROM parties) THEN 'unknown_customer'
     WHEN "primaryContactId" NOT IN (SELECT party_id FROM parties) THEN 'unknown_contact'
     WHEN "productGroupId" NOT IN (SELECT prod_group_id FROM products) THEN 'unknown_product'
     WHEN "leadNumber" IN (SELECT lead_number FROM existing) THEN 'update' ELSE 'insert' END AS outcome FROM parsed p)
+"""
+
+
+@query(on_leads(_LABELLED + """
 SELECT n AS "FILE_RECORD_NUM", "leadNumber", "customerId",
   CASE WHEN outcome = 'insert' AND row_number() OVER (PARTITION BY "leadNumber", outcome ORDER BY n) > 1
     THEN 'duplicate' ELSE outcome END AS outcome
@@ -722,3 +857,111 @@ def intake_end_to_end(spark, sf_dir):
         F.col("CUSTOMER_ID").alias("customerId"), F.lit("insert").alias("outcome"),
     )
     return others.unionByName(repeats).unionByName(new)
+
+
+_FIRST = _LABELLED + """
+, first AS (SELECT *, row_number() OVER (PARTITION BY "leadNumber" ORDER BY n) AS place FROM labelled WHERE outcome = 'insert')
+"""
+
+
+@query(on_leads(_FIRST + """
+SELECT n AS LEAD_ID, "leadNumber" AS LEAD_NUMBER, "customerId" AS CUSTOMER_ID, "leadName" AS LEAD_NAME,
+  "PartyRole" AS PARTY_ROLE, "productGroupId" AS PRODUCT_GROUP_ID, 'GS1' AS CREATED_BY
+FROM first WHERE place = 1
+"""))
+def intake_tables(spark, sf_dir):
+    tag = uuid.uuid4().hex[:12]
+    store = Store(spark, scratch_path(spark, "store"))
+    targets = jobs.LeadTables(f"leads_{tag}", f"members_{tag}", f"items_{tag}", store=store)
+    jobs.validated_intake(
+        spark, X.lead_file(spark, sf_dir), scratch_path(spark, "intake"), X.parties(spark, sf_dir), X.products(spark, sf_dir),
+        X.existing_leads(spark, sf_dir), targets=targets, at=X.STAMP, by="GS1",
+    )
+    found = store.read(targets.leads).join(store.read(targets.members).select("LEAD_ID", "PARTY_ROLE"), "LEAD_ID", "full")
+    found = found.join(store.read(targets.items).select("LEAD_ID", "PRODUCT_GROUP_ID"), "LEAD_ID", "full")
+    return found.select("LEAD_ID", "LEAD_NUMBER", "CUSTOMER_ID", "LEAD_NAME", "PARTY_ROLE", "PRODUCT_GROUP_ID", "CREATED_BY")
+
+
+@query(on_leads(_FIRST + """
+SELECT 'format_errors' AS file, CAST(n AS VARCHAR) AS id, line AS content FROM labelled WHERE outcome = 'malformed'
+UNION ALL SELECT outcome, CAST(n AS VARCHAR), "leadName" FROM labelled WHERE outcome NOT IN ('malformed', 'update', 'insert')
+UNION ALL SELECT unnest(['leads', 'members', 'items']), CAST(n AS VARCHAR), unnest(["leadNumber", "PartyRole", CAST("productGroupId" AS VARCHAR)]) FROM first WHERE place = 1
+"""))
+def intake_files(spark, sf_dir):
+    out = scratch_path(spark, "intake")
+    jobs.validated_intake(
+        spark, X.lead_file(spark, sf_dir), out, X.parties(spark, sf_dir), X.products(spark, sf_dir), X.existing_leads(spark, sf_dir), at=X.STAMP, by="GS1",
+    )
+    part = lambda path, kind, key, content: read_delimited(spark, f"{out}/{path}").select(
+        (F.lit(kind) if kind else F.col("reject_reason")).alias("file"), F.col(key).alias("id"), F.col(content).alias("content")
+    )
+    found = part("format_errors", "format_errors", "FILE_RECORD_NUM", "malformed_line").unionAll(part("rejects", None, "FILE_RECORD_NUM", "leadName"))
+    for name, content in (("leads", "LEAD_NUMBER"), ("members", "PARTY_ROLE"), ("items", "PRODUCT_GROUP_ID")):
+        found = found.unionAll(part(f"success/{name}", name, "LEAD_ID", content))
+    return found
+
+
+@query("""
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'again ' ELSE '' END || c_name AS c_name,
+  CASE WHEN c_custkey % 5 = 0 AND c_custkey % 3 <> 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment FROM customer
+""")
+def direct_upsert_table(spark, sf_dir):
+    customers = X.table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("c_custkey"), "c_name", "c_mktsegment")
+    store, paths = Store(spark, scratch_path(spark, "store")), [scratch_path(spark, "customer-file") for _ in "12"]
+    empty = F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment")).alias("c_mktsegment")
+    write_csv(customers.select("c_custkey", "c_name", empty), paths[0])
+    write_csv(customers.filter("c_custkey % 3 = 0").select("c_custkey", F.concat(F.lit("again "), "c_name").alias("c_name"), "c_mktsegment"), paths[1])
+    for path in paths:
+        found = jobs.direct_upsert(spark, path, "customers", customers.schema, ["c_custkey"], ["c_name", "c_mktsegment"], store=store)
+    return found
+
+
+@query(f"""SELECT CAST(p_partkey AS VARCHAR) AS PROD_GROUP_ID, p_name AS PROD_GROUP_NAME, {_STAMPED} FROM part, range(2)""")
+def reference_upload_table(spark, sf_dir):
+    store, path = Store(spark, scratch_path(spark, "store")), scratch_path(spark, "part-file")
+    write_csv(X.table(spark, sf_dir, "part").select("p_partkey", "p_name"), path)
+    for _ in range(2):
+        found = jobs.reference_upload(spark, path, "groups", {"p_partkey": "PROD_GROUP_ID", "p_name": "PROD_GROUP_NAME"}, store=store, at=X.STAMP, by="GS1")
+    return found
+
+
+@query(_TWO + """
+SELECT 'staging' AS name, 2 AS BATCH_ID, count(*) AS n FROM judged
+UNION ALL SELECT 'errors', 2, count(*) FILTER (NOT (product_ok AND customer_ok)) FROM judged
+UNION ALL SELECT 'members', batch, count(*) FROM (SELECT 1 AS batch, * FROM judged WHERE o_orderstatus = 'F' UNION ALL SELECT 2, * FROM judged)
+  WHERE product_ok AND customer_ok GROUP BY batch
+""")
+def retired_batches(spark, sf_dir):
+    targets = _two_batches(spark, sf_dir)
+    jobs.retire_batches(spark, targets, [1])
+    counted = [_rows_of(spark, targets, n).groupBy("BATCH_ID").agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), "BATCH_ID", "n") for n in ("staging", "errors", "members")]
+    return counted[0].unionAll(counted[1]).unionAll(counted[2])
+
+
+@query(_TWO + "SELECT 'lead' AS kind, 'L' || o_orderkey AS LEAD_NUMBER FROM judged WHERE product_ok AND customer_ok AND o_orderkey % 4 = 0")
+def cleaned_lead_tables(spark, sf_dir):
+    targets = _kept_tables(spark, store=True)
+    _load_orders(spark, sf_dir, targets, 1, X.table(spark, sf_dir, "orders"), "First ")
+    jobs.clean_lead_tables(spark, targets)
+    left = [_rows_of(spark, targets, n).select(F.lit(k).alias("kind"), F.col(c).alias("LEAD_NUMBER")) for n, k, c in (("leads", "lead", "LEAD_NUMBER"), ("members", "member", "PARTY_ROLE"), ("items", "item", "CONV_CURR_CODE"))]
+    return left[0].unionAll(left[1]).unionAll(left[2])
+
+
+@query("""
+SELECT CAST(o_orderkey AS INTEGER) AS k, CAST(o_orderkey AS BIGINT) * 10000000000 AS big, o_totalprice AS price, o_orderkey % 2 = 0 AS even,
+  o_orderdate AS at, CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 'last' ELSE CAST(o_orderkey AS VARCHAR) END AS changing,
+  NULL::VARCHAR AS nothing
+FROM orders
+""")
+def csv_inferred_types(spark, sf_dir):
+    path, orders = scratch_path(spark, "typed-file"), X.table(spark, sf_dir, "orders")
+    last = orders.agg(F.max("o_orderkey")).first()[0]
+    write_csv(
+        orders.orderBy("o_orderkey").select(
+            F.col("o_orderkey").alias("k"), (F.col("o_orderkey").cast("bigint") * 10_000_000_000).alias("big"), F.col("o_totalprice").alias("price"),
+            (F.col("o_orderkey") % 2 == 0).alias("even"), F.col("o_orderdate").cast("string").alias("at"),
+            F.when(F.col("o_orderkey") == last, "last").otherwise(F.col("o_orderkey").cast("string")).alias("changing"), F.lit(None).cast("string").alias("nothing"),
+        ),
+        path,
+    )
+    return read_delimited(spark, path, infer=True)
