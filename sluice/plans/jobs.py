@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from sluice import schemas
 from sluice.functions.stamp import audit, new_batch_id, rename, surrogate_id
 from sluice.operators.changes import deal_performance, dedup, dropped_duplicates, flag_changes
-from sluice.operators.lookups import ReferenceList, fits_broadcast, left_join_unique
+from sluice.operators.lookups import ReferenceList, fits_broadcast, flag_known, left_join_unique
 from sluice.operators.numbering import number_records, renumber
 from sluice.operators.rules import Broken, Required, classify
 from sluice.operators.upsert import delete_where, has_known_key, upsert
@@ -83,6 +83,13 @@ class _Targets:
         else:
             replace_batch(rows, name, "BATCH_ID", batch_id)
 
+    def add_to_batch(self, name: str, rows: DataFrame, schema: T.StructType, batch_id: int) -> None:
+        """Add rows of a batch to those that it has."""
+        if self.open:
+            self.open.append(name, rows, str(batch_id))
+        else:
+            append(_whole(rows, T.StructType([*schema.fields, T.StructField("BATCH_ID", T.IntegerType())])), name)
+
     def append(self, name: str, rows: DataFrame, schema: T.StructType) -> None:
         if self.open:
             self.open.create(name, schema, self._keys(name))
@@ -489,6 +496,80 @@ def clean_lead_tables(spark: SparkSession, targets: LeadTables, *, children: boo
     tables.commit()
 
 
+def changed_keys(old: ReferenceList, new: ReferenceList) -> tuple[DataFrame, bool]:
+    """Keys (``__ref``, as text) that only one of the lists has, and whether the verdict of every row can change.
+
+    That is so if only one of them is empty or holds a null, since ``NOT IN`` is true for no row then.
+    """
+    before, after = (r.keys(T.StringType()) for r in (old, new))
+    facts = [(r.frame.filter(F.col(r.key).isNull()).isEmpty(), r.frame.isEmpty()) for r in (old, new)]
+    only = before.join(after, "__ref", "left_anti").unionAll(after.join(before, "__ref", "left_anti")).filter("__ref IS NOT NULL")
+    return materialize(only, "changed-keys"), facts[0] != facts[1]
+
+
+def revalidate_batches(
+    spark: SparkSession,
+    targets: LeadTables,
+    old: tuple[ReferenceList, ReferenceList],
+    new: tuple[ReferenceList, ReferenceList],
+) -> dict[str, int]:
+    """Judge the kept rows of all batches again after the lists (parties, products) have changed.
+
+    Only rows with a key that a list has gained or lost are judged; the staging rows of batches without such a
+    row are not read but for their keys. A row in error that is valid now is loaded: its lead is merged and
+    gets its children. A loaded row that has become invalid gets the status and an entry in the errors; its
+    lead stays. Returns the rows judged, loaded and turned to errors.
+    """
+    tables, columns = _Targets(spark, targets), [(leads.PRODUCT, 1), (leads.CUSTOMER, 0), (leads.CONTACT, 0)]
+    changed = [changed_keys(o, n) for o, n in zip(old, new)]
+    staging = tables.read(targets.staging, T.StructType())
+    keys = staging.select("BATCH_ID", "FILE_RECORD_NUM", *[c for c, _ in columns])
+    if any(every for _, every in changed):
+        hits = keys
+    else:
+        hits = None
+        for column, which in columns:
+            found = keys.join(changed[which][0].withColumnRenamed("__ref", column), column, "left_semi")
+            hits = found if hits is None else hits.unionByName(found)
+    hits = materialize(hits.select("BATCH_ID", "FILE_RECORD_NUM").distinct(), "rows-to-judge")
+    result = {"judged": hits.count(), "loaded": 0, "errors": 0}
+    # The driver lists the batches to plan the scan of them.
+    for batch_id in sorted(r.BATCH_ID for r in hits.select("BATCH_ID").distinct().collect()):
+        kept = materialize(tables.batch(targets.staging, batch_id), "kept-batch")
+        own = hits.filter(F.col("BATCH_ID") == batch_id).select("FILE_RECORD_NUM")
+        judged = classify(kept.join(own, "FILE_RECORD_NUM", "left_semi").drop("ERROR_MESSAGE"), leads.staged_rules(*new), "ERROR_MESSAGE")
+        before = kept.select("FILE_RECORD_NUM", F.col("IMPORT_STATUS_CODE").alias("before"))
+        judged = judged.join(before, "FILE_RECORD_NUM").withColumn("IMPORT_STATUS_CODE", F.when(F.col("ERROR_MESSAGE").isNotNull(), "E").when(F.col("before") == "E", "I").otherwise("S"))
+        code = F.col("IMPORT_STATUS_CODE")
+        judged, seen = _observed(judged, {"loaded": code == "I", "errors": (code == "E") & (F.col("before") != "E"), "any": F.lit(True)})
+        judged = materialize(judged, "judged-again")
+        fresh = judged.filter(code == "I")
+        for name in ("loaded", "errors"):
+            result[name] += seen.get[name]
+        if seen.get["loaded"]:
+            known = tables.read(targets.leads, schemas.LEADS)
+            marked = flag_known(fresh.drop("IMPORT_MODE"), "PK1", ReferenceList(known, "LEAD_ID"), "known", null_safe=False, stored=judged)
+            fresh = materialize(marked.withColumn("IMPORT_MODE", F.when(F.col("known"), "U")).select(*kept.columns), "loaded-again")
+            tables.merge(targets.leads, schemas.LEADS, fresh.select(F.col("PK1").alias("LEAD_ID")), lambda part, rows=fresh: leads.merge_leads(part, rows))
+            accepted = materialize(leads.accepted_rows(fresh), "accepted-again")
+            for table, schema, build in ((targets.members, schemas.LEAD_MEMBERS, leads.member_rows), (targets.items, schemas.LEAD_ITEMS, leads.item_rows)):
+                key = next(k for n, k in _Targets.KEYS.items() if getattr(targets, n) == table)[0]
+                if tables.open:
+                    base = targets.store.ids.claim(key, seen.get["loaded"], first=lambda: _highest_child(tables, table, key, -1) + 1) - 1
+                else:
+                    base = _highest_child(tables, table, key, -1)
+                children = build(accepted, base).withColumn("BATCH_ID", F.lit(batch_id).cast("int"))
+                tables.add_to_batch(table, children, schema, batch_id)
+        rest = kept.join(own, "FILE_RECORD_NUM", "left_anti").select(*kept.columns)
+        turned = judged.filter(code != "I").select(*kept.columns)
+        whole = materialize(leads.finished(rest.unionAll(turned).unionAll(fresh.select(*kept.columns) if seen.get["loaded"] else turned.filter("false"))), "judged-batch")
+        tables.replace_batch(targets.staging, whole, batch_id)
+        if targets.errors:
+            tables.replace_batch(targets.errors, leads.error_log(whole), batch_id)
+    tables.commit()
+    return result
+
+
 def retire_batches(spark: SparkSession, targets: LeadTables, batch_ids: Sequence[int]) -> None:
     """Take the staging rows and errors of old batches out; leads and their children stay.
 

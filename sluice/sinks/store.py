@@ -21,11 +21,11 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from sluice.operators.lookups import fits_broadcast
 from sluice.operators.rules import all_present, any_null
-from sluice.operators.upsert import upsert
+from sluice.operators.upsert import delete_where, upsert
 from sluice.scratch import materialize
 from sluice.sinks import records
 
@@ -139,6 +139,15 @@ class Transaction:
             columns = [c for c in schema.names if c not in keys] if updates is None else list(updates)
             self.tables[table] = {"schema": schema.jsonValue(), "keys": list(keys), "updates": columns, "logs": []}
 
+    def mark(self, table: str):
+        """What ``set_mark`` has last put beside the table."""
+        return self.tables.get(table, {}).get("mark")
+
+    def set_mark(self, table: str, mark) -> None:
+        """Put a value of JSON, such as how far a source was read, beside the table; it is committed with its rows."""
+        self.tables = {**self.tables, table: {**self.tables[table], "mark": mark}}
+        self.appended[table] = None
+
     def _write(self, table: str, df: DataFrame, kind: str, tag: str | None) -> DataFrame:
         """New data files, as rows of a log."""
         schema, keys = self.schema(table), self.tables[table]["keys"]
@@ -231,6 +240,28 @@ class Transaction:
         self._log(table, self._gone(hit).unionByName(entries))
         return len(paths)
 
+    def delete(self, table: str, condition: Column) -> int:
+        """Take out the rows for which ``condition`` is true; returns how many files that touches.
+
+        Of all files only the columns of the condition are read; those with such a row are written again.
+        """
+        if not self.files(table).filter("kind = 'change'").isEmpty():
+            self.compact(table)
+        files = self.files(table)
+        paths = [r.file for r in files.select("file").collect()]
+        found = self._rows(table, paths).filter(condition).select(F.col("_metadata.file_path").alias("file")).distinct() if paths else files.limit(0)
+        hit = materialize(files.join(found.select("file"), "file", "left_semi"), "hit-files")
+        # A tag stays with what is left of its files.
+        tags = [r.tag for r in hit.select("tag").distinct().collect()]
+        touched, entries = 0, self._gone(hit)
+        for tag in tags:
+            own = [r.file for r in hit.filter(F.col("tag").eqNullSafe(F.lit(tag))).select("file").collect()]
+            touched += len(own)
+            entries = entries.unionByName(self._write(table, delete_where(self._rows(table, own), condition), "base", tag))
+        if touched:
+            self._log(table, entries)
+        return touched
+
     def log_changes(self, table: str, df: DataFrame) -> None:
         """Put changed and new rows beside the base; a later change of a key counts more. A key stands once in ``df``."""
         keys = self.tables[table]["keys"]

@@ -20,7 +20,7 @@ from sluice.sinks.files import create_csv, write_csv
 from sluice.sinks.store import Store
 from sluice.sinks.tables import append, drop_old_versions, overwrite_partitions, publish, touched
 from sluice.sources.delimited import malformed, physical_lines, read_delimited, store_delimited
-from sluice.sources.extracts import cached_extract, key_extract, younger_than
+from sluice.sources.extracts import cached_extract, key_extract, refresh_extract, younger_than
 from workload import fixtures as X
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -766,6 +766,32 @@ def table_append_publish(spark, sf_dir):
     return spark.table(name)
 
 
+@query(_TWO + """
+SELECT 'lead' AS kind, 'L' || o_orderkey AS LEAD_NUMBER, NULL AS note FROM judged WHERE product_ok AND (customer_ok OR o_custkey % 7 = 0)
+UNION ALL SELECT unnest(['member', 'item']), 'L' || o_orderkey, NULL FROM judged WHERE product_ok AND (customer_ok OR o_custkey % 7 = 0)
+UNION ALL SELECT 'staged', 'L' || o_orderkey, CASE WHEN NOT product_ok THEN 'Invalid Product (PROD_GROUP_ID)'
+  WHEN NOT customer_ok AND o_custkey % 7 <> 0 OR o_custkey % 7 = 1 THEN 'Invalid Customer (CUSTOMER_ID)' END FROM judged
+UNION ALL SELECT 'error', 'L' || o_orderkey, CASE WHEN NOT product_ok THEN 'Invalid Product (PROD_GROUP_ID)' ELSE 'Invalid Customer (CUSTOMER_ID)' END FROM judged
+  WHERE NOT product_ok OR NOT customer_ok AND o_custkey % 7 <> 0 OR o_custkey % 7 = 1
+""")
+def revalidated_batch(spark, sf_dir):
+    # The list of parties gains some and loses others after the load.
+    targets = _kept_tables(spark, store=True)
+    _load_orders(spark, sf_dir, targets, 1, X.table(spark, sf_dir, "orders"), "First ")
+    lists = X.parties(spark, sf_dir), X.products(spark, sf_dir)
+    gained = X.table(spark, sf_dir, "customer").filter("c_mktsegment = 'MACHINERY' AND c_custkey % 7 = 0").select(F.col("c_custkey").alias("party_id"))
+    parties = ReferenceList(lists[0].frame.filter("party_id % 7 <> 1").unionAll(gained), "party_id")
+    jobs.revalidate_batches(spark, targets, lists, (parties, lists[1]))
+    names = _rows_of(spark, targets, "leads").select("LEAD_ID", "LEAD_NUMBER")
+    none = F.lit(None).cast("string").alias("note")
+    staged = _rows_of(spark, targets, "staging").select("FILE_RECORD_NUM", F.col(L.LEAD_NUMBER).alias("LEAD_NUMBER"), "ERROR_MESSAGE")
+    found = names.select(F.lit("lead").alias("kind"), "LEAD_NUMBER", none).unionAll(staged.select(F.lit("staged"), "LEAD_NUMBER", "ERROR_MESSAGE"))
+    for table, kind in (("members", "member"), ("items", "item")):
+        found = found.unionAll(_rows_of(spark, targets, table).join(names, "LEAD_ID", "left").select(F.lit(kind), "LEAD_NUMBER", none))
+    errors = _rows_of(spark, targets, "errors").select("FILE_RECORD_NUM", F.col("ERROR_MESSAGE").alias("note"))
+    return found.unionAll(errors.join(staged, "FILE_RECORD_NUM").select(F.lit("error"), "LEAD_NUMBER", "note"))
+
+
 # --- tables of a store -----------------------------------------------------------------------
 
 
@@ -859,6 +885,28 @@ def intake_end_to_end(spark, sf_dir):
     return others.unionByName(repeats).unionByName(new)
 
 
+@query("""
+SELECT o_orderkey, o_custkey, o_totalprice + CASE WHEN o_orderkey % 11 = 0 THEN 1 ELSE 0 END AS o_totalprice,
+  CASE WHEN o_orderkey % 11 = 0 THEN TIMESTAMP '1999-06-01 00:00:00' ELSE o_orderdate END AS o_orderdate
+FROM orders WHERE CASE WHEN o_orderkey % 11 = 0 THEN o_orderkey % 2 = 1
+  ELSE o_orderdate > TIMESTAMP '1999-07-01 00:00:00' - INTERVAL 1000 DAY AND o_orderdate <= TIMESTAMP '1999-07-01 00:00:00' AND o_custkey % 2 = 1 END
+""")
+def extract_refresh(spark, sf_dir):
+    # A year after the first extract every eleventh order has changed, and half of these no longer qualify.
+    orders = X.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    moved = F.col("o_orderkey") % 11 == 0
+    later = orders.withColumns({
+        "o_totalprice": F.when(moved, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
+        "o_orderdate": F.when(moved, F.lit("1999-06-01 00:00:00").cast("timestamp_ntz")).otherwise(F.col("o_orderdate")),
+        "wanted": F.when(moved, F.col("o_orderkey") % 2 == 1).otherwise(F.col("o_custkey") % 2 == 1),
+    })
+    first = orders.withColumn("wanted", F.col("o_custkey") % 2 == 1)
+    store = Store(spark, scratch_path(spark, "store"))
+    for rows, as_of in ((first, datetime(1998, 7, 1)), (later, datetime(1999, 7, 1))):
+        found = refresh_extract(store, "orders", rows, "o_orderkey", "o_orderdate", days=1000, as_of=as_of, keep=F.col("wanted"))
+    return found.drop("wanted")
+
+
 _FIRST = _LABELLED + """
 , first AS (SELECT *, row_number() OVER (PARTITION BY "leadNumber" ORDER BY n) AS place FROM labelled WHERE outcome = 'insert')
 """
