@@ -1,9 +1,8 @@
 """Byte-level BPE over the distinct words of the corpus.
 
-A block of documents (what one task reads, cut at ``BLOCK_WORDS`` distinct words) numbers its distinct
-pre-tokens by where they are first seen; a document is then the list of those numbers in the order of
-its positions. The texts are cut into pre-tokens once for the words and once for the positions, which
-is cheaper than to store the positions besides shuffling them. Only the distinct pre-tokens of a block are shuffled,
+A block of documents (what one task reads, cut at ``BLOCK_CHARS``) numbers its distinct pre-tokens; a document
+is then the list of those numbers in the order of its positions. The texts are cut into pre-tokens once for the
+words and once for the positions, which takes less disk than to store the positions besides shuffling them. Only the distinct pre-tokens of a block are shuffled,
 by a hash of the word, so that one task sees every copy of a word and encodes it once; the ids go
 back to the blocks, where each document is put together again by position. Rows carry packed lists
 of words or numbers in place of one word each: the shuffles move what is distinct, and no key is
@@ -18,17 +17,20 @@ import base64
 import heapq
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
 from sluice.llm.packing import expand, numbers as unpacked, squeeze
 
-BLOCK_WORDS = 400_000  # distinct pre-tokens of a block
-BLOCK_CHARS = 48_000_000  # characters of a block
+BLOCK_CHARS = 8_000_000  # characters after which a block is closed
 _CACHE_WORDS = 300_000  # encoded words that a task remembers at a time
+# White space before a space, taken widely: there a text is not cut at its spaces.
+_SPACES = r"[\s\v\x1c-\x1f\x{85}\p{Z}] "
 _SHORT = 64  # bytes up to which a word is merged by plain scans
 
 _ROW = "block long, kind int, bucket int, id long, payload binary"
@@ -96,63 +98,102 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-class _Numbered(dict):
-    """Gives each new key the next number."""
-
-    def __missing__(self, key):
-        self[key] = number = len(self)
-        return number
-
-
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ROW_ARROW)], schema=_ROW_ARROW)
 
 
-def _split(pattern: str, buckets: int, kind: int):
+def _cut(texts: list[str], find, spaced: bool) -> tuple[pa.Array, list[np.ndarray]]:
+    """The distinct pre-tokens of ``texts``, and of each text the places of its own among them.
+
+    A text is cut at its spaces first, unless white space stands before one. Each distinct piece behind a
+    space is matched once; what stands first in a text, or is not cut, is matched as it is.
+    """
+    values = pa.array(texts, pa.large_string())
+    whole = pc.match_substring_regex(values, _SPACES).to_numpy(zero_copy_only=False) if spaced else np.ones(len(texts), bool)
+    split = pc.split_pattern(values.filter(pa.array(~whole)), " ")
+    begins = split.offsets.to_numpy()[:-1] - split.offsets[0].as_py()
+    coded = split.flatten().dictionary_encode()
+    codes, pieces = coded.indices.to_numpy(), coded.dictionary
+    behind = np.ones(len(codes), bool)
+    behind[begins] = False
+    used = np.unique(codes[behind])
+    units = [" " + p for p in pieces.take(pa.array(used)).to_pylist()]
+    firsts = len(units) + np.arange(len(begins))
+    units += pieces.take(pa.array(codes[begins])).to_pylist()
+    alone = len(units) + np.arange(int(whole.sum()))
+    units += [texts[k] for k in np.flatnonzero(whole).tolist()]
+
+    found = [find(u) for u in units]
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    tokens = pa.array(list(chain.from_iterable(found)), pa.large_string()).dictionary_encode()
+    del found, units, coded, pieces
+    starts = np.cumsum(sizes) - sizes
+
+    # The units of each text in order: its first piece and those behind it, or the whole of it.
+    counts = np.ones(len(texts), np.int64)
+    counts[~whole] = np.diff(split.offsets.to_numpy())
+    places = np.cumsum(counts) - counts
+    unit = np.empty(int(counts.sum()), np.int64)
+    inside = np.repeat(~whole, counts)
+    of_pieces = np.empty(len(codes), np.int64)
+    of_pieces[behind] = np.searchsorted(used, codes[behind])
+    of_pieces[begins] = firsts
+    unit[inside], unit[~inside] = of_pieces, alone
+    numbers = _gathered(tokens.indices.to_numpy(), starts[unit], sizes[unit])
+    ends = np.cumsum(np.add.reduceat(sizes[unit], places))
+    return tokens.dictionary, np.split(numbers, ends[:-1])
+
+
+def _split(pattern: str, buckets: int, kind: int, spaced: bool):
     """Documents -> the words of each block by bucket, or their positions as numbers of those words.
 
     Both kinds see the same blocks: these follow from the texts in the order of the input alone.
     """
 
-    def words_of(block: int, index: _Numbered) -> Iterator[pa.RecordBatch]:
-        words = [w.encode() for w in index]
-        bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
+    def words_of(block: int, words: pa.Array) -> Iterator[tuple]:
+        bucket = np.fromiter((zlib.crc32(w) % buckets for w in words.cast(pa.large_binary()).to_pylist()), np.int64, len(words))
         order = np.argsort(bucket, kind="stable")
+        sorted_words = words.take(pa.array(order))
+        _, offsets, data = sorted_words.buffers()
+        offsets, data = np.frombuffer(offsets, np.int64)[: len(words) + 1], memoryview(data or b"")
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        rows = []
         for b in np.flatnonzero(np.diff(cuts)):
-            chosen = order[cuts[b] : cuts[b + 1]]
-            own = [words[i] for i in chosen.tolist()]
-            lengths = np.fromiter(map(len, own), np.uint32, len(own))
-            rows.append((block, _WORDS, int(b), None, squeeze(chosen, lengths, b"".join(own))))
-        if rows:
-            yield _batch(rows)
+            own = slice(cuts[b], cuts[b + 1])
+            ends = offsets[cuts[b] : cuts[b + 1] + 1]
+            yield block, _WORDS, int(b), None, squeeze(order[own], np.diff(ends), bytes(data[ends[0] : ends[-1]]))
+
+    def docs_of(block: int, ids: list, numbers: list[np.ndarray]) -> Iterator[tuple]:
+        for doc, found in zip(ids, numbers):
+            yield block, _DOC, None, doc, squeeze(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
-        block, index, chars, rows, held = None, _Numbered(), 0, [], 0
+        block, ids, texts, chars = None, [], [], 0
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            words, numbers = _cut(texts, find, spaced)
+            out, held = [], 0
+            for row in words_of(block, words) if kind == _WORDS else docs_of(block, ids, numbers):
+                out.append(row)
+                held += len(row[-1])
+                if len(out) >= 5_000 or held > 8_000_000:
+                    yield _batch(out)
+                    out, held = [], 0
+            if out:
+                yield _batch(out)
+
         for batch in batches:
             if block is None and batch.num_rows:
                 block = batch.column(2)[0].as_py() << 32
             for doc, text in zip(batch.column(0), batch.column(1)):
-                text = text.as_py() or ""
-                tokens = find(text)
-                numbers = np.fromiter(map(index.__getitem__, tokens), np.uint32, len(tokens))
-                if kind == _DOC:
-                    rows.append((block, _DOC, None, doc.as_py(), squeeze(numbers)))
-                    held += len(rows[-1][-1])
-                chars += len(text)
-                if len(rows) >= 5_000 or held > 8_000_000:
-                    yield _batch(rows)
-                    rows, held = [], 0
-                if len(index) > BLOCK_WORDS or chars > BLOCK_CHARS:
-                    if kind == _WORDS:
-                        yield from words_of(block, index)
-                    block, index, chars = block + 1, _Numbered(), 0
-        if rows:
-            yield _batch(rows)
-        if kind == _WORDS and index:
-            yield from words_of(block, index)
+                ids.append(doc.as_py())
+                texts.append(text.as_py() or "")
+                chars += len(texts[-1])
+                if chars >= BLOCK_CHARS:
+                    yield from rows()
+                    block, ids, texts, chars = block + 1, [], [], 0
+        if ids:
+            yield from rows()
 
     return run
 
@@ -233,10 +274,12 @@ def _lists(docs: list, lists: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), ids], schema=_ENCODED_ARROW)
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", spaced: bool = True) -> DataFrame:
     """(id, ids: array<int>) for every row: the ids of its whole text, without special tokens.
 
-    ``ranks_path`` is read by the driver; ``pattern`` cuts a text into pre-tokens. A null or empty
+    ``ranks_path`` is read by the driver; ``pattern`` cuts a text into pre-tokens. ``spaced`` says that no
+    pre-token holds a space behind a character that is no white space, as is usual: a text is then cut before
+    single spaces first, and the pre-tokens of what lies between are found once a block. A null or empty
     text has no ids. Repeated rows, equal ids and null ids give a row each; an empty table gives no
     rows. Other columns are not read. ``docs`` is read twice and has to give the same rows in the same order,
     as files do; store what does not.
@@ -246,8 +289,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     buckets = max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     # Numbers the parts of the input; the number of a task would count those of the other branch too.
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.spark_partition_id().alias("part"))
-    words = rows.mapInArrow(_split(pattern, buckets, _WORDS), _ROW).repartition("bucket").mapInArrow(_encode_words(ranks), _ROW)
-    parts = words.unionAll(rows.mapInArrow(_split(pattern, buckets, _DOC), _ROW))
+    words = rows.mapInArrow(_split(pattern, buckets, _WORDS, spaced), _ROW).repartition("bucket").mapInArrow(_encode_words(ranks), _ROW)
+    parts = words.unionAll(rows.mapInArrow(_split(pattern, buckets, _DOC, spaced), _ROW))
     together = parts.repartition("block").sortWithinPartitions("block", "kind")
     return together.mapInArrow(_reassemble, "id long, ids array<int>")
 

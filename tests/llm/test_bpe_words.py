@@ -73,3 +73,12 @@ def test_decode_keeps_other_columns(spark):
     table = {i: t for t, i in B.read_ranks(PATH).items()}
     got = [tuple(r) for r in B.decode(frame, PATH).orderBy("a").collect()]
     assert got == [(1, None, "x", None), (2, [], "y", bytearray()), (3, [64, 65], None, bytearray(table[64] + table[65]))]
+
+
+@pytest.mark.parametrize("spaced", [True, False])
+def test_cuts_at_spaces_change_nothing(docs_of, library, spaced):
+    draw = random.Random(8)
+    letters = [" ", " ", " ", "a", "b", "'", "s", "1", ".", "\n", "\t", "\u00a0", "\u2003", "\x1c", "\x85", "\v", "é", "😀", "\u200b"]
+    rows = [(k, "".join(draw.choice(letters) for _ in range(draw.randint(0, 60)))) for k in range(300)]
+    got = {r.id: list(r.ids) for r in B.encode(docs_of(rows), PATH, P.PATTERN, spaced=spaced).collect()}
+    assert got == {k: library.encode_ordinary(t) for k, t in rows}
