@@ -17,7 +17,7 @@ from sluice.operators.rules import Broken, Required, classify
 from sluice.operators.upsert import delete_where, has_known_key, upsert
 from sluice.plans import leads
 from sluice.scratch import materialize
-from sluice.sinks.files import write_csv
+from sluice.sinks.files import commit_run, new_run, write_csv
 from sluice.sinks.store import Store
 from sluice.sinks.tables import append, clear, current, drop_batches, publish, replace_batch
 from sluice.sources.extracts import path_exists
@@ -137,13 +137,16 @@ def validated_intake(
     by: str,
     files: int | None = None,
     count_lines: bool = False,
+    runs: bool = False,
 ) -> IntakeResult:
     """Load a lead file: reject, split, remove repeats, fan out, upsert.
 
     Updates are counted and returned, not applied. Writes ``format_errors``, ``rejects`` and
     ``success/*`` below ``output_path`` and, with ``targets``, the three tables. ``count_lines``
-    reads the file once more to count its physical lines.
+    reads the file once more to count its physical lines. With ``runs`` the files of every load stand in a
+    folder of their own, which ``committed_run(spark, output_path)`` names when the load has ended.
     """
+    root, output_path = output_path, new_run(output_path) if runs else output_path
     tables = _Targets(spark, targets) if targets is not None else None
     rows = scan_delimited(spark, input_path, schemas.LEAD_FILE)
     checks = [("customerId", parties), ("primaryContactId", parties), ("productGroupId", products), ("leadNumber", existing)]
@@ -214,6 +217,8 @@ def validated_intake(
                 else:
                     _load(spark, getattr(targets, name), schema, rows, _Targets.KEYS[name], updates)
             tables.commit()
+    if runs:
+        commit_run(spark, root, output_path)
     return IntakeResult(counts, frames)
 
 

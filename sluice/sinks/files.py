@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from sluice.sinks import records
 
 
 def write_csv(
@@ -37,3 +41,24 @@ def write_csv(
 def create_csv(df: DataFrame, path: str, *, partitions: int | None = None) -> None:
     """As ``write_csv``, but an existing path is an error."""
     write_csv(df, path, mode="errorifexists", partitions=partitions)
+
+
+def new_run(root: str) -> str:
+    """A new folder below ``root`` for the files of one load."""
+    return f"{root.rstrip('/')}/run-{uuid.uuid4().hex}"
+
+
+def commit_run(spark: SparkSession, root: str, run: str) -> None:
+    """Make the files of ``run`` the ones that count: a small record names the folder once all are written."""
+    commits = f"{root.rstrip('/')}/commits"
+    while True:
+        taken = records.names(spark, commits)
+        if records.create(spark, f"{commits}/{int(taken[-1]) + 1 if taken else 1:020d}", {"run": run}):
+            return
+
+
+def committed_run(spark: SparkSession, root: str) -> str | None:
+    """The folder with the files of the last load that has ended; never one that is being written."""
+    commits = f"{root.rstrip('/')}/commits"
+    taken = records.names(spark, commits)
+    return records.read(spark, f"{commits}/{taken[-1]}")["run"] if taken else None

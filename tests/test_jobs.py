@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sluice import schemas
 from sluice.operators.lookups import ReferenceList
 from sluice.plans import jobs, leads as L
+from sluice.sinks.files import committed_run
 from sluice.sinks.store import Conflict, Store
 from sluice.sinks.tables import publish
 from sluice.sources.delimited import read_delimited
@@ -428,6 +429,53 @@ def test_two_loads_at_once_share_no_id(spark, folder, monkeypatch):
         assert len(ids) == len(set(ids)) == 4
 
 
+def test_files_of_a_load_that_breaks_off_are_not_seen(spark, folder, monkeypatch):
+    parties, products, existing = references(spark)
+    run = lambda lines: jobs.validated_intake(
+        spark, lead_file(folder, schemas.LEAD_FILE, lines), f"{folder}/out", parties, products, existing, at=AT, by="GS1", runs=True
+    )
+    names = lambda: {r.LEAD_NAME for r in read_delimited(spark, f"{committed_run(spark, f'{folder}/out')}/success/leads").collect()}
+    assert committed_run(spark, f"{folder}/out") is None
+    run(FILE_A)
+    before = names()
+    real = jobs.write_csv
+
+    def failing(df, path, **more):
+        if path.endswith("success/members"):
+            df = df.withColumn("PARTY_ROLE", F.raise_error(F.lit("lost")).cast("string"))
+        real(df, path, **more)
+
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "write_csv", failing)
+        with pytest.raises(Exception, match="lost"):
+            run(FILE_A[:2])
+    assert names() == before == {"first", "quoted, comma", "no figures"}
+    run(FILE_A[:2])
+    assert names() == {"first"}
+
+
+def test_rows_are_judged_again(spark, folder):
+    parties, products, _ = references(spark)
+    more = ReferenceList(spark.createDataFrame([(i,) for i in [*range(2, 20), 77]], "party_id long"), "party_id")
+    for store in (None, Store(spark, f"{folder}/store")):
+        targets = kept_tables(store)
+        load = batch_loader(spark, folder, targets)
+        load(1, ["A,5,2,kept", "B,77,2,mended", "C,99,2,bad", "D,1,2,lost"])
+        load(2, ["E,5,2,kept", "B,77,2,mended too"])
+        load(3, ["F,5,2,untouched"])
+        got = jobs.revalidate_batches(spark, targets, (parties, products), (more, products))
+        assert got == {"judged": 3, "loaded": 2, "errors": 1}
+        status = {r.ATTRIBUTE_SMALL_CHAR005: (r.IMPORT_STATUS_CODE, r.ERROR_MESSAGE) for r in read(spark, targets, "staging").collect()}
+        good, bad = ("S", None), ("E", L.INVALID_CUSTOMER)
+        assert status == {"kept": good, "mended": good, "bad": bad, "lost": bad, "mended too": good, "untouched": good}
+        assert {r.LEAD_NAME for r in read(spark, targets, "leads").collect()} >= {"kept", "mended", "mended too", "lost", "untouched"}
+        members = read(spark, targets, "members").collect()
+        assert len({r.MKL_LEAD_TC_MEMBER_ID for r in members}) == len(members) == 6 == read(spark, targets, "items").count()
+        assert sorted((r.BATCH_ID, r.ERROR_ID) for r in read(spark, targets, "errors").collect()) == [(1, "00000009101"), (1, "00000009102")]
+        # Lists that stay as they are change nothing, and no row is judged.
+        assert jobs.revalidate_batches(spark, targets, (more, products), (more, products)) == {"judged": 0, "loaded": 0, "errors": 0}
+
+
 def test_retired_batches(spark, folder):
     for store in (None, Store(spark, f"{folder}/store")):
         targets = kept_tables(store)

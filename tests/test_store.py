@@ -216,3 +216,20 @@ def test_claims_of_two_loads(spark, folder, monkeypatch):
     assert two.claim("lead", 3, owner="batch 1") == 63 and one.claim("lead", 2, owner="batch 1") == 63
     assert one.claim("lead", 9, owner="batch 1") == 66 and one.claim("lead", 1, first=lambda: 1 / 0) == 75
     assert one.take("batch", 7, at="now") and not two.take("batch", 7) and two.taken("batch")[7]["at"] == "now"
+
+
+def test_a_delete_rewrites_only_files_with_such_rows(spark, store):
+    filled(store, n=100, files=10)
+    before = paths(store)
+    t = store.begin()
+    assert t.delete("t", F.col("id").between(25, 31) | (F.col("id") > 89)) == 3
+    t.commit()
+    assert sorted(r.id for r in store.read("t").collect()) == [*range(25), *range(32, 90)]
+    assert len(before & paths(store)) == 7 and t.delete("t", F.col("id") < 0) == 0
+    # What is left of a file keeps its tag.
+    t.create("tagged", SCHEMA)
+    t.append("tagged", changed(spark, [1, 2, 3]), "a")
+    t.append("tagged", changed(spark, [4]), "b")
+    t.delete("tagged", F.col("id") == 2)
+    t.commit()
+    assert sorted(r.id for r in store.read("tagged", ["a"]).collect()) == [1, 3]

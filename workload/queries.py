@@ -16,7 +16,7 @@ from sluice.operators.numbering import dense_number
 from sluice.operators.upsert import delete_where, merge_rows, upsert
 from sluice.plans import jobs, leads as L
 from sluice.scratch import materialize, scratch_path
-from sluice.sinks.files import create_csv, write_csv
+from sluice.sinks.files import committed_run, create_csv, write_csv
 from sluice.sinks.store import Store
 from sluice.sinks.tables import append, drop_old_versions, overwrite_partitions, publish, touched
 from sluice.sources.delimited import malformed, physical_lines, read_delimited, store_delimited
@@ -949,6 +949,18 @@ def intake_files(spark, sf_dir):
     return found
 
 
+@query(on_leads(_FIRST + """
+SELECT CAST(n AS VARCHAR) AS LEAD_ID, "leadNumber" AS LEAD_NUMBER, "leadName" AS LEAD_NAME FROM first WHERE place = 1
+"""))
+def intake_committed_files(spark, sf_dir):
+    # A first load against a list of leads that knows none; the files of the second take the place of its files.
+    out, path = scratch_path(spark, "intake"), X.lead_file(spark, sf_dir)
+    none = ReferenceList(spark.createDataFrame([], "lead_number string"), "lead_number")
+    for existing in (none, X.existing_leads(spark, sf_dir)):
+        jobs.validated_intake(spark, path, out, X.parties(spark, sf_dir), X.products(spark, sf_dir), existing, at=X.STAMP, by="GS1", runs=True)
+    return read_delimited(spark, f"{committed_run(spark, out)}/success/leads").select("LEAD_ID", "LEAD_NUMBER", "LEAD_NAME")
+
+
 @query("""
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'again ' ELSE '' END || c_name AS c_name,
   CASE WHEN c_custkey % 5 = 0 AND c_custkey % 3 <> 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment FROM customer
