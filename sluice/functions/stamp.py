@@ -61,10 +61,10 @@ def padded(number: Column, width: int = 11) -> Column:
 
 
 def sequence_id(
-    df: DataFrame, order_by: list[str], name: str, base: int = 0, width: int = 11
+    df: DataFrame, order_by: list[str], name: str, base: int = 0, width: int = 11, cheap: bool = False
 ) -> DataFrame:
-    """Dense zero-padded id: base+1, base+2, ... in ``order_by`` order."""
-    numbered = dense_number(df, order_by, "__number", start=base + 1)
+    """Dense zero-padded id: base+1, base+2, ... in ``order_by`` order; ``cheap`` as in ``dense_number``."""
+    numbered = dense_number(df, order_by, "__number", start=base + 1, cheap=cheap)
     return numbered.withColumn(name, padded(F.col("__number"), width)).drop("__number")
 
 

@@ -82,17 +82,18 @@ def renumber(
 
 
 def dense_number(
-    df: DataFrame, order_by: Sequence[str], name: str, *, start: int = 1, within: Sequence[str] = ()
+    df: DataFrame, order_by: Sequence[str], name: str, *, start: int = 1, within: Sequence[str] = (), cheap: bool = False
 ) -> DataFrame:
     """Add ``name``: start, start+1, ... in ``order_by`` order, anew for each ``within`` group.
 
     ``order_by`` must be a total order (within the group). The range partitioning cuts inside a
-    group too, so a group of any size is spread.
+    group too, so a group of any size is spread. Finding the ranges is a pass of its own, so the rows are
+    stored before; ``cheap`` says that they are read or made again at little cost, and saves that.
     """
     group = list(within)
     order = [*group, *[c for c in order_by if c not in group]]
-    # Stored first: finding the ranges is a pass of its own.
-    df = materialize(df, "unordered")
+    if not cheap:
+        df = materialize(df, "unordered")
     path = scratch_path(df.sparkSession, "ordered")
     df.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
     stored = (

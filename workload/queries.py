@@ -337,13 +337,13 @@ FROM (SELECT *, CAST(99999999990 + row_number() OVER (ORDER BY o_custkey, o_orde
 """)
 def dense_ids(spark, sf_dir):
     orders = X.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return sequence_id(orders, ["o_custkey", "o_orderkey"], "id", base=99_999_999_990)
+    return sequence_id(orders, ["o_custkey", "o_orderkey"], "id", base=99_999_999_990, cheap=True)
 
 
 @query("SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS n FROM orders")
 def dense_ids_per_class(spark, sf_dir):
     orders = X.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    return dense_number(orders, ["o_orderkey"], "n", within=["o_orderstatus"])
+    return dense_number(orders, ["o_orderkey"], "n", within=["o_orderstatus"], cheap=True)
 
 
 _WITH_ID = """(SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
