@@ -71,6 +71,9 @@ class _Targets:
             return current(self.spark, name, schema)
         return self.open.read(name) if self.open.exists(name) else self.spark.createDataFrame([], schema)
 
+    def columns(self, name: str) -> list[str]:
+        return self.open.schema(name).names if self.open else self.spark.table(name).columns
+
     def batch(self, name: str, batch_id: int) -> DataFrame:
         """The rows of a batch; no file of another batch is read."""
         rows = self.open.read(name, [str(batch_id)]) if self.open else self.spark.table(name)
@@ -375,7 +378,7 @@ def staged_intake(
             frames[name] = build(accepted, _child_base(tables, table, _Targets.KEYS[name][0], batch_id, found["I"]))
             by_batch = T.StructType([*schema.fields, T.StructField("BATCH_ID", T.IntegerType())])
             children = _whole(frames[name].withColumn("BATCH_ID", F.lit(batch_id)), by_batch)
-            if tables.exists(table) and "BATCH_ID" not in tables.read(table, by_batch).columns:
+            if tables.exists(table) and "BATCH_ID" not in tables.columns(table):
                 if replace:
                     raise ValueError(f"{table} does not keep batches apart")
                 tables.append(table, children.drop("BATCH_ID"), schema)
