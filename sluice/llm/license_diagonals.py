@@ -3,7 +3,8 @@
 Every two neighbouring words of a text are hashed and joined to the places of that pair in the
 templates, a fixed small table. A hit votes for a diagonal: the place in the text less the place in
 the template, which is where the template would begin. Votes are kept as a set of template places in the
-bits of a long, so they are aggregated before the shuffle and repeated rows do not count twice. Short
+bits of a long, one for every 64 places, so they are aggregated before the shuffle, repeated rows do not count
+twice and templates, whole licence texts too, may be of any length. Short
 phrases have to fill their diagonal. For notices, neighbouring diagonals, which words that were put in
 or left out lead to, are merged before the share of the template that was found is verified.
 """
@@ -21,7 +22,7 @@ PHRASES = [
     ("apache", "apache license"),
     ("gpl", "general public license"),
 ]
-# Labels and wording of license notices, at most 64 words each.
+# Labels and wording of license notices.
 NOTICES = [
     ("agpl", "under the terms of the gnu affero general public license as published by the free software foundation"),
     ("apache-2.0", "licensed under the apache license version 2 0"),
@@ -54,17 +55,17 @@ def _templates(spark: SparkSession, phrases, notices) -> DataFrame:
     rows = []
     for number, (label, text, exact) in enumerate([(*p, True) for p in phrases] + [(*n, False) for n in notices]):
         parts = text.split()
-        if not 2 <= len(parts) <= 64:
-            raise ValueError(f"a template has 2 to 64 words: {text!r}")
+        if len(parts) < 2:
+            raise ValueError(f"a template has two words or more: {text!r}")
         rows += [(number, label, exact, len(parts) - 1, i, a, b) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
     frame = spark.createDataFrame(rows, "template int, label string, exact boolean, pairs int, place int, one string, two string")
-    return frame.withColumn("pair", F.xxhash64("one", "two"))
+    return frame.withColumns({"pair": F.xxhash64("one", "two"), "chunk": F.floor(F.col("place") / 64).cast("int")})
 
 
 def diagonals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=None, notices=None) -> DataFrame:
-    """(id, content, n_words, template, label, exact, pairs, start, found, copies) by diagonal.
+    """(id, content, n_words, template, label, exact, pairs, start, chunk, found, copies) by diagonal.
 
-    ``found`` has a bit for each word pair of the template that stands on the diagonal. For every distinct
+    ``found`` has a bit for each word pair of the template that stands on the diagonal, a row per ``chunk`` of 64. For every distinct
     (id, text) there is one row without template, whose ``copies`` counts its rows; ``content`` tells
     different texts of one id apart.
     """
@@ -77,8 +78,8 @@ def diagonals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     table = F.broadcast(_templates(docs.sparkSession, phrases, notices))  # fixed lists
     same = (spread.pair == table.pair) & (spread.word == table.one) & (spread.after == table.two)
     hits = spread.join(table, same, "left").filter(F.col("template").isNotNull() | (F.col("at") == F.col("n_words")))
-    return hits.groupBy("id", "content", "n_words", "template", "label", "exact", "pairs", (F.col("at") - F.col("place")).alias("start")).agg(
-        F.bit_or(F.expr("shiftleft(1L, place)")).alias("found"),
+    return hits.groupBy("id", "content", "n_words", "template", "label", "exact", "pairs", (F.col("at") - F.col("place")).alias("start"), "chunk").agg(
+        F.bit_or(F.expr("shiftleft(1L, place % 64)")).alias("found"),
         F.count(F.lit(1)).alias("copies"),
     )
 
@@ -92,17 +93,21 @@ def scan(
     place of a phrase is a span of its own (exact); of a notice each group of neighbouring diagonals that
     holds ``coverage`` of its word pairs. ``score`` is the largest share of any template found, 1 for a
     whole phrase or notice. Null and blank texts have no words; repeated rows give a row each; an empty
-    table gives no rows.
+    table gives no rows. Texts may be of any length; other columns are not read, whatever their names.
     """
     found = diagonals(docs, id_col, text_col, phrases, notices)
     key = ["id", "content", "n_words"]
     order = Window.partitionBy(*key, "template").orderBy("start")
     first = F.coalesce(F.col("start") - F.lag("start").over(order) > F.when(F.col("exact"), 0).otherwise(DRIFT), F.lit(True))
     grouped = found.withColumn("first", first.cast("int")).withColumn("group", F.sum("first").over(order))
-    merged = grouped.groupBy(*key, "template", "label", "exact", "pairs", "group").agg(
+    template = ["template", "label", "exact", "pairs", "group"]
+    chunks = grouped.groupBy(*key, *template, "chunk").agg(
         F.min("start").alias("start"), F.max("start").alias("last"), F.bit_or("found").alias("found"), F.max("copies").alias("copies"),
     )
-    share = F.bit_count("found") / F.col("pairs")
+    merged = chunks.groupBy(*key, *template).agg(
+        F.min("start").alias("start"), F.max("last").alias("last"), F.sum(F.bit_count("found")).alias("found"), F.max("copies").alias("copies"),
+    )
+    share = F.col("found") / F.col("pairs")
     size = (F.col("pairs") + 1 + F.col("last") - F.col("start")).cast("int")
     verified = F.when(F.col("exact"), share == 1).otherwise(share >= coverage)
     span = F.struct(F.greatest("start", F.lit(0)).cast("int").alias("start"), size.alias("words"), "label", "exact", share.alias("share"))

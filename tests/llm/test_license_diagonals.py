@@ -71,3 +71,17 @@ def test_edge_rows(docs_of):
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = QUERIES["op9_license_diagonals"](spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_templates_of_any_length(spark, docs_of):
+    long = [f"t{k}" for k in range(300)]
+    gone = [w for k, w in enumerate(long) if k % 40 != 7]
+    notices = [("whole", " ".join(long)), ("edge", " ".join(f"e{k}" for k in range(65)))]
+    rows = [
+        (1, " ".join(["x"] * 9 + long + ["y"])), (2, " ".join(gone)), (3, " ".join(long[:200])), (4, " ".join(f"e{k}" for k in range(65))), (5, " ".join(long * 2)),
+    ]
+    found = {r.id: r for r in D.scan(docs_of(rows), phrases=[], notices=notices).collect()}
+    spans = {i: [(s.start, s.words, s.label) for s in r.spans] for i, r in found.items()}
+    assert spans[1] == [(9, 300, "whole")] and spans[4] == [(0, 65, "edge")] and spans[5] == [(0, 300, "whole"), (300, 300, "whole")]
+    assert found[1].score == found[4].score == found[5].score == 1.0 and spans[3] == [] and round(found[3].score, 3) == round(199 / 299, 3)
+    assert [s[2] for s in spans[2]] == ["whole"] and 0.9 < found[2].score < 1
