@@ -129,25 +129,40 @@ def disclosing_terms(
     return materialize(best.select("term", "best.kind", "best.bits"), "disclosing-terms")
 
 
-def with_spans(docs: DataFrame, text_col: str = "text", **limits) -> DataFrame:
+_ADDED = ("text", "base", "terms", "held", "content")
+
+
+def free_prefix(docs: DataFrame) -> str:
+    """A prefix under which the columns that ``with_spans`` adds clash with none of ``docs``."""
+    taken, prefix = {c.lower() for c in docs.columns}, "pii"
+    while any(f"{prefix}_{c}" in taken for c in _ADDED):
+        prefix += "_"
+    return prefix
+
+
+def with_spans(docs: DataFrame, text_col: str = "text", prefix: str = "pii", **limits) -> DataFrame:
     """All columns of ``docs``, and ``pii_text`` (null as empty), ``pii_base`` and ``pii_terms``.
 
     The spans of ``pii_terms`` have kind ``term`` and, as ``found``, what they are generalised to ('' to
     remove them); those that touch a base span are left out. ``limits`` are those of ``disclosing_terms``.
+    Another ``prefix`` (see ``free_prefix``) gives other names; names that ``docs`` has already are an error.
     """
+    whole, base, found, hidden, content = (f"{prefix}_{c}" for c in _ADDED)
+    if clash := {c.lower() for c in docs.columns} & {whole, base, found, hidden, content}:
+        raise ValueError(f"the documents have columns of the names {', '.join(sorted(clash))}")
     terms = disclosing_terms(docs, text_col, **limits)
     text = F.coalesce(F.col(text_col), F.lit(""))
     words = docs.select(F.xxhash64(text_col).alias("content"), F.explode(F.array_distinct(_terms(text))).alias("term"))
     shown = F.when(F.col("bits") >= REMOVE_BITS, "").otherwise(F.concat(F.lit("["), "kind", F.lit(" hint]")))
-    held = words.join(terms, "term").groupBy("content").agg(F.map_from_entries(F.collect_set(F.struct("term", shown))).alias("pii_held"))
-    held = materialize(held.withColumnRenamed("content", "pii_content"), "texts-with-terms")
-    rows = docs.withColumn("pii_text", text)
-    both = rows.join(held, F.xxhash64(text_col) == held.pii_content, "left").withColumn("pii_base", base_spans(F.col("pii_text")))
-    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.map_keys("pii_held"), "|"), F.lit(r")(?!\p{L})"))
-    spans = F.when(F.col("pii_held").isNotNull(), _matches(F.col("pii_text"), pattern, TERM)).otherwise(F.array().cast(f"array<{_SPAN}>"))
-    free = F.filter(spans, lambda s: ~F.exists("pii_base", lambda b: (s.start < b.stop) & (b.start < s.stop)))
-    named = F.transform(free, lambda s: s.withField("found", F.coalesce(F.element_at("pii_held", F.lower(s.found)), F.lit(""))))
-    return both.withColumn("pii_terms", named).drop("pii_held", "pii_content")
+    held = words.join(terms, "term").groupBy("content").agg(F.map_from_entries(F.collect_set(F.struct("term", shown))).alias(hidden))
+    held = materialize(held.withColumnRenamed("content", content), "texts-with-terms")
+    rows = docs.withColumn(whole, text)
+    both = rows.join(held, F.xxhash64(text_col) == F.col(content), "left").withColumn(base, base_spans(F.col(whole)))
+    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.map_keys(hidden), "|"), F.lit(r")(?!\p{L})"))
+    spans = F.when(F.col(hidden).isNotNull(), _matches(F.col(whole), pattern, TERM)).otherwise(F.array().cast(f"array<{_SPAN}>"))
+    free = F.filter(spans, lambda s: ~F.exists(base, lambda b: (s.start < b.stop) & (b.start < s.stop)))
+    named = F.transform(free, lambda s: s.withField("found", F.coalesce(F.element_at(hidden, F.lower(s.found)), F.lit(""))))
+    return both.withColumn(found, named).drop(hidden, content)
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
@@ -188,7 +203,11 @@ def sanitised(text: str, base: str, terms: str) -> Column:
 
 
 def sanitise(docs: DataFrame, text_col: str = "text", **limits) -> DataFrame:
-    """``docs`` with personal data and disclosing terms in its texts replaced or removed; null stays null."""
-    found = with_spans(docs, text_col, **limits)
-    clean = F.when(F.col(text_col).isNotNull(), sanitised("pii_text", "pii_base", "pii_terms"))
-    return found.withColumn(text_col, clean).drop("pii_text", "pii_base", "pii_terms")
+    """``docs`` with personal data and disclosing terms in its texts replaced or removed; null stays null.
+
+    Other columns stay as they are, whatever their names; texts may be of any length, rows may repeat.
+    """
+    prefix = free_prefix(docs)
+    found = with_spans(docs, text_col, prefix, **limits)
+    clean = F.when(F.col(text_col).isNotNull(), sanitised(*(f"{prefix}_{c}" for c in ("text", "base", "terms"))))
+    return found.withColumn(text_col, clean).select(*docs.columns)

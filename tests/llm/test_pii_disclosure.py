@@ -87,3 +87,13 @@ def test_disclosing_terms_and_clean_text(docs_of):
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = QUERIES["op8_pii_disclosure"](spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_columns_of_any_name_stay(spark):
+    schema = "doc_id long, text string, pii_text string, PII_base string, pii_terms string, pii_held int, pii_content long, pii__text string"
+    docs = spark.createDataFrame([(1, "mail a.b@example.org now", "t", "b", "m", 1, 2, "u"), (2, None, None, None, None, None, None, None)], schema)
+    clean = P.sanitise(docs)
+    assert clean.columns == docs.columns
+    assert sorted(map(tuple, clean.collect()), key=str) == [(1, "mail [EMAIL] now", "t", "b", "m", 1, 2, "u"), (2, None, None, None, None, None, None, None)]
+    with pytest.raises(ValueError, match="pii_base, pii_content"):
+        P.with_spans(docs)
