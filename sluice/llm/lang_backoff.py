@@ -68,14 +68,19 @@ def fit(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", *,
     docs_per_lang: int = DOCS_PER_LANG, words_per_lang: int = WORDS_PER_LANG,
 ) -> Model:
-    """Fit on about ``docs_per_lang`` texts of each language, chosen by a hash of the text.
+    """Fit on about ``docs_per_lang`` distinct texts of each language, chosen by a hash of the text.
 
-    Rows with a null text or language are passed over. Without any row left the model knows no language.
+    Copies of a text count once, however many there are, so that no hot text makes the sample larger or decides
+    on a language. Rows with a null text or language are passed over. Without any row left the model knows no
+    language. Texts may be of any length; other columns are not read, whatever their names.
     """
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).dropna()
-    sizes = rows.groupBy("lang").agg(F.least(F.lit(1.0), docs_per_lang / F.count(F.lit(1))).alias("share"))
+    # A sketch tells how many distinct texts there are; it only sets the share that is drawn.
+    distinct = F.greatest(F.approx_count_distinct(F.xxhash64("text")), F.lit(1))
+    sizes = rows.groupBy("lang").agg(F.least(F.lit(1.0), docs_per_lang / distinct).alias("share"))
     place = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1_000_000
     sample = rows.join(F.broadcast(sizes), "lang").filter(place < F.col("share"))  # a row per language
+    sample = sample.select("lang", "text").distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

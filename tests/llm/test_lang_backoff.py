@@ -63,3 +63,12 @@ def test_edge_rows(spark, docs_of, model):
 def test_nothing_to_learn_from(spark, docs_of):
     model = L.fit(spark.createDataFrame([(None, "en"), ("x", None)], "text string, lang string"))
     assert [tuple(r) for r in L.predict(docs_of([(1, "some text")]), model).collect()] == [(1, "und", 0.0)]
+
+
+def test_a_hot_text_counts_once(spark):
+    schema = "text string, lang string"
+    texts = [(f"wort{k} und nicht ein{k % 7}", "de") for k in range(60)] + [(f"word{k} and not one{k % 7}", "en") for k in range(60)]
+    plain = L.fit(spark.createDataFrame(texts, schema))
+    hot = L.fit(spark.createDataFrame(texts + [texts[0]] * 3000 + [texts[70]] * 500, schema).repartition(4))
+    assert plain.langs == hot.langs and plain.words.keys() == hot.words.keys()
+    assert all((plain.words[w] == hot.words[w]).all() for w in plain.words)
