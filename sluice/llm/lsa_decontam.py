@@ -4,9 +4,11 @@ Items are cut into segments of at most ``SEGMENT`` words; texts into passages of
 The space is that of the words of the items. Corpus-wide passage counts give the weights; one pass over
 all passages sums what a randomised decomposition (Nystroem, with the segments as extra rows) needs, by
 chunks of terms, so that what comes to the driver is bounded by the items. Then every passage is compared
-with every segment in the latent space. What is near enough is verified on the words: longest common
-subsequence of segment and text in a window little longer than the segment, and that of its answer, the
-last sentence.
+with every segment in the latent space, by their projections. What is near enough is verified on the words:
+longest common subsequence of segment and text in a window little longer than the segment, and that of its
+answer, the last sentence. How well the space finds a segment is measured before, on copies that just count,
+planted into passages drawn from the corpus; the few segments whose copies it misses, and those of fewer than
+eight words, are looked up by their rarest words besides.
 
 The texts are read once; what the passes share is the list of item words of each text with their places,
 which is all that a common subsequence can consist of. Items go through in blocks of bounded size.
@@ -17,6 +19,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +30,10 @@ from sluice.scratch import materialize
 
 SEGMENT = 64  # words of a segment at most
 HALF = 32  # words of half a passage
-RANK = 128  # latent dimensions
+RANK = 64  # latent dimensions
 FREQUENT = 0.1  # terms in a larger share of the passages do not count for retrieval
-NEAR, SHARE = 0.35, 0.3  # cosine, and share of the segment's weight, from which a passage is verified
-HELD = 0.9  # share of a segment's energy in the space from which it is compared there
+NEAR, SHARE = 0.35, 0.3  # least cosine, and share of the segment's weight, from which a passage is verified
+PLANTED, MARGIN = 24, 1.15  # planted copies of a segment, all of which the space has to find, and by how much
 COVERED, PARTLY, ANSWERED = 0.75, 0.6, 0.8  # covered; or partly covered and the answer covered
 ITEMS = 20_000  # items of a block
 _SLACK = 1.25  # length of the window against that of the segment
@@ -38,6 +41,8 @@ _TOKENS = 20_000  # words of texts handled at a time: what is gathered for them
 _TERMS = 512  # terms of a chunk of sums
 _MORE = 0.15  # share of a segment's words looked up beyond those that can be missing
 _HITS = 2_000_000  # looked-up words handled at a time
+_PART = 1_000  # segments handled at a time on the driver
+_DOTS = 4_000_000  # passages times segments compared at a time
 
 _words = re.compile(r"\w+").findall
 
@@ -85,7 +90,7 @@ def _tokens(shared):
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 words = words_of(text.as_py())
-                coded = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+                coded = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
                 places = np.flatnonzero(coded >= 0)
                 if len(places):
                     rows.append((doc, len(words), squeeze(np.diff(places, prepend=0), coded[places])))
@@ -219,8 +224,66 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(sums), pa.array([s.tobytes() for s in sums.values()], pa.binary())], names=["chunk", "sums"])
 
 
-def _bag(terms: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    return np.bincount(terms, minlength=len(weight)) * weight
+def _bags(found: Segments, rows: np.ndarray) -> np.ndarray:
+    """Sum of ``rows`` (a vector a term) over the words of each segment."""
+    out = np.zeros((len(found.terms), rows.shape[1]), rows.dtype)
+    for at in range(0, len(out), _PART):
+        part = found.terms[at : at + _PART]
+        out[at : at + _PART] = np.add.reduceat(rows[np.concatenate(part)], np.cumsum([0, *map(len, part[:-1])]), axis=0)
+    return out
+
+
+def _norms(found: Segments, weight: np.ndarray) -> np.ndarray:
+    counted = (np.unique(t, return_counts=True) for t in found.terms)
+    return np.maximum(np.sqrt([float((((n * weight[t]) ** 2).sum())) for t, n in counted]), 1e-9)
+
+
+def _back(found: Segments, weight: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """The transpose: each segment's row, by the weight of the term, summed over the places of every term."""
+    out = np.zeros((size, rows.shape[1]))
+    for at in range(0, len(found.terms), _PART):
+        part = found.terms[at : at + _PART]
+        terms = np.concatenate(part)
+        order = np.argsort(terms, kind="stable")
+        owner = np.repeat(np.arange(at, at + len(part)), [len(t) for t in part])[order]
+        begin = np.flatnonzero(np.diff(terms[order], prepend=-1))
+        out[terms[order][begin]] += weight[terms[order][begin], None] * np.add.reduceat(rows[owner], begin, axis=0)
+    return out
+
+
+def thresholds(found: Segments, weight: np.ndarray, space: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cosine and share from which a passage is verified for each segment, and which segments the space finds.
+
+    These are the least that any of ``PLANTED`` copies has that just count, with a margin. Below ``NEAR`` and
+    ``SHARE`` too much else would be near, so the space does not find a segment with such a copy. A copy has ``PARTLY`` of the words, spread over the window that such a copy may take; it stands anywhere
+    against the half blocks, and the rest of its passage are terms drawn as they occur in the corpus.
+    """
+    weighted = (weight[:, None] * space).astype(np.float32)
+    latent = _bags(found, weighted)
+    within = np.maximum(np.linalg.norm(latent, axis=1), 1e-9)
+    drawn = np.where(weight > 0, counts[: len(weight)], 0)
+    usual = drawn.sum() / max(1.0, counts[len(weight)])
+    draw = np.random.default_rng(11)
+    least = np.ones((2, len(found.terms)))
+    noise = draw.choice(len(weight), 1 << 16, p=drawn / drawn.sum()) if drawn.sum() else np.zeros(1, np.int64)
+    for _ in range(PLANTED):
+        for at in range(0, len(within), _PART):
+            planted = []
+            for segment in found.terms[at : at + _PART]:
+                size = len(segment)
+                kept = np.sort(draw.choice(size, int(np.ceil(size * PARTLY)), replace=False))
+                # Words of the copy that the better of the two passages around its begin holds.
+                place, offset = kept * reach_of(size) // size, draw.integers(HALF)
+                inside = max((place < 2 * HALF - offset, (place >= HALF - offset) & (place < 3 * HALF - offset)), key=np.count_nonzero)
+                others = draw.poisson(usual * max(0.0, 1 - np.count_nonzero(inside) / (2 * HALF))) if drawn.sum() else 0
+                planted.append(np.concatenate([segment[kept[inside]], noise[draw.integers(0, len(noise), others)]]))
+            vectors = _bags(Segments([], planted, [], {}), weighted)
+            part = slice(at, at + _PART)
+            dots = (vectors * latent[part]).sum(axis=1) / MARGIN
+            cosine = dots / np.maximum(np.linalg.norm(vectors, axis=1) * within[part], 1e-9)
+            least[:, part] = np.minimum(least[:, part], [cosine, dots / within[part] ** 2])
+    good = (least[0] >= NEAR) & (least[1] >= SHARE) & [len(t) >= 8 for t in found.terms]
+    return np.maximum(least[0], NEAR).astype(np.float32), np.maximum(least[1], SHARE).astype(np.float32), good
 
 
 def decompose(image: np.ndarray, random: np.ndarray) -> np.ndarray:
@@ -303,10 +366,16 @@ class Signatures:
     reach: np.ndarray
 
 
-def signatures(found: Segments, counts: np.ndarray) -> Signatures:
-    """Of n words, at most n - m are missing where m have to be found: of any n - m + k words k are there."""
-    terms, owners, needed = [], [], []
+def signatures(found: Segments, counts: np.ndarray, without: np.ndarray) -> Signatures:
+    """Of n words, at most n - m are missing where m have to be found: of any n - m + k words k are there.
+
+    The segments marked in ``without`` have no signature and are not looked up.
+    """
+    terms, owners, needed = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
     for s, segment in enumerate(found.terms):
+        if without[s]:
+            needed.append(1)
+            continue
         size = len(segment)
         least = int(np.ceil(size * PARTLY - 1e-9)) if size >= 8 else size
         many = min(size, size - least + max(1, int(np.ceil(size * _MORE)))) if size >= 8 else size
@@ -363,10 +432,10 @@ def _search(shared):
     """Segments that are near a passage in the space, or whose rare words stand together; verified on the words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, weight, space, latent, norms, known = shared.value
+        found, weight, space, latent, known, cosines, shares = shared.value
         weighted = (weight[:, None] * space).astype(np.float32)
         within = np.maximum(np.linalg.norm(latent, axis=1), 1e-9)  # norms in the space
-        held = np.flatnonzero(within**2 >= HELD * norms**2)
+        step = max(1, _DOTS // len(latent))
         for p in _gathered(batches):
             edges = np.searchsorted(p.owner, np.arange(len(p.docs) + 1))
             out: dict[tuple, tuple] = {}
@@ -390,20 +459,18 @@ def _search(shared):
                     row = (p.docs[text], s, cosine(text, s, first, past), share, told, first, past)
                     out[text, s] = max(out.get((text, s), row), row, key=lambda r: (r[3], r[2], -r[5]))
 
-            for candidate in looked_up(p, known):
-                check(*candidate)
-            kept = np.flatnonzero(weight[p.term] > 0) if len(held) else np.zeros(0, int)
+            kept = np.flatnonzero(weight[p.term] > 0)
             vectors = _of_passages(p, weighted[p.term[kept]], kept) if len(kept) else np.zeros((0, 1), np.float32)
-            for at in range(0, len(vectors), 20_000):
-                part = vectors[at : at + 20_000]
-                dots = part @ latent[held].T
-                norm = np.maximum(np.linalg.norm(part, axis=1), 1e-9)
-                near = (dots >= NEAR * norm[:, None] * within[held]) & (dots >= SHARE * within[held] ** 2)
+            for at in range(0, len(vectors), step):
+                part = vectors[at : at + step]
+                dots = part @ latent.T
+                near = dots >= np.maximum(np.maximum(np.linalg.norm(part, axis=1), 1e-9)[:, None] * (cosines * within), shares * within**2)
                 for passage, s in zip(*np.nonzero(near)):
-                    text, s = int(p.text[passage + at]), int(held[s])
+                    text, s = int(p.text[passage + at]), int(s)
                     low = int(p.passages[passage + at] - p.first[text]) * HALF
-                    if (text, s) not in out:
-                        check(text, s, low, low + 2 * HALF)
+                    check(text, s, low, low + 2 * HALF)
+            for candidate in looked_up(p, known):
+                check(*candidate)
             if out:
                 yield _rows(list(out.values()), _FOUND_ARROW)
 
@@ -432,14 +499,14 @@ def _one_block(docs: DataFrame, found: Segments, rank: int) -> DataFrame:
     sums = tokens.mapInArrow(_sketch(share((weight, random))), "chunk long, sums binary").repartition("chunk").mapInArrow(_summed, "chunk long, sums binary")
     for r in sums.collect():
         image[r.chunk : r.chunk + _TERMS] = np.frombuffer(r.sums).reshape(-1, random.shape[1])
-    bags = np.array([_bag(t, weight) for t in found.terms])
-    norms = np.maximum(np.linalg.norm(bags, axis=1), 1e-9)
+    norms = _norms(found, weight)
     # The segments weigh as much as the corpus, so that the space holds them.
-    unit = bags / norms[:, None]
-    image += max(1.0, passages / len(unit)) * (unit.T @ (unit @ random))
+    unit = _bags(found, weight[:, None] * random) / norms[:, None] ** 2
+    image += max(1.0, passages / len(unit)) * _back(found, weight, unit, size)
     space = decompose(image, random)
-    latent = (bags @ space).astype(np.float32)
-    state = share((found, weight, space.astype(np.float32), latent, norms.astype(np.float32), signatures(found, counts)))
+    latent = _bags(found, weight[:, None] * space).astype(np.float32)
+    cosines, shares, good = thresholds(found, weight, space, counts)
+    state = share((found, weight, space.astype(np.float32), latent, signatures(found, counts, good), cosines, shares))
     items = spark.createDataFrame(list(enumerate(found.items)), "segment int, item long")
     return tokens.mapInArrow(_search(state), _FOUND).join(F.broadcast(items), "segment")  # a row per segment
 

@@ -112,3 +112,22 @@ def test_recall_equals_brute_force_beyond_the_rank(spark, docs_of, many):
         docs.append((k, " ".join(text(draw.randint(20, 200)) + words + text(draw.randint(20, 200)))))
     got = {(r.id, r.item) for r in L.find_leaks(docs_of(docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert got == pairs_by_hand(docs, items) and len(got) > 110
+
+
+@pytest.mark.parametrize("many", [200, 2000])
+def test_recall_of_the_space_alone(spark, docs_of, monkeypatch, many):
+    draw = random.Random(many + 1)
+    text = lambda n: [f"w{min(draw.randrange(3000), draw.randrange(3000))}" for _ in range(n)]
+    items = [(k, " ".join(text(draw.randint(15, 59)))) for k in range(many)]
+    docs = []
+    for k in range(150):
+        words = items[draw.randrange(many)][1].split()
+        if k % 3 == 0:
+            words = [w if draw.random() < 0.8 else "other" for w in words]
+        docs.append((k, " ".join(text(draw.randint(20, 200)) + words + text(draw.randint(20, 200)))))
+    wanted = pairs_by_hand(docs, items)
+    # No segment is looked up by its words.
+    real = L.thresholds
+    monkeypatch.setattr(L, "thresholds", lambda found, *more: (*real(found, *more)[:2], np.ones(len(found.terms), bool)))
+    got = {(r.id, r.item) for r in L.find_leaks(docs_of(docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got <= wanted and len(got) >= 0.9 * len(wanted)
