@@ -123,3 +123,33 @@ def test_few_values_leave_a_large_list_where_it_is(spark, conf, monkeypatch):
     got = {r.k: r.known for r in flag_known(rows_in, "k", listed, "known").collect()}
     assert got == {1: True, 999_999: False, None: False}
     assert stored == ["used-values", "held-keys"]
+
+
+@pytest.mark.parametrize("with_null", [False, True])
+@pytest.mark.parametrize("kind", ["long", "string", "int"])
+def test_whole_numbers_are_checked_as_bits(spark, conf, with_null, kind):
+    conf("sluice.broadcastBytes", "4000")
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    known = [*range(-300, 1200, 3), -(1 << 63), (1 << 63) - 1, 63, 64, 255, 256, 5, 5] + ([None] if with_null else [])
+    values = [*range(-310, 310), None, 1199, 1200] if kind == "int" else [*range(-310, 310), None, 1199, 1200, -(1 << 63), (1 << 63) - 1]
+    held = {str(k) if kind == "string" and k is not None else k for k in known}
+    if kind == "string":
+        values = [v if v is None else str(v) for v in values] + ["05", " 5", "+5", "-0", "5.0", "x", ""]
+    reference = ReferenceList(keyed(spark, known), "k")
+    assert not reference.fits(spark.createDataFrame([], f"k {kind}").schema["k"].dataType)
+    df = keyed(spark, values, kind=kind).repartition(3)
+    marked = flag_known(df, "k", reference, "f", bits_first=True)
+    text = plan(marked)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert marked.columns == ["k", "f"]
+    assert {r.k: r.f for r in marked.collect()} == {v: v in held for v in values}
+    plain = {r.k: r.f for r in flag_known(df, "k", reference, "f", null_safe=False, bits_first=True).collect()}
+    assert plain == {v: v is not None and v in held for v in values}
+
+
+def test_scattered_whole_numbers_are_not_kept_as_bits(spark, conf):
+    conf("sluice.broadcastBytes", "4000")
+    reference = ReferenceList(spark.range(500).selectExpr("id * 1000 AS k"), "k")
+    df = keyed(spark, [0, 5, 1000, 499_000, 500_000, None])
+    assert reference.bits(df.schema["k"].dataType) is None
+    assert {r.k: r.f for r in flag_known(df, "k", reference, "f", bits_first=True).collect()} == {0: True, 5: False, 1000: True, 499_000: True, 500_000: False, None: False}
