@@ -69,3 +69,18 @@ def test_deal_figures(spark):
     }
     sign = judged.select(F.signum("p").alias("s"))
     assert rows(class_counts(sign, "s")) == [(-1.0, 1), (0.0, 1), (1.0, 2), (None, 2)]
+
+
+def test_rows_that_are_not_stored_are_made_once(spark, no_broadcast):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame([(f"a{i % 40}",) for i in range(200)], "k string").mapInArrow(count, "k string")
+    listed = spark.createDataFrame([(f"a{i}",) for i in range(20)], "k string")
+    marked = flag_changes(df, "k", ReferenceList(listed, "k"))
+    assert marked.filter("change = 'update'").count() == 100
+    assert made.value == 200
