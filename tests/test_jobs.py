@@ -502,3 +502,18 @@ def test_counts_need_no_pass_of_their_own(spark, folder):
     assert result.counts["inserted"] == 3
     print("JOBS", len(seen))
     assert 0 < len(seen) <= 40
+
+
+def test_only_rows_that_pass_are_looked_up_in_a_large_list(spark, no_broadcast, monkeypatch):
+    from sluice.schemas import CORRUPT
+
+    names = f"leadNumber string, customerId long, primaryContactId long, leadName string, PartyUsageCode string, productGroupId long, {CORRUPT} string"
+    lines = [("L1", 1, 1, "a", "u", 1, None), ("L2", 1, 1, "b", "u", 1, None), (None, 1, 1, "c", "u", 1, None), ("L1", 9, 1, "d", "u", 1, None), ("L1", 1, 1, "e", "u", 1, "bad")]
+    rows = spark.createDataFrame(lines, names)
+    ones, known = ReferenceList(spark.createDataFrame([(1,)], "k long"), "k"), ReferenceList(spark.createDataFrame([("L1",)], "k string"), "k")
+    compared = []
+    flag = jobs.flag_changes
+    monkeypatch.setattr(jobs, "flag_changes", lambda df, *rest, **more: (compared.append(df.count()), flag(df, *rest, **more))[1])
+    found = {r.leadName: r.outcome for r in jobs.intake_outcomes(rows, ones, ones, known).collect()}
+    assert found == {"a": "update", "b": "insert", "c": "missing_required", "d": "unknown_customer", "e": "malformed"}
+    assert compared == [2]
