@@ -1,11 +1,15 @@
 """Near duplicates by the similarity of their word shingles.
 
-Texts whose sets of shingles have a Jaccard similarity of ``SIMILAR`` or more are linked. Candidates share
-a band of min-hashes; at similarity 0.8 a pair shares none of them with probability 4e-6. Every link is
-checked on the whole sets. Of a text only a hash of its set and its bands are stored; equal sets are one class,
-and the sets themselves are made again, from one text of a class, for those classes that have a candidate. In each bucket of a band all rows are compared with one of them first; what is
-not in one component then is compared pair by pair, so that a large group of near copies costs few pairs
-and no pair of different components is left out.
+Texts whose sets of shingles have a Jaccard similarity of ``SIMILAR`` or more are linked, and every link is
+checked on the whole sets. The candidates come from the SimHash index of ``simhash_gray`` first: texts of one
+fingerprint, and the links that the index in Gray order finds between fingerprints. Pairs at ``SIMILAR`` can differ
+in more bits than its masks find, so what it leaves apart goes on: candidates then share a band of min-hashes, which
+a pair at similarity 0.8 misses with probability 4e-6. In each bucket of a band the rows that are not in one
+component are compared with one of them; what is not in one component then is compared pair by pair, so that a
+large group of near copies costs few pairs and no pair of different components is left out.
+
+Of a text only its fingerprint, a hash of its set and its bands are stored; equal sets are one class, and the sets
+themselves are made again, from one text of a class, for those classes that have a candidate.
 """
 
 from __future__ import annotations
@@ -18,18 +22,20 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from sluice.llm import simhash_gray
 from sluice.llm.components import connected_components
 from sluice.scratch import materialize
 
 WORDS = 5  # words of a shingle
 SIMILAR = 0.8  # Jaccard similarity of linked texts
 BANDS, ROWS = 24, 4  # bands of min-hashes, and min-hashes of a band
-_PIECE = 1 << 14  # shingles hashed at a time
+_PIECE = 1 << 11  # shingles hashed at a time
+_PAIRS = 1_000  # pairs of sets, or texts of sets, sent to a Python worker at a time
 
 _draw = np.random.default_rng(5)
 _FACTORS = _draw.integers(1, 1 << 63, BANDS * ROWS, np.uint64) | np.uint64(1)
 _OFFSETS = _draw.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
-_HASHES = pa.schema([("id", pa.int64()), ("row", pa.int64()), ("node", pa.int64()), ("bands", pa.list_(pa.int64()))])
+_HASHES = pa.schema([("id", pa.int64()), ("row", pa.int64()), ("node", pa.int64()), ("fp", pa.int64()), ("bands", pa.list_(pa.int64()))])
 _SETS = pa.schema([("node", pa.int64()), ("members", pa.binary())])
 
 
@@ -67,7 +73,8 @@ def _hashes(words: int):
             for at in range(0, len(texts), 500):
                 found = [shingles(t.as_py(), words) for t in texts[at : at + 500]]
                 nodes = [xxhash.xxh64_intdigest(d) - (1 << 63) for d in _packed(found)]
-                columns = [batch.column(0)[at : at + 500], batch.column(2)[at : at + 500], nodes, [bands(x) for x in found]]
+                fps = np.fromiter((simhash_gray.fingerprint(t.as_py()) for t in texts[at : at + 500]), np.uint64, len(nodes)).view(np.int64)
+                columns = [batch.column(0)[at : at + 500], batch.column(2)[at : at + 500], nodes, fps, [bands(x) for x in found]]
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, _HASHES)], schema=_HASHES)
 
     return run
@@ -107,7 +114,17 @@ def _links(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     both = pairs.join(left, "a").join(right, "b").filter(
         F.least(F.length("left"), F.length("right")) >= similar * F.greatest(F.length("left"), F.length("right"))
     )
-    return materialize(both.select("a", "b", "left", "right").mapInArrow(_checked(similar), "a long, b long"), "links")
+    return materialize(both.select("a", "b", "left", "right").mapInArrow(_checked(similar), "a long, b long"), "links", arrow_rows=_PAIRS)
+
+
+def _indexed(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes that the index of fingerprints links: one node for each fingerprint, and the others of it."""
+    heads = materialize(rows.groupBy("fp").agg(F.min("node").alias("head")), "distinct-fingerprints")
+    same = rows.select("node", "fp").distinct().join(heads, "fp").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    ends = [heads.select(F.col("fp").alias(c), F.col("head").alias(f"head_{c}")) for c in "ab"]
+    links = simhash_gray.near_links(heads.select("fp")).join(ends[0], "a").join(ends[1], "b")
+    pairs = same.unionAll(links.select(F.greatest("head_a", "head_b").alias("a"), F.least("head_a", "head_b").alias("b")))
+    return materialize(pairs.filter("a <> b").distinct(), "index-candidates")
 
 
 def near_duplicates(
@@ -121,17 +138,26 @@ def near_duplicates(
     in the same order, as files do; store what does not (that it did is checked).
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
-    rows = materialize(texts.mapInArrow(_hashes(words), "id long, row long, node long, bands array<long>"), "shingle-hashes")
+    rows = materialize(texts.mapInArrow(_hashes(words), "id long, row long, node long, fp long, bands array<long>"), "shingle-hashes")
+    indexed = _indexed(rows)
     distinct = rows.groupBy("node").agg(F.first("bands").alias("bands"))
     banded = distinct.select("node", F.explode("bands").alias("bucket"))
     # Buckets of one row link nothing.
     sizes = banded.groupBy("bucket").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     banded = materialize(banded.join(sizes, "bucket").select("node", "bucket", "least"), "buckets")
-    wanted = rows.join(banded.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("row").alias("row"))
+    candidates = banded.select("node").union(indexed.select("a")).union(indexed.select("b")).distinct()
+    wanted = rows.join(candidates, "node", "left_semi").groupBy("node").agg(F.min("row").alias("row"))
     sets = texts.join(materialize(wanted, "sampled-texts"), "row").select("node", "text")
-    sets = materialize(sets.mapInArrow(_sets(words), "node long, members binary"), "shingles")
-    star = _links(banded.filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")), sets, similar)
-    roots = connected_components(star)
+    sets = materialize(sets.mapInArrow(_sets(words), "node long, members binary"), "shingles", arrow_rows=_PAIRS)
+    links = _links(indexed, sets, similar)
+    # Pairs that the index has connected are not compared again.
+    roots = materialize(connected_components(links), "index-roots")
+    apart = banded.filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+    for end in "ab":
+        apart = apart.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
+    apart = apart.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    links = links.unionAll(_links(apart, sets, similar))
+    roots = connected_components(links)
     placed = banded.join(roots, "node", "left").select("node", "bucket", F.coalesce("root", "node").alias("root"))
     placed = materialize(placed, "placed")
     counts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
@@ -140,5 +166,5 @@ def near_duplicates(
     others = mixed.filter("root <> major").select("bucket", F.col("node").alias("other"), F.col("root").alias("other_root"))
     pairs = mixed.join(others, "bucket").filter("root <> other_root")
     rest = _links(pairs.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")), sets, similar)
-    roots = connected_components(star.unionAll(rest))
+    roots = connected_components(links.unionAll(rest))
     return rows.select("id", "node").join(roots, "node", "left").select("id", F.coalesce("root", "node").alias("component"))

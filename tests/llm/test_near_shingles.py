@@ -1,6 +1,6 @@
 import random
 
-from sluice.llm import near_shingles as N
+from sluice.llm import near_shingles as N, simhash_gray
 import corpus_pipeline as C
 from sluice.scratch import materialize
 
@@ -58,3 +58,18 @@ def test_edge_rows(spark, docs_of):
         found.setdefault(r.component, []).append(r.id)
     assert sorted(sorted(map(str, g)) for g in found.values()) == [["1", "2", "3"], ["4", "4", "5"], ["6", "6"], ["7"], ["None", "None"]]
     assert N.near_duplicates(docs.filter("false")).collect() == []
+
+
+def test_index_gives_candidates(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(N, "bands", lambda members: [])  # what is linked then, the index of fingerprints has found
+    draw = random.Random(5)
+    words = [f"w{draw.randrange(50_000)}" for _ in range(3000)]
+    near = [*words[:-1], "other"]
+    often, one, two = "a b c " * 400, " ".join(words[:40]), " ".join(words[40:80])
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, often + one), (4, often + two), (5, one), (6, two)]
+    fps = [simhash_gray.fingerprint(t.encode()) for _, t in rows]
+    assert 0 < (fps[0] ^ fps[1]).bit_count() <= 3 and (fps[2] ^ fps[3]).bit_count() <= 3
+    found = {}
+    for r in N.near_duplicates(materialize(docs_of(rows), "docs")).collect():
+        found.setdefault(r.component, []).append(r.id)
+    assert sorted(map(sorted, found.values())) == [[1, 2], [3], [4], [5], [6]]
