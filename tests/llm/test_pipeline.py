@@ -68,3 +68,8 @@ def test_null_and_repeated_rows(spark, sf_dir, short_training):
     assert C.toxicity(spark, docs, sf_dir).columns == docs.columns
     for _, stage in C.STAGES:
         assert stage(spark, docs.filter("false"), sf_dir).count() == 0
+
+
+def test_tokens_has_one_worker_a_task(spark, sf_dir, documents, capsys):
+    C.tokens(spark, documents, sf_dir).explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
