@@ -73,3 +73,46 @@ def test_index_gives_candidates(spark, docs_of, monkeypatch):
     for r in N.near_duplicates(materialize(docs_of(rows), "docs")).collect():
         found.setdefault(r.component, []).append(r.id)
     assert sorted(map(sorted, found.values())) == [[1, 2], [3], [4], [5], [6]]
+
+
+def counted(monkeypatch):
+    """Rows of what is stored, by label."""
+    rows, store = {}, N.materialize
+
+    def run(df, label, **more):
+        stored = store(df, label, **more)
+        rows[label] = rows.get(label, 0) + stored.count()
+        return stored
+
+    monkeypatch.setattr(N, "materialize", run)
+    return rows
+
+
+def test_group_of_copies_below_the_threshold_costs_few_pairs(spark, docs_of, monkeypatch):
+    draw, common, rows = random.Random(7), [f"w{k}" for k in range(40)], []
+    for i in range(200):  # each with two words of its own: any two share between 0.4 and 0.8
+        words = list(common)
+        for at in (draw.randrange(5, 18), draw.randrange(22, 35)):
+            words[at] = f"own{i}-{at}"
+        rows.append((i, " ".join(words)))
+    stored = counted(monkeypatch)
+    found = N.near_duplicates(materialize(docs_of(rows), "docs"))
+    assert found.select("component").distinct().count() == len(set(components_by_hand(rows).values())) == 200
+    assert stored["pairs"] < 5 * len(rows)
+
+
+def test_bounds_hold(spark):
+    draw = random.Random(11)
+    for _ in range(300):
+        words = [f"w{draw.randrange(400)}" for _ in range(draw.randint(1, 200))]
+        other = [w if draw.random() > 0.03 else "x" for w in words]
+        x, y = (N.shingles(" ".join(w).encode()) for w in (words, other))
+        only = len(set(x.tolist()) ^ set(y.tolist()))
+        for bits in (64, 256):
+            differ = int.from_bytes(N.parities(x, bits), "little") ^ int.from_bytes(N.parities(y, bits), "little")
+            assert differ.bit_count() <= only
+        frequent = (x[::3], [k % 5 + 2 for k in range(len(x[::3]))])
+        frequent = (frequent[0], N.np.array(frequent[1]))
+        both = len(set(x.tolist()) & set(y.tolist()))
+        if both >= 0.8 * (len(x) + len(y) - both):
+            assert set(N._first(x, frequent, 0.8).tolist()) & set(N._first(y, frequent, 0.8).tolist())
