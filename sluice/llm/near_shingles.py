@@ -93,8 +93,10 @@ def _frequent(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column(0).cast(pa.binary()):
-                yield pa.RecordBatch.from_arrays([pa.array(shingles(text.as_py(), words).view(np.int64))], ["h"])
+            texts = batch.column(0).cast(pa.binary())
+            for at in range(0, len(texts), 100):
+                found = [shingles(t.as_py(), words) for t in texts[at : at + 100]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["h"])
 
     step = max(1, texts.count() // SAMPLE)
     sample = texts.filter(F.pmod(F.xxhash64("row"), F.lit(step)) == 0).select("text")
@@ -271,7 +273,7 @@ def near_duplicates(
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(texts, words))
     layout = "id long, row long, node long, fp long, n long, planes array<long>, bitmap binary, bands array<long>"
-    rows = materialize(texts.mapInArrow(_hashes(words, similar, frequent), layout), "shingle-hashes")
+    rows = materialize(texts.mapInArrow(_hashes(words, similar, frequent), layout), "shingle-hashes", arrow_rows=_PAIRS)
     planes = [F.min(F.col("planes")[i]).alias(f"plane_{i}") for i in range(PLANES)]
     nodes = rows.groupBy("node").agg(F.min("row").alias("row"), F.min("n").alias("n"), *planes, F.min("bitmap").alias("bitmap"))
     nodes = materialize(nodes, "nodes")
