@@ -40,7 +40,7 @@ FREQUENT = 1 << 16  # shingles that come last in the order, at most
 DRAWN = 1  # rounds in which rows are compared with one drawn from those that share a shingle
 PLANES = 4  # longs of the short bitmap of parities
 _SLACK = 1e-6  # a bound that rounding puts above a whole number is that number
-_PAIRS = 1_000  # pairs of sets, or texts of sets, sent to a Python worker at a time
+_PAIRS = 250  # pairs of sets, or texts of sets, sent to a Python worker at a time
 
 _HASHES = pa.schema([("id", pa.int64()), ("row", pa.int64()), ("node", pa.int64()), ("fp", pa.int64()), ("n", pa.int64()), ("planes", pa.list_(pa.int64())), ("bitmap", pa.binary()), ("bands", pa.list_(pa.int64()))])
 _SETS = pa.schema([("node", pa.int64()), ("members", pa.binary())])
