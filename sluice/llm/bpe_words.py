@@ -17,7 +17,6 @@ import base64
 import heapq
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +28,8 @@ from sluice.llm.packing import expand, numbers as unpacked, squeeze
 
 BLOCK_CHARS = 8_000_000  # characters after which a block is closed
 _CACHE_WORDS = 300_000  # encoded words that a task remembers at a time
+_TOKENS = 100_000  # pre-tokens held as Python strings at a time
+_IDS = 500_000  # ids after which a batch of decoded rows is closed
 # White space before a space, taken widely: there a text is not cut at its spaces.
 _SPACES = r"[\s\v\x1c-\x1f\x{85}\p{Z}] "
 _SHORT = 64  # bytes up to which a word is merged by plain scans
@@ -102,6 +103,21 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ROW_ARROW)], schema=_ROW_ARROW)
 
 
+def _found(units: list[str], find) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct pre-tokens of all units, the place of each pre-token among them, and how many a unit has."""
+    held, parts, sizes = [], [], np.empty(len(units), np.int64)
+    for k, unit in enumerate(units):
+        tokens = find(unit)
+        sizes[k] = len(tokens)
+        held += tokens
+        if len(held) >= _TOKENS:
+            parts.append(pa.array(held, pa.large_string()))
+            held = []
+    parts.append(pa.array(held, pa.large_string()))
+    coded = pa.chunked_array(parts).dictionary_encode().combine_chunks()
+    return coded.dictionary, coded.indices.to_numpy(), sizes
+
+
 def _cut(texts: list[str], find, spaced: bool) -> tuple[pa.Array, list[np.ndarray]]:
     """The distinct pre-tokens of ``texts``, and of each text the places of its own among them.
 
@@ -123,10 +139,9 @@ def _cut(texts: list[str], find, spaced: bool) -> tuple[pa.Array, list[np.ndarra
     alone = len(units) + np.arange(int(whole.sum()))
     units += [texts[k] for k in np.flatnonzero(whole).tolist()]
 
-    found = [find(u) for u in units]
-    sizes = np.fromiter(map(len, found), np.int64, len(found))
-    tokens = pa.array(list(chain.from_iterable(found)), pa.large_string()).dictionary_encode()
-    del found, units, coded, pieces
+    del values, coded, pieces
+    words, tokens, sizes = _found(units, find)
+    del units
     starts = np.cumsum(sizes) - sizes
 
     # The units of each text in order: its first piece and those behind it, or the whole of it.
@@ -139,9 +154,10 @@ def _cut(texts: list[str], find, spaced: bool) -> tuple[pa.Array, list[np.ndarra
     of_pieces[behind] = np.searchsorted(used, codes[behind])
     of_pieces[begins] = firsts
     unit[inside], unit[~inside] = of_pieces, alone
-    numbers = _gathered(tokens.indices.to_numpy(), starts[unit], sizes[unit])
+    del codes, of_pieces
+    numbers = _gathered(tokens, starts[unit], sizes[unit])
     ends = np.cumsum(np.add.reduceat(sizes[unit], places))
-    return tokens.dictionary, np.split(numbers, ends[:-1])
+    return words, np.split(numbers, ends[:-1])
 
 
 def _split(pattern: str, buckets: int, kind: int, spaced: bool):
@@ -181,6 +197,7 @@ def _split(pattern: str, buckets: int, kind: int, spaced: bool):
                     out, held = [], 0
             if out:
                 yield _batch(out)
+            pa.default_memory_pool().release_unused()
 
         for batch in batches:
             if block is None and batch.num_rows:
@@ -233,7 +250,9 @@ def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nda
     """``flat[start : start + size]`` for each pair, one after the other."""
     ends = np.cumsum(sizes)
     total = int(ends[-1]) if len(ends) else 0
-    return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
+    places = np.repeat(starts - (ends - sizes), sizes)
+    places += np.arange(total)
+    return flat[places]
 
 
 def _reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,6 +314,14 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     return together.mapInArrow(_reassemble, "id long, ids array<int>")
 
 
+def _slices(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batch`` in order, cut where the ids in column ``at`` pass another ``_IDS``."""
+    ends = np.cumsum(np.diff(batch.column(at).offsets.to_numpy()), dtype=np.int64)
+    cuts = np.flatnonzero(np.diff(ends // _IDS)) + 1
+    for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+        yield batch.slice(begin, end - begin)
+
+
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", name: str = "data") -> DataFrame:
     """Add ``name`` (binary): the bytes of the ids in ``ids_col``. A null list gives null, an empty one no bytes."""
     table = {i: t for t, i in read_ranks(ranks_path).items()}
@@ -304,8 +331,10 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", name: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = shared.value.__getitem__
         for batch in batches:
-            lists = batch.column(at)
-            data = [None if x is None else b"".join(map(token, x)) for x in (v.as_py() if not v.is_valid else v.values.to_numpy().tolist() for v in lists)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary())], names=[*batch.schema.names, name])
+            for rows in _slices(batch, at):
+                lists = rows.column(at)
+                data = [None if x is None else b"".join(map(token, x)) for x in (v.as_py() if not v.is_valid else v.values.to_numpy().tolist() for v in lists)]
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(data, pa.binary())], names=[*rows.schema.names, name])
+        pa.default_memory_pool().release_unused()
 
     return encoded.mapInArrow(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in encoded.schema)}, `{name}` binary")

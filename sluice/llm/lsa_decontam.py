@@ -99,6 +99,7 @@ def _tokens(shared):
                     rows = []
             if rows:
                 yield _rows(rows, _TOKEN_ARROW)
+        pa.default_memory_pool().release_unused()
 
     return run
 

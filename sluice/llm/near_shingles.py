@@ -120,6 +120,7 @@ def _hashes(words: int, similar: float, frequent):
                 planes = [np.frombuffer(parities(x, 64 * PLANES), "<i8").tolist() for x in found]
                 columns = [batch.column(0)[at : at + 500], batch.column(2)[at : at + 500], nodes, fps, [len(x) for x in found], planes, [_bitmap(x) for x in found], first]
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, _HASHES)], schema=_HASHES)
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -133,6 +134,7 @@ def _sets(words: int):
                 if [xxhash.xxh64_intdigest(d) - (1 << 63) for d in data] != batch.column(0)[at : at + 500].to_pylist():
                     raise ValueError("the documents were not the same when they were read again")
                 yield pa.RecordBatch.from_arrays([batch.column(0)[at : at + 500], pa.array(data, pa.binary())], schema=_SETS)
+        pa.default_memory_pool().release_unused()
 
     return run
 

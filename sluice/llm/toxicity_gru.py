@@ -410,6 +410,7 @@ def with_score(docs: DataFrame, network: Network, text_col: str = "text", name:
                 rows = batch.slice(*part)
                 scores = pa.array(scorer(rows.column(at).to_pylist()), pa.float64())
                 yield pa.RecordBatch.from_arrays([*rows.columns, scores], names=[*rows.schema.names, name])
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 

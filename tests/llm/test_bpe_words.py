@@ -1,9 +1,11 @@
 import hashlib
 import random
 import sys
+import tracemalloc
 import unicodedata
 
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -75,6 +77,36 @@ def test_decode_keeps_other_columns(spark):
     assert got == [(1, None, "x", None), (2, [], "y", bytearray()), (3, [64, 65], None, bytearray(table[64] + table[65]))]
 
 
+def test_decode_closes_batches_by_ids(spark, monkeypatch):
+    lists = [[64] * 4, None, [], [65] * 7, [66], [67] * 25, [], None, [68] * 3]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(9), pa.int64()), pa.array(lists, pa.list_(pa.int32()))], names=["id", "ids"])
+    frame = spark.createDataFrame([], "id long, ids array<int>")
+    monkeypatch.setattr(B, "_IDS", 10, raising=False)
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda self, run, schema: run)
+    table = {i: t for t, i in B.read_ranks(PATH).items()}
+    for whole in (rows, rows.slice(3), rows.slice(9)):
+        got = list(B.decode(frame, PATH)(iter([whole])))
+        assert all(sum(map(len, filter(None, b.column(1).to_pylist()[1:]))) < 10 for b in got)
+        wanted = [r | {"data": None if r["ids"] is None else b"".join(table[i] for i in r["ids"])} for r in whole.to_pylist()]
+        assert [r for b in got for r in b.to_pylist()] == wanted
+    assert len(list(B.decode(frame, PATH)(iter([rows])))) > 1
+
+
+def test_cut_holds_few_pre_tokens_at_a_time(monkeypatch):
+    find = B.regex.compile(P.PATTERN).findall
+    texts = [f"ab{k}\n cd\n " * 400 for k in range(1000)]
+    tracemalloc.start()
+    words, numbers = B._cut(texts, find, True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 70_000_000  # 86 MB with all 2,000,000 of them
+    words = words.to_pylist()
+    assert [[words[n] for n in found] for found in numbers[::100]] == [find(t) for t in texts[::100]]
+    monkeypatch.setattr(B, "_TOKENS", 3)
+    few, places = B._cut(texts[:20], find, False)
+    assert [few.take(pa.array(found)).to_pylist() for found in places] == [find(t) for t in texts[:20]]
+
+
 @pytest.mark.parametrize("spaced", [True, False])
 def test_cuts_at_spaces_change_nothing(docs_of, library, spaced):
     draw = random.Random(8)
