@@ -73,3 +73,14 @@ def test_null_and_repeated_rows(spark, sf_dir, short_training):
 def test_tokens_has_one_worker_a_task(spark, sf_dir, documents, capsys):
     C.tokens(spark, documents, sf_dir).explain()
     assert capsys.readouterr().out.count("MapInArrow") == 1
+
+
+def test_tokens_sends_short_batches(spark, sf_dir, documents):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for rows, wanted in ((10_000, 500), (0, 500), (20, 20)):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+            C.tokens(spark, documents.limit(3), sf_dir)
+            assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == wanted
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
