@@ -10,7 +10,7 @@ from pyspark.sql import functions as F, types as T
 from sluice import schemas
 from sluice.functions.stamp import as_text, audit, batch, new_batch_id, parse_audit_text, rename
 from sluice.scratch import clear_scratch, materialize, scratch_root
-from sluice.sinks import jdbc as jdbc_sink
+from sluice.sinks import files, jdbc as jdbc_sink
 from sluice.sinks.files import create_csv, write_csv
 from sluice.sources import jdbc as jdbc_source
 from sluice.sources.delimited import malformed, physical_lines, read_delimited, store_delimited, well_formed
@@ -67,6 +67,25 @@ def test_sinks(spark, folder):
         create_csv(df, folder + "/once")
 
 
+def test_rows_of_large_files_are_written_where_they_are(spark, folder):
+    df = spark.range(400, numPartitions=4).select("id", (F.col("id") % 2).alias("b"))
+    for name, few, want in (("few", files.FILE_ROWS - 1, 1), ("many", files.FILE_ROWS, 4)):
+        write_csv(df, f"{folder}/{name}", by="b", rows_per_file=few)
+        write_csv(df, f"{folder}/{name}-even", even=True, rows_per_file=few, compression="gzip")
+        parts = {b: len([f for f in os.listdir(f"{folder}/{name}/b={b}") if f.endswith(".csv")]) for b in (0, 1)}
+        assert parts == {0: want, 1: want}
+        assert len([f for f in os.listdir(f"{folder}/{name}-even") if f.endswith(".csv.gz")]) == want
+        assert rows(read_delimited(spark, f"{folder}/{name}", df.schema)) == rows(df)
+        assert rows(read_delimited(spark, f"{folder}/{name}-even", df.schema)) == rows(df)
+
+
+def test_more_folders_than_open_files(spark, folder):
+    df = spark.range(200, numPartitions=2).select("id", (F.col("id") % 50).alias("b"))
+    write_csv(df, f"{folder}/out", by="b", rows_per_file=files.FILE_ROWS)
+    assert rows(read_delimited(spark, f"{folder}/out", df.schema)) == rows(df)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
 def test_extract_is_built_once(spark, folder):
     data = spark.createDataFrame(
         [(1, "US", datetime(2020, 1, 1)), (2, "DE", datetime(2020, 1, 1)), (3, "US", datetime(2019, 1, 1))],

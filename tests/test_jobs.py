@@ -517,3 +517,36 @@ def test_only_rows_that_pass_are_looked_up_in_a_large_list(spark, no_broadcast,
     found = {r.leadName: r.outcome for r in jobs.intake_outcomes(rows, ones, ones, known).collect()}
     assert found == {"a": "update", "b": "insert", "c": "missing_required", "d": "unknown_customer", "e": "malformed"}
     assert compared == [2]
+
+
+@pytest.mark.parametrize("file_rows", [1, 50_000])
+def test_rows_set_apart_are_stored_once_with_a_large_list(spark, conf, folder, monkeypatch, file_rows):
+    from sluice.sinks import files
+
+    monkeypatch.setattr(files, "FILE_ROWS", file_rows)
+    path, stored = lead_file(folder, schemas.LEAD_FILE, FILE_A), []
+    keep = jobs.materialize
+
+    def counted(df, label, **more):
+        kept = keep(df, label, **more)
+        stored.append((label, kept.count()))
+        return kept
+
+    monkeypatch.setattr(jobs, "materialize", counted)
+    run = lambda out, **more: jobs.validated_intake(spark, path, f"{folder}/{out}", *references(spark), at=AT, by="GS1", **more)
+    small = run("small")
+    assert ("outcomes", len(FILE_A)) in stored
+    conf("sluice.broadcastBytes", "-1")
+    stored.clear()
+    large = run("large", compression=None)
+    # Only the update and the inserts are looked up and written again.
+    assert ("outcomes", 5) in stored and ("judged", len(FILE_A)) in stored
+    assert large.counts == small.counts and list(large.frames) == list(small.frames)
+    for name, frame in small.frames.items():
+        assert frame.columns == large.frames[name].columns and rows(frame) == rows(large.frames[name])
+    for name, ending in (("small", ".csv.gz"), ("large", ".csv")):
+        written = glob.glob(f"{folder}/{name}/**/part-*", recursive=True)
+        assert written and all(f.endswith(ending) for f in written)
+    for name in ("format_errors", "rejects", "success/leads", "success/members", "success/items"):
+        a, b = (read_delimited(spark, f"{folder}/{out}/{name}") for out in ("small", "large"))
+        assert a.columns == b.columns and rows(a) == rows(b) and not a.isEmpty()
